@@ -26,9 +26,12 @@ def _double_to_long(d: Column) -> Column:
     return F.when(~F.isnan(d) & (F.abs(d) < F.lit(_LONG_LIMIT)), d.cast("long"))
 
 
-def parse_count(c: str | Column, strip: str = fixed.COUNT_STRIP_PATTERN) -> Column:
-    """``"10,000,000+"`` -> 10000000, ``"64.0"`` -> 64, junk -> null."""
-    cleaned = F.regexp_replace(_col(c), strip, "")
+def parse_count(c: str | Column, strip: str | None = fixed.COUNT_STRIP_PATTERN) -> Column:
+    """``"10,000,000+"`` -> 10000000, ``"64.0"`` -> 64, junk -> null.
+
+    ``strip`` is a pattern removed first (None: nothing is removed).
+    """
+    cleaned = F.regexp_replace(_col(c), strip, "") if strip else _col(c)
     return _double_to_long(cleaned.try_cast("double"))
 
 
@@ -65,7 +68,7 @@ def parse_size_kb(
 
 def parse_date(c: str | Column, fmt: str = fixed.DATE_FORMAT) -> Column:
     """Trimmed text -> date; unparsable -> null."""
-    return F.try_to_date(F.trim(_col(c)), F.lit(fmt))
+    return F.try_to_date(F.trim(_col(c)), fmt)
 
 
 def parse_timestamp(c: str | Column, fmt: str = fixed.TIMESTAMP_FORMAT) -> Column:
