@@ -98,3 +98,181 @@ QUERIES = {
     "category_group_count": q_category_group_count,
     "rating_bucket_stats": q_rating_bucket_stats,
 }
+
+
+# ------------------------------------------------------------------ catalogue jobs
+from catalytics import fixed  # noqa: E402
+from catalytics.operators import features as FE  # noqa: E402
+from catalytics.operators import model as M  # noqa: E402
+from catalytics.operators import reports as R  # noqa: E402
+from catalytics.operators.missing import impute_median  # noqa: E402
+from catalytics.operators.rules import catalogue_rules, rule_report  # noqa: E402
+from catalytics.operators.split import label_split, split_by_key, split_random  # noqa: E402
+from catalytics.operators.topk import preview  # noqa: E402
+from catalytics.plans import jobs  # noqa: E402
+from catalytics.plans.catalogue import raw_catalogue  # noqa: E402
+from catalytics.sources.io import read_raw_csv, scratch_path, write_csv  # noqa: E402
+
+
+def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + sink: the derived catalogue written as CSV text, read back all-string."""
+    path = scratch_path(spark, "raw-csv")
+    write_csv(raw_catalogue(spark, sf_dir), path)
+    return read_raw_csv(spark, path, fixed.RAW_COLUMNS)
+
+
+def q_type_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.type_catalogue(raw_catalogue(spark, sf_dir))
+
+
+def q_rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_report(jobs.type_catalogue(raw_catalogue(spark, sf_dir)), catalogue_rules())
+
+
+def q_clean_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.clean_catalogue(raw_catalogue(spark, sf_dir))
+
+
+def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.clean_catalogue(raw_catalogue(spark, sf_dir))
+
+
+def q_outlier_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.outlier_report(_cleaned(spark, sf_dir), fixed.OUTLIER_COLUMNS, relative_error=0.0)
+
+
+def q_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.duplicate_keys(_cleaned(spark, sf_dir), "App Id")
+
+
+def q_duplicate_key_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.duplicate_key_count(_cleaned(spark, sf_dir), "App Id")
+
+
+def q_stage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_catalogue(spark, sf_dir)
+    return R.stage_report({"raw": raw, "cleaned": jobs.clean_catalogue(raw)})
+
+
+def q_reduce_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.reduce_columns(_cleaned(spark, sf_dir))
+
+
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FE.catalogue_features(jobs.reduce_columns(_cleaned(spark, sf_dir)))
+
+
+def q_catalogue_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _features(spark, sf_dir)
+
+
+def q_impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impute_median(_features(spark, sf_dir), fixed.ML_NUMERIC)
+
+
+def q_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preview(read_table(spark, sf_dir, "part"), 10, [F.col("p_partkey")])
+
+
+def q_index_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    indexed, _ = FE.index_categories(read_table(spark, sf_dir, "part"), "p_brand", "brand_index")
+    return indexed.groupBy("p_brand", "brand_index").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.ml.feature import OneHotEncoder
+
+    indexed, _ = FE.index_categories(read_table(spark, sf_dir, "part"), "p_type", "type_index")
+    enc = OneHotEncoder(inputCols=["type_index"], outputCols=["type_ohe"], handleInvalid="keep")
+    out = FE.vectors_as_arrays(enc.fit(indexed).transform(indexed), ["type_ohe"])
+    return out.groupBy("p_type", "type_ohe").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_min_max_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
+    )
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    return FE.min_max_columns(li, cols).select("l_orderkey", "l_linenumber", *[f"{c}_scaled" for c in cols])
+
+
+def q_split_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return label_split(orders, "o_orderkey")
+
+
+def q_split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    train, test = split_random(orders)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
+def _scored_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount")
+    return li.select(
+        "l_orderkey",
+        F.col("l_extendedprice").alias("label"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("prediction"),
+    )
+
+
+def q_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.regression_metrics(_scored_lineitem(spark, sf_dir), digits=6)
+
+
+def q_mean_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = split_by_key(_scored_lineitem(spark, sf_dir), "l_orderkey")
+    return M.mean_baseline(train, test, digits=6)
+
+
+def q_compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = split_by_key(_scored_lineitem(spark, sf_dir), "l_orderkey")
+    return M.compare_models(
+        M.regression_metrics(test, digits=6), M.mean_baseline(train, test, digits=6)
+    )
+
+
+def _forest(spark: SparkSession, sf_dir: str):
+    train, test, _ = jobs.prepare_ml(_features(spark, sf_dir))
+    return jobs.train_and_evaluate(train, test)
+
+
+def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _forest(spark, sf_dir).importances
+
+
+def q_forest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _forest(spark, sf_dir)
+    return (
+        ev.train_metrics.select(F.lit("train").alias("set"), "n", "rmse", "mae", "r2")
+        .unionByName(ev.test_metrics.select(F.lit("test").alias("set"), "n", "rmse", "mae", "r2"))
+        .unionByName(ev.baseline.select(F.lit("baseline").alias("set"), "n", "rmse", "mae", "r2"))
+    )
+
+
+QUERIES.update(
+    {
+        "csv_scan": q_csv_scan,
+        "type_catalogue": q_type_catalogue,
+        "rule_report": q_rule_report,
+        "clean_catalogue": q_clean_catalogue,
+        "outlier_report": q_outlier_report,
+        "duplicate_keys": q_duplicate_keys,
+        "duplicate_key_count": q_duplicate_key_count,
+        "stage_report": q_stage_report,
+        "reduce_columns": q_reduce_columns,
+        "catalogue_features": q_catalogue_features,
+        "impute_median": q_impute_median,
+        "preview": q_preview,
+        "index_categories": q_index_categories,
+        "one_hot": q_one_hot,
+        "min_max_columns": q_min_max_columns,
+        "split_by_key": q_split_by_key,
+        "split_random": q_split_random,
+        "regression_metrics": q_regression_metrics,
+        "mean_baseline": q_mean_baseline,
+        "compare_models": q_compare_models,
+        "feature_importance": q_feature_importance,
+        "forest_metrics": q_forest_metrics,
+    }
+)

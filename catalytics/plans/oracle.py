@@ -125,3 +125,64 @@ ORACLE_SQL = {
         ORDER BY bucket
     """,
 }
+
+from catalytics.plans.oracle_catalogue import CATALOGUE_ORACLE  # noqa: E402
+
+_SLOT = "((((o_orderkey % 4294967296) + 4294967296) % 4294967296) * 40503 % 65536) / CAST(65536 AS DOUBLE)"
+_LSLOT = _SLOT.replace("o_orderkey", "l_orderkey")
+_SCORED = """scored AS (
+    SELECT l_orderkey, l_extendedprice AS label, l_extendedprice * (1 - l_discount) AS prediction
+    FROM lineitem)"""
+_METRICS = """COUNT(*) AS n,
+    ROUND(sqrt(AVG((prediction - label) * (prediction - label))), 6) AS rmse,
+    ROUND(AVG(abs(prediction - label)), 6) AS mae,
+    ROUND(1 - SUM((prediction - label) * (prediction - label)) / (VAR_POP(label) * COUNT(*)), 6) AS r2"""
+_BASE = f"""{_SCORED},
+    train AS (SELECT * FROM scored WHERE {_LSLOT} < 0.7),
+    test AS (SELECT * FROM scored WHERE {_LSLOT} >= 0.7),
+    m AS (SELECT AVG(label) AS mean_label FROM train),
+    base AS (
+        SELECT ROUND((SELECT mean_label FROM m), 6) AS baseline_prediction, COUNT(*) AS n,
+               ROUND(sqrt(AVG(((SELECT mean_label FROM m) - label) * ((SELECT mean_label FROM m) - label))), 6) AS rmse,
+               ROUND(AVG(abs((SELECT mean_label FROM m) - label)), 6) AS mae,
+               ROUND(1 - SUM(((SELECT mean_label FROM m) - label) * ((SELECT mean_label FROM m) - label))
+                     / (VAR_POP(label) * COUNT(*)), 6) AS r2
+        FROM test)"""
+
+ORACLE_SQL.update(CATALOGUE_ORACLE)
+ORACLE_SQL.update(
+    {
+        "csv_scan": CATALOGUE_ORACLE["raw_catalogue"],
+        "preview": "SELECT * FROM part ORDER BY p_partkey LIMIT 10",
+        "index_categories": """
+            SELECT p_brand, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, p_brand) - 1 AS DOUBLE) AS brand_index,
+                   COUNT(*) AS n
+            FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand""",
+        "one_hot": """
+            WITH idx AS (
+                SELECT p_type, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, p_type) - 1 AS i, COUNT(*) AS n,
+                       COUNT(*) OVER () AS k
+                FROM part WHERE p_type IS NOT NULL GROUP BY p_type)
+            SELECT p_type, list_transform(range(k + 1), lambda j: CASE WHEN j = i THEN 1.0 ELSE 0.0 END)::DOUBLE[] AS type_ohe, n
+            FROM idx""",
+        "min_max_columns": """
+            SELECT l_orderkey, l_linenumber,
+                   (l_quantity - MIN(l_quantity) OVER ()) / (MAX(l_quantity) OVER () - MIN(l_quantity) OVER ()) AS l_quantity_scaled,
+                   (l_extendedprice - MIN(l_extendedprice) OVER ()) / (MAX(l_extendedprice) OVER () - MIN(l_extendedprice) OVER ()) AS l_extendedprice_scaled,
+                   (l_discount - MIN(l_discount) OVER ()) / (MAX(l_discount) OVER () - MIN(l_discount) OVER ()) AS l_discount_scaled,
+                   (l_tax - MIN(l_tax) OVER ()) / (MAX(l_tax) OVER () - MIN(l_tax) OVER ()) AS l_tax_scaled
+            FROM lineitem""",
+        "split_by_key": f"""
+            SELECT o_orderkey, o_totalprice, CASE WHEN {_SLOT} < 0.7 THEN 'train' ELSE 'test' END AS split
+            FROM orders""",
+        "regression_metrics": f"WITH {_SCORED} SELECT {_METRICS} FROM scored",
+        "mean_baseline": f"WITH {_BASE} SELECT * FROM base",
+        "compare_models": f"""WITH {_BASE},
+            model AS (SELECT {_METRICS} FROM test)
+            SELECT 'rmse' AS metric, model.rmse AS model, base.rmse AS baseline, model.rmse < base.rmse AS model_better FROM model, base
+            UNION ALL
+            SELECT 'mae', model.mae, base.mae, model.mae < base.mae FROM model, base
+            UNION ALL
+            SELECT 'r2', model.r2, base.r2, model.r2 > base.r2 FROM model, base""",
+    }
+)

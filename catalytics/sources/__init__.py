@@ -5,7 +5,9 @@ from catalytics.sources.io import (
     read_stage,
     read_table,
     save_model,
+    scratch_path,
     sql_query,
+    write_csv,
     write_stage,
 )
 
@@ -16,6 +18,8 @@ __all__ = [
     "read_stage",
     "read_table",
     "save_model",
+    "scratch_path",
+    "write_csv",
     "sql_query",
     "write_stage",
 ]

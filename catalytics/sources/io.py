@@ -78,6 +78,26 @@ def write_stage(
     return path
 
 
+def write_csv(df: DataFrame, path: str, *, header: bool = True, escape: str = '"') -> str:
+    """Delimited-text sink (the inverse of ``read_raw_csv``); values are written
+    verbatim (the writer's default whitespace trimming is turned off)."""
+    (
+        df.write.mode("overwrite")
+        .option("header", header)
+        .option("escape", escape)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return path
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared ``spark.checkpoint.dir``."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/catalytics-{name}-{uuid.uuid4().hex}"
+
+
 def sql_query(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
     """S4+S5: run SQL text over DataFrames bound by name.
 
@@ -96,8 +116,7 @@ def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     column pruning and pushdown.  The folder comes from ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/catalytics-{name or 'stage'}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name or "stage")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
