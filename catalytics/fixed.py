@@ -34,9 +34,9 @@ RAW_COLUMNS = [
 ]
 
 # --- fixed values: text parsing ---------------------------------------------
-COUNT_STRIP_PATTERN = "[+,]"          # "5,000+" -> "5000"
-COMMA_STRIP_PATTERN = ","             # "5,000"  -> "5000"
-PRICE_STRIP_PATTERN = "[$]"           # "$4.99"  -> "4.99"
+COUNT_STRIP_CHARS = "+,"              # "5,000+" -> "5000"
+COMMA_STRIP_CHARS = ","               # "5,000"  -> "5000"
+PRICE_STRIP_CHARS = "$"               # "$4.99"  -> "4.99"
 SIZE_KEEP_PATTERN = "[^0-9.]"         # everything but digits and dot is removed
 SIZE_UNITS = {"M": 1024.0, "k": 1.0}  # case-sensitive unit letters -> kilobytes
 VERSION_PATTERN = "([0-9]+\\.?[0-9]*)"  # first version number, group 1

@@ -14,30 +14,31 @@ from pyspark.sql import types as T
 
 from catalytics import fixed
 
-_LONG_LIMIT = 9.2e18  # |x| below this fits a signed 64-bit integer
-
-
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def _double_to_long(d: Column) -> Column:
-    """Truncate a double toward zero; NaN, infinities and out-of-range -> null."""
-    return F.when(~F.isnan(d) & (F.abs(d) < F.lit(_LONG_LIMIT)), d.cast("long"))
+    """Truncate a double toward zero; NaN, infinities and out-of-range -> null.
+
+    ``try_cast`` evaluates the input once and behaves the same whatever the
+    session's ANSI setting.
+    """
+    return d.try_cast("long")
 
 
-def parse_count(c: str | Column, strip: str | None = fixed.COUNT_STRIP_PATTERN) -> Column:
+def parse_count(c: str | Column, strip: str | None = fixed.COUNT_STRIP_CHARS) -> Column:
     """``"10,000,000+"`` -> 10000000, ``"64.0"`` -> 64, junk -> null.
 
-    ``strip`` is a pattern removed first (None: nothing is removed).
+    ``strip`` is a set of characters removed first (None: nothing removed).
     """
-    cleaned = F.regexp_replace(_col(c), strip, "") if strip else _col(c)
+    cleaned = F.translate(_col(c), strip, "") if strip else _col(c)
     return _double_to_long(cleaned.try_cast("double"))
 
 
-def parse_price(c: str | Column, strip: str = fixed.PRICE_STRIP_PATTERN) -> Column:
+def parse_price(c: str | Column, strip: str = fixed.PRICE_STRIP_CHARS) -> Column:
     """``"$4.99"`` -> 4.99."""
-    return F.regexp_replace(_col(c), strip, "").try_cast("double")
+    return F.translate(_col(c), strip, "").try_cast("double")
 
 
 def parse_double(c: str | Column) -> Column:

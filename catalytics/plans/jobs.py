@@ -33,9 +33,9 @@ def type_catalogue(raw: DataFrame) -> DataFrame:
     """Raw text columns -> typed columns, one projection."""
     typed = raw.withColumns(
         {
-            "Installs": P.parse_count(_c("Installs"), fixed.COUNT_STRIP_PATTERN),
-            "Minimum Installs": P.parse_count(_c("Minimum Installs"), fixed.COMMA_STRIP_PATTERN),
-            "Maximum Installs": P.parse_count(_c("Maximum Installs"), fixed.COMMA_STRIP_PATTERN),
+            "Installs": P.parse_count(_c("Installs"), fixed.COUNT_STRIP_CHARS),
+            "Minimum Installs": P.parse_count(_c("Minimum Installs"), fixed.COMMA_STRIP_CHARS),
+            "Maximum Installs": P.parse_count(_c("Maximum Installs"), fixed.COMMA_STRIP_CHARS),
             "Price": P.parse_price(_c("Price")),
             "Rating": P.parse_double(_c("Rating")),
             "Rating Count": P.parse_count(_c("Rating Count"), None),

@@ -6,7 +6,7 @@ from catalytics.plans.catalogue import RAW_CATALOGUE_SQL
 
 
 def _long(d: str) -> str:
-    return f"CASE WHEN NOT isnan({d}) AND abs({d}) < 9.2e18 THEN CAST(trunc({d}) AS BIGINT) END"
+    return f"TRY_CAST(trunc({d}) AS BIGINT)"
 
 
 def _flag(c: str) -> str:
