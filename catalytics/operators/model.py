@@ -75,7 +75,9 @@ def mean_baseline(
     m = mean_of(train, label)
     scored = test.withColumn("prediction", F.lit(m).cast("double"))
     mets = regression_metrics(scored, label, "prediction", digits)
-    return mets.select(F.lit(m).cast("double").alias("baseline_prediction"), *mets.columns)
+    pred = F.lit(m).cast("double")
+    pred = pred if digits is None else F.round(pred, digits)
+    return mets.select(pred.alias("baseline_prediction"), *mets.columns)
 
 
 def compare_models(model_metrics: DataFrame, baseline_metrics: DataFrame) -> DataFrame:

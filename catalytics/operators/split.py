@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalytics import fixed
 
@@ -28,13 +29,20 @@ def split_random(
     return df.randomSplit(list(weights), seed)
 
 
-def key_slot(key: str | Column, salt: int = 0) -> Column:
-    """A value in [0, 1) from an integer key (deterministic)."""
-    k = F.col(f"`{key}`") if isinstance(key, str) else key
-    low = F.pmod(k.cast("long"), F.lit(4294967296))
-    return F.pmod(low * F.lit(_HASH_MULTIPLIER) + F.lit(salt), F.lit(_HASH_MODULUS)) / F.lit(
-        float(_HASH_MODULUS)
-    )
+def key_slot(df: DataFrame, key: str, salt: int = 0) -> Column:
+    """A value in [0, 1) from a key (deterministic on any cluster).
+
+    Integer keys use a multiplicative hash on their low 32 bits (the same in
+    any SQL engine); other key types use Spark's ``xxhash64``.  A null key
+    gets slot 0, so it still lands on exactly one side.
+    """
+    k = F.col(f"`{key}`")
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        low = F.pmod(k.cast("long"), F.lit(4294967296))
+        mixed = F.pmod(low * F.lit(_HASH_MULTIPLIER) + F.lit(salt), F.lit(_HASH_MODULUS))
+    else:
+        mixed = F.pmod(F.xxhash64(k, F.lit(salt)), F.lit(_HASH_MODULUS))
+    return F.coalesce(mixed / F.lit(float(_HASH_MODULUS)), F.lit(0.0))
 
 
 def label_split(
@@ -45,12 +53,14 @@ def label_split(
     name: str = "split",
 ) -> DataFrame:
     """Add ``name`` = 'train' / 'test' by the key's slot."""
-    side = F.when(key_slot(key, salt) < F.lit(train_fraction), F.lit("train")).otherwise(F.lit("test"))
+    side = F.when(key_slot(df, key, salt) < F.lit(train_fraction), F.lit("train")).otherwise(
+        F.lit("test")
+    )
     return df.withColumn(name, side)
 
 
 def split_by_key(
     df: DataFrame, key: str, train_fraction: float = fixed.SPLIT_WEIGHTS[0], salt: int = 0
 ) -> tuple[DataFrame, DataFrame]:
-    slot = key_slot(key, salt)
+    slot = key_slot(df, key, salt)
     return df.where(slot < train_fraction), df.where(slot >= train_fraction)

@@ -106,6 +106,9 @@ def build_features(
     return FE.select_columns(out, fixed.TRANSFORMED_COLUMNS), model
 
 
+ML_BASE_COLUMNS = ["label", "Category", "Content Rating", *fixed.ML_NUMERIC]
+
+
 def ml_base(featured: DataFrame, keep=()) -> DataFrame:
     """P3 + F6: label and 13 inputs as double; label and categoricals required.
 
@@ -128,9 +131,11 @@ def prepare_ml(
     split (rows sharing a key stay on one side).
     """
     if split_key:
-        base = ml_base(featured, keep=[split_key])
+        carried = [] if split_key in ML_BASE_COLUMNS else [split_key]
+        base = ml_base(featured, keep=carried)
         train, test = split_by_key(base, split_key)
-        train, test = train.drop(split_key), test.drop(split_key)
+        if carried:
+            train, test = train.drop(split_key), test.drop(split_key)
     else:
         train, test = split_random(ml_base(featured))
     pipe = FE.feature_pipeline(
