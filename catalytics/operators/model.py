@@ -109,13 +109,25 @@ def compare_models(model_metrics: DataFrame, baseline_metrics: DataFrame) -> Dat
     return wide.select(F.inline(F.array(*rows)))
 
 
-def feature_importance(model, df: DataFrame, features: str = "features") -> DataFrame:
+def feature_importance(
+    model, df: DataFrame, features: str = "features", numeric_names=None
+) -> DataFrame:
     """(slot, name, importance) sorted by importance, names from metadata.
 
     The importance vector has one entry per feature slot and already lives
-    on the driver inside the fitted model.
+    on the driver inside the fitted model.  Slots that come out of the
+    scaler carry no names in their metadata; ``numeric_names`` (the scaled
+    inputs in order) names them.
     """
     names = vector_slot_names(df, features)
+    if numeric_names:
+        prefix = "numeric_features_scaled_"
+        names = [
+            numeric_names[int(n[len(prefix):])]
+            if n.startswith(prefix) and n[len(prefix):].isdigit() and int(n[len(prefix):]) < len(numeric_names)
+            else n
+            for n in names
+        ]
     imp = model.featureImportances.toArray().tolist()
     rows = [(i, names[i] if i < len(names) else f"slot_{i}", float(v)) for i, v in enumerate(imp)]
     out = df.sparkSession.createDataFrame(rows, "slot int, name string, importance double")

@@ -111,14 +111,24 @@ from catalytics.operators.split import label_split, split_by_key, split_random
 from catalytics.operators.topk import preview  # noqa: E402
 from catalytics.plans import jobs  # noqa: E402
 from catalytics.plans.catalogue import raw_catalogue  # noqa: E402
-from catalytics.plans.stages import staged_cleaned_catalogue, staged_raw_catalogue  # noqa: E402
-from catalytics.sources.io import read_raw_csv, scratch_path, write_csv  # noqa: E402
+from catalytics.plans.stages import (  # noqa: E402
+    staged_cleaned_catalogue,
+    staged_ml_sets,
+    staged_raw_catalogue,
+)
+from catalytics.sources.io import (  # noqa: E402
+    load_model,
+    read_raw_csv,
+    scratch_path,
+    sql_query,
+    write_csv,
+)
 
 
 def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + sink: the derived catalogue written as CSV text, read back all-string."""
     path = scratch_path(spark, "raw-csv")
-    write_csv(raw_catalogue(spark, sf_dir), path)
+    write_csv(staged_raw_catalogue(spark, sf_dir), path)
     return read_raw_csv(spark, path, fixed.RAW_COLUMNS)
 
 
@@ -236,17 +246,34 @@ def q_compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _forest(spark: SparkSession, sf_dir: str):
+def q_build_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features + encoders fitted on the whole cleaned table; vectors as arrays."""
+    transformed, _ = jobs.build_features(jobs.reduce_columns(_cleaned(spark, sf_dir)))
+    return FE.vectors_as_arrays(
+        transformed,
+        ["category_ohe", "content_rating_ohe", "numeric_features", "numeric_features_scaled", "features"],
+    )
+
+
+def q_prepare_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base -> 70/30 split -> pipeline fitted on train only; both sides, labelled."""
     train, test, _ = jobs.prepare_ml(_features(spark, sf_dir))
-    return jobs.train_and_evaluate(train, test)
+    vecs = ["category_ohe", "content_rating_ohe", "numeric_features", "numeric_features_scaled", "features"]
+    return FE.vectors_as_arrays(
+        train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test"))), vecs
+    )
 
 
-def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _forest(spark, sf_dir).importances
+_MODELS: dict[tuple[str, str], str] = {}
 
 
 def q_forest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _forest(spark, sf_dir)
+    """E5: train the forest on the staged E4 output, save it, score train, test
+    and the mean baseline."""
+    train, test = staged_ml_sets(spark, sf_dir)
+    model_dir = scratch_path(spark, "forest")
+    ev = jobs.train_and_evaluate(train, test, model_dir=model_dir)
+    _MODELS[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))] = model_dir
     return (
         ev.train_metrics.select(F.lit("train").alias("set"), "n", "rmse", "mae", "r2")
         .unionByName(ev.test_metrics.select(F.lit("test").alias("set"), "n", "rmse", "mae", "r2"))
@@ -254,6 +281,35 @@ def q_forest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M15 on the saved forest (trained here when this session has none yet)."""
+    train, _ = staged_ml_sets(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MODELS:
+        model_dir = scratch_path(spark, "forest")
+        jobs.train_and_evaluate(train, train, model_dir=model_dir)
+        _MODELS[key] = model_dir
+    forest = load_model(_MODELS[key])
+    return M.feature_importance(forest, train, numeric_names=fixed.ML_NUMERIC)
+
+
+# The source's questions are SQL text over a named view; the same text
+# runs here with the frame bound by name instead of a global temp view.
+SQL_HAVING_TEXT = """
+    SELECT p_brand, COUNT(*) AS app_count, ROUND(AVG(p_size / CAST(10 AS DOUBLE)), 2) AS avg_rating
+    FROM {t}
+    WHERE p_size IS NOT NULL
+    GROUP BY p_brand
+    HAVING COUNT(*) >= 75
+    ORDER BY avg_rating DESC NULLS LAST, app_count DESC NULLS LAST, p_brand ASC NULLS LAST
+    LIMIT 10
+"""
+
+
+def q_sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sql_query(spark, SQL_HAVING_TEXT, t=read_table(spark, sf_dir, "part"))
+
+
 QUERIES.update(
     {
         "csv_scan": q_csv_scan,
@@ -276,7 +332,10 @@ QUERIES.update(
         "regression_metrics": q_regression_metrics,
         "mean_baseline": q_mean_baseline,
         "compare_models": q_compare_models,
-        "feature_importance": q_feature_importance,
+        "build_features": q_build_features,
+        "prepare_ml": q_prepare_ml,
         "forest_metrics": q_forest_metrics,
+        "feature_importance": q_feature_importance,
+        "sql_query": q_sql_query,
     }
 )

@@ -153,6 +153,7 @@ ORACLE_SQL.update(CATALOGUE_ORACLE)
 ORACLE_SQL.update(
     {
         "csv_scan": CATALOGUE_ORACLE["raw_catalogue"],
+        "sql_query": ORACLE_SQL["top_groups_min_size"],
         "preview": "SELECT * FROM part ORDER BY p_partkey LIMIT 10",
         "index_categories": """
             SELECT p_brand, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, p_brand) - 1 AS DOUBLE) AS brand_index,

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from catalytics.plans import jobs
 from catalytics.plans.catalogue import raw_catalogue
-from catalytics.sources.io import scratch_path
+from catalytics.operators.features import catalogue_features
+from catalytics.sources.io import read_stage, scratch_path, write_stage
 
 _STAGED: dict[tuple[str, str, str], str] = {}
 
@@ -32,16 +33,28 @@ def staged_raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
             # Few input splits (one row group per test file): spread the rows so
             # the per-row parsing downstream uses every core.
             df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-        path = scratch_path(spark, "raw-catalogue")
-        df.write.mode("overwrite").parquet(path)
-        _STAGED[key] = path
-    return spark.read.parquet(_STAGED[key])
+        _STAGED[key] = write_stage(df, scratch_path(spark, "raw-catalogue"))
+    return read_stage(spark, _STAGED[key])
 
 
 def staged_cleaned_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = _key(spark, sf_dir, "cleaned")
     if key not in _STAGED:
-        path = scratch_path(spark, "cleaned-catalogue")
-        jobs.clean_catalogue(staged_raw_catalogue(spark, sf_dir)).write.mode("overwrite").parquet(path)
-        _STAGED[key] = path
-    return spark.read.parquet(_STAGED[key])
+        cleaned = jobs.clean_catalogue(staged_raw_catalogue(spark, sf_dir))
+        _STAGED[key] = write_stage(cleaned, scratch_path(spark, "cleaned-catalogue"))
+    return read_stage(spark, _STAGED[key])
+
+
+def staged_ml_sets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """E4 output (prepared train and test), written once per session like the
+    source pipeline writes its two ML Parquet tables."""
+    key = _key(spark, sf_dir, "ml")
+    if key not in _STAGED:
+        featured = catalogue_features(jobs.reduce_columns(staged_cleaned_catalogue(spark, sf_dir)))
+        train, test, _ = jobs.prepare_ml(featured)
+        base = scratch_path(spark, "ml-sets")
+        write_stage(train, f"{base}/train")
+        write_stage(test, f"{base}/test")
+        _STAGED[key] = base
+    base = _STAGED[key]
+    return read_stage(spark, f"{base}/train"), read_stage(spark, f"{base}/test")

@@ -11,7 +11,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = {"feature_importance", "forest_metrics"}
+SLOW = {"feature_importance", "forest_metrics", "prepare_ml", "build_features"}
 
 
 def _norm(v):
@@ -42,7 +42,7 @@ def duck():
 
 def test_every_query_has_oracle_or_is_ml():
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"split_random", "feature_importance", "forest_metrics"}
+    assert missing <= {"split_random", "feature_importance", "forest_metrics", "build_features", "prepare_ml"}
 
 
 @pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) & set(E.queries())))
