@@ -256,8 +256,10 @@ def q_build_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_prepare_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base -> 70/30 split -> pipeline fitted on train only; both sides, labelled."""
-    train, test, _ = jobs.prepare_ml(_features(spark, sf_dir))
+    """Base -> 70/30 split -> pipeline fitted on train only -> two Parquet
+    tables (read back, both sides labelled).  Later steps of the session read
+    these tables."""
+    train, test = staged_ml_sets(spark, sf_dir, refresh=True)
     vecs = ["category_ohe", "content_rating_ohe", "numeric_features", "numeric_features_scaled", "features"]
     return FE.vectors_as_arrays(
         train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test"))), vecs

@@ -124,11 +124,16 @@ def prepare_ml(
     featured: DataFrame,
     split_key: str | None = None,
     imputer_relative_error: float = 0.001,
+    materialize_split: bool = True,
 ) -> tuple[DataFrame, DataFrame, object]:
     """Base -> 70/30 split -> pipeline fitted on train only -> (train, test, model).
 
     ``split_key`` switches from ``randomSplit`` to the deterministic key
-    split (rows sharing a key stay on one side).
+    split (rows sharing a key stay on one side).  With ``materialize_split``
+    both sides are written once under ``spark.checkpoint.dir``: every
+    estimator fit (imputer, two indexers, scaler) then scans that table
+    instead of re-running the featurization and ``randomSplit``'s
+    per-partition sort, and the split cannot change between fits.
     """
     if split_key:
         carried = [] if split_key in ML_BASE_COLUMNS else [split_key]
@@ -138,6 +143,8 @@ def prepare_ml(
             train, test = train.drop(split_key), test.drop(split_key)
     else:
         train, test = split_random(ml_base(featured))
+    if materialize_split:
+        train, test = cut_lineage(train, "ml-train-base"), cut_lineage(test, "ml-test-base")
     pipe = FE.feature_pipeline(
         fixed.ML_NUMERIC,
         FE.CATALOGUE_CATEGORICAL,

@@ -47,11 +47,14 @@ def staged_cleaned_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stage(spark, _STAGED[key])
 
 
-def staged_ml_sets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """E4 output (prepared train and test), written once per session like the
-    source pipeline writes its two ML Parquet tables."""
+def staged_ml_sets(
+    spark: SparkSession, sf_dir: str, refresh: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """E4 output (prepared train and test), written like the source pipeline
+    writes its two ML Parquet tables; reused by later steps of the session
+    unless ``refresh`` asks for a new run."""
     key = _key(spark, sf_dir, "ml")
-    if key not in _STAGED:
+    if refresh or key not in _STAGED:
         featured = catalogue_features(jobs.reduce_columns(staged_cleaned_catalogue(spark, sf_dir)))
         train, test, _ = jobs.prepare_ml(featured)
         base = scratch_path(spark, "ml-sets")
