@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalytics.sources.io import cut_lineage
+from catalytics.sources.io import cut_lineage, drop_stage, staged_path
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -74,6 +74,10 @@ def exact_quantiles(
     slices: int | None = None,
 ) -> DataFrame:
     """Long result (name, p, value): exact quantiles, no task sees all values."""
+    return _exact_quantiles(df, columns, probs, slices)[0]
+
+
+def _exact_quantiles(df, columns, probs, slices=None):
     spark = df.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = long_values(df, columns).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
@@ -107,9 +111,10 @@ def exact_quantiles(
         Window.unboundedPreceding, Window.currentRow
     )
     cum = inside.withColumn("cum", F.col("before") + F.sum("n").over(w_cum))
-    return cum.where(
+    out = cum.where(
         (F.col("cum") >= F.col("target")) & (F.col("cum") - F.col("n") < F.col("target"))
     ).select("name", "p", "value")
+    return out, ranged
 
 
 def column_quantiles(
@@ -130,7 +135,15 @@ def quantile_values(
     """Driver-side dict {column: [q per prob]} — a bounded result (one value per
     column and probability); columns with no values get None (an all-null
     column has no quantile)."""
-    rows = column_quantiles(df, columns, probs, relative_error).collect()
+    if relative_error <= 0:
+        qdf, ranged = _exact_quantiles(df, columns, probs)
+        rows = qdf.collect()
+        # the result is on the driver now: the slice table is no longer needed
+        path = staged_path(ranged)
+        if path:
+            drop_stage(df.sparkSession, path)
+    else:
+        rows = approx_quantiles(df, columns, probs, relative_error).collect()
     got = {(r["name"], r["p"]): r["value"] for r in rows}
     return {c: [got.get((c, float(p))) for p in probs] for c in columns}
 

@@ -121,6 +121,29 @@ def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def staged_path(df: DataFrame) -> str | None:
+    """The folder a ``cut_lineage`` frame reads from (None for other frames)."""
+    files = df.inputFiles()
+    if not files:
+        return None
+    first = files[0]
+    idx = first.find("/catalytics-")
+    if idx < 0:
+        return None
+    end = first.find("/", idx + 1)
+    return first if end < 0 else first[:end]
+
+
+def drop_stage(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this package wrote under the checkpoint folder (via the
+    cluster's Hadoop FileSystem, so it works for any shared store)."""
+    if "/catalytics-" not in path:
+        raise ValueError(f"refusing to delete a path this package did not create: {path}")
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.delete(jpath, True))
+
+
 def save_model(model, path: str) -> str:
     """Persist a fitted MLlib model or pipeline, overwriting."""
     model.write().overwrite().save(path)

@@ -68,3 +68,17 @@ def test_approx_is_exact_on_small_input(spark):
 @pytest.mark.parametrize("n,p,rank", [(4, 0.5, 2), (5, 0.5, 3), (6, 0.75, 5), (10, 0.0, 1), (10, 1.0, 10)])
 def test_rank_rule(n, p, rank):
     assert ceil_rank(p, n) == rank
+
+
+def test_eager_median_leaves_no_slice_table(spark):
+    import glob
+
+    from catalytics.operators.quantiles import quantile_values
+    from catalytics.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).replace("file:", "")
+    before = set(glob.glob(f"{base}/catalytics-quantile-slices-*"))
+    df = spark.createDataFrame([(float(i),) for i in range(100)], "x double")
+    assert quantile_values(df, ["x"], [0.5]) == {"x": [49.0]}
+    after = set(glob.glob(f"{base}/catalytics-quantile-slices-*"))
+    assert after == before
