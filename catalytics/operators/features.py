@@ -124,8 +124,16 @@ def feature_pipeline(
                 relativeError=imputer_relative_error,
             )
         )
-    for src, idx, _ in categorical:
-        stages.append(StringIndexer(inputCol=src, outputCol=idx, handleInvalid="keep"))
+    # one indexer for all categorical columns: their label counts come from a
+    # single aggregation job instead of one job per column
+    stages.append(
+        StringIndexer(
+            inputCols=[src for src, _, _ in categorical],
+            outputCols=[idx for _, idx, _ in categorical],
+            handleInvalid="keep",
+            stringOrderType="frequencyDesc",
+        )
+    )
     stages.append(
         OneHotEncoder(
             inputCols=[idx for _, idx, _ in categorical],
