@@ -341,3 +341,114 @@ QUERIES.update(
         "sql_query": q_sql_query,
     }
 )
+
+
+# ------------------------------------------------- one query per operator family
+from catalytics.functions import parse as P  # noqa: E402
+from catalytics.functions.dates import weekend_flag  # noqa: E402
+from catalytics.operators.missing import fill_constants, fill_median, replace_sentinel  # noqa: E402
+from catalytics.operators.rules import enforce_rules  # noqa: E402
+
+_ID = ["App Name", "App Id"]
+
+
+def _raw_cols(spark: SparkSession, sf_dir: str, cols) -> DataFrame:
+    return staged_raw_catalogue(spark, sf_dir).select(*[F.col(f"`{c}`") for c in _ID + list(cols)])
+
+
+def q_parse_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts with '+' and commas, '$' prices, plain numbers."""
+    raw = _raw_cols(spark, sf_dir, ["Installs", "Minimum Installs", "Maximum Installs", "Price", "Rating", "Rating Count"])
+    return raw.select(
+        *_ID,
+        P.parse_count("Installs").alias("installs"),
+        P.parse_count("Minimum Installs", fixed.COMMA_STRIP_CHARS).alias("min_installs"),
+        P.parse_count("Maximum Installs", fixed.COMMA_STRIP_CHARS).alias("max_installs"),
+        P.parse_price("Price").alias("price"),
+        P.parse_double("Rating").alias("rating"),
+        P.parse_count("Rating Count", None).alias("rating_count"),
+    )
+
+
+def q_parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5: 'MMM d, yyyy' dates and 'yyyy-MM-dd HH:mm:ss' timestamps."""
+    raw = _raw_cols(spark, sf_dir, ["Released", "Last Updated", "Scraped Time"])
+    return raw.select(
+        *_ID,
+        P.parse_date("Released").alias("released"),
+        P.parse_date("Last Updated").alias("updated"),
+        P.parse_timestamp("Scraped Time").alias("scraped"),
+    )
+
+
+def q_parse_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size text -> kilobytes (M x1024, k x1, anything else null)."""
+    raw = _raw_cols(spark, sf_dir, ["Size"])
+    return raw.select(*_ID, "Size", P.parse_size_kb("Size").alias("size_kb"))
+
+
+def q_parse_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loose true/false text -> boolean -> 1.0/0.0; free flag from price."""
+    raw = _raw_cols(spark, sf_dir, ["Ad Supported", "Editors Choice", "Price"])
+    ad = P.parse_flag("Ad Supported")
+    return raw.select(
+        *_ID,
+        ad.alias("ad_supported"),
+        P.flag_to_number(ad).alias("ad_supported_num"),
+        P.parse_flag("Editors Choice").alias("editors_choice"),
+        P.free_flag(P.parse_price("Price")).alias("free"),
+    )
+
+
+def q_parse_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First version number in text."""
+    raw = _raw_cols(spark, sf_dir, ["Minimum Android"])
+    return raw.select(*_ID, "Minimum Android", P.parse_version("Minimum Android").alias("version"))
+
+
+def q_enforce_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1-F4 on the typed catalogue: the rows that pass every rule."""
+    return enforce_rules(jobs.type_catalogue(staged_raw_catalogue(spark, sf_dir)), catalogue_rules())
+
+
+def q_fill_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact median of Size_KB over the rule-passing rows fills its nulls."""
+    valid = jobs.validated_catalogue(staged_raw_catalogue(spark, sf_dir))
+    return fill_median(valid, ["Size_KB"]).select(*_ID, "Size", "Size_KB")
+
+
+def q_fill_constants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N1 (+ the type guard): per-column constants for missing text."""
+    raw = _raw_cols(spark, sf_dir, list(fixed.TEXT_FILLS))
+    return fill_constants(raw, fixed.TEXT_FILLS)
+
+
+def q_replace_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null or 'XXX' currency -> 'USD'."""
+    return replace_sentinel(_raw_cols(spark, sf_dir, ["Currency"]), "Currency")
+
+
+def q_date_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6-D8 on orders: days from the order date to a reference day, weekend flag."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    return orders.select(
+        "o_orderkey",
+        days_since("d", ORDERS_AS_OF).alias("days_since"),
+        weekend_flag("d").alias("is_weekend"),
+    )
+
+
+QUERIES.update(
+    {
+        "parse_numbers": q_parse_numbers,
+        "parse_dates": q_parse_dates,
+        "parse_sizes": q_parse_sizes,
+        "parse_flags": q_parse_flags,
+        "parse_versions": q_parse_versions,
+        "enforce_rules": q_enforce_rules,
+        "fill_median": q_fill_median,
+        "fill_constants": q_fill_constants,
+        "replace_sentinel": q_replace_sentinel,
+        "date_features": q_date_features,
+    }
+)

@@ -154,6 +154,11 @@ ORACLE_SQL.update(
     {
         "csv_scan": CATALOGUE_ORACLE["raw_catalogue"],
         "sql_query": ORACLE_SQL["top_groups_min_size"],
+        "date_features": """
+            SELECT o_orderkey,
+                   CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-02') AS INTEGER) AS days_since,
+                   CASE WHEN dayofweek(CAST(o_orderdate AS DATE)) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend
+            FROM orders""",
         "preview": "SELECT * FROM part ORDER BY p_partkey LIMIT 10",
         "index_categories": """
             SELECT p_brand, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, p_brand) - 1 AS DOUBLE) AS brand_index,

@@ -146,3 +146,47 @@ CATALOGUE_ORACLE = {
     "catalogue_features": f"WITH {FEATURES_CTE} SELECT * FROM feat",
     "impute_median": _impute(fixed.ML_NUMERIC),
 }
+
+
+_IDS = '"App Name", "App Id"'
+_FLAG_AD = _flag('"Ad Supported"')
+
+CATALOGUE_ORACLE.update(
+    {
+        "parse_numbers": f"""WITH {TYPED_CTE}
+            SELECT {_IDS}, "Installs" AS installs, "Minimum Installs" AS min_installs,
+                   "Maximum Installs" AS max_installs, "Price" AS price, "Rating" AS rating,
+                   "Rating Count" AS rating_count
+            FROM typed""",
+        "parse_dates": f"""WITH {TYPED_CTE}
+            SELECT {_IDS}, "Released" AS released, "Last Updated" AS updated, "Scraped Time" AS scraped
+            FROM typed""",
+        "parse_sizes": f"""WITH raw AS ({RAW_CATALOGUE_SQL})
+            SELECT {_IDS}, "Size",
+                   CASE WHEN contains("Size", 'M') THEN {_SIZE_NUM} * 1024.0
+                        WHEN contains("Size", 'k') THEN {_SIZE_NUM} END AS size_kb
+            FROM raw""",
+        "parse_flags": f"""WITH raw AS ({RAW_CATALOGUE_SQL})
+            SELECT {_IDS}, {_FLAG_AD} AS ad_supported, CAST({_FLAG_AD} AS DOUBLE) AS ad_supported_num,
+                   {_flag('"Editors Choice"')} AS editors_choice,
+                   CASE WHEN {_PRICE} = 0 THEN true ELSE false END AS free
+            FROM raw""",
+        "parse_versions": f"""WITH raw AS ({RAW_CATALOGUE_SQL})
+            SELECT {_IDS}, "Minimum Android",
+                   TRY_CAST(regexp_extract("Minimum Android", '([0-9]+\\.?[0-9]*)', 1) AS DOUBLE) AS version
+            FROM raw""",
+        "enforce_rules": f"WITH {TYPED_CTE} SELECT * FROM typed WHERE {' AND '.join(_RULES)}",
+        "fill_median": f"""WITH {CLEANED_CTE}
+            SELECT {_IDS}, "Size", COALESCE("Size_KB", (SELECT m FROM med)) AS "Size_KB" FROM valid""",
+        "fill_constants": f"""WITH raw AS ({RAW_CATALOGUE_SQL})
+            SELECT {_IDS},
+                   COALESCE("Developer Website", 'Unknown') AS "Developer Website",
+                   COALESCE("Privacy Policy", 'Unknown') AS "Privacy Policy",
+                   COALESCE("Minimum Android", 'Varies with device') AS "Minimum Android"
+            FROM raw""",
+        "replace_sentinel": f"""WITH raw AS ({RAW_CATALOGUE_SQL})
+            SELECT {_IDS}, CASE WHEN "Currency" IS NULL OR "Currency" = 'XXX' THEN 'USD' ELSE "Currency" END
+                       AS "Currency"
+            FROM raw""",
+    }
+)
