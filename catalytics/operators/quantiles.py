@@ -7,19 +7,28 @@ Approximate
 
 Exact
     ``percentile_disc`` and ``approxQuantile(..., 0.0)`` merge every distinct
-    value into one buffer (one task or the driver).  Instead:
-
-    1. unpivot the columns to (name, value) and count rows per distinct value
-       (partial aggregation, so a value held by a third of the rows becomes
-       one row per task before the shuffle);
-    2. range-partition the distinct values into ordered slices and write that
-       table once under ``spark.checkpoint.dir`` (the slice ids are then fixed
-       and survive executor loss);
-    3. add up rows per slice (at most ``slices`` rows per column) and turn them
-       into slice offsets with a small window;
-    4. for each requested probability p the answer is the smallest value whose
-       cumulative count reaches ``max(1, ceil(p * n))`` (the rank rule shared
-       by ``percentile_disc``); only the one slice holding that rank is sorted.
+    value into one buffer (one task or the driver).  The answer for
+    probability p is the smallest value whose cumulative count reaches
+    ``max(1, ceil(p * n))`` (the rank rule shared by ``percentile_disc``).
+    It is found in three scans of the pruned columns, none of which moves
+    more than a bracket of values:
+
+    1. one aggregation per column: row count and a bounded sketch
+       (``percentile_approx``) read at p - d and p + d, giving a value
+       bracket [lo, hi] that holds the target rank;
+    2. one global aggregation: rows below lo and rows inside [lo, hi] for
+       every (column, p) — this *verifies* the bracket (the target rank must
+       fall inside it) and bounds its size;
+    3. the rows inside verified brackets, counted per distinct value and
+       ordered by a window per (column, p): the answer is the value where
+       ``below + running count`` first reaches the target rank.
+
+    A bracket that fails verification or holds more than
+    ``max_bracket_rows`` rows falls back to range slices: values counted per
+    distinct value (partial aggregation collapses hot values), range-
+    partitioned into ordered slices written once under
+    ``spark.checkpoint.dir``, slice totals turned into offsets, and only the
+    slice holding the target rank sorted.
 """
 
 from __future__ import annotations
@@ -72,12 +81,103 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     slices: int | None = None,
+    accuracy: int = 100_000,
+    max_bracket_rows: int = 5_000_000,
 ) -> DataFrame:
     """Long result (name, p, value): exact quantiles, no task sees all values."""
-    return _exact_quantiles(df, columns, probs, slices)[0]
+    return _exact_quantiles(df, columns, probs, slices, accuracy, max_bracket_rows)[0]
+
+
+def _exact_quantiles(df, columns, probs, slices=None, accuracy=100_000, max_bracket_rows=5_000_000):
+    """(result, staged frames to drop once the result has been collected)."""
+    columns, probs = list(columns), [float(p) for p in probs]
+    vals = long_values(df, columns)
+    margin = 2.0 / accuracy
+    lo_p = [max(0.0, p - margin) for p in probs]
+    hi_p = [min(1.0, p + margin) for p in probs]
+    # pass 1: count and sketch per column (bounded: one row per column)
+    sketches = {
+        r["name"]: (r["n"], r["qs"])
+        for r in vals.groupBy("name")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.percentile_approx("value", lo_p + hi_p, accuracy).alias("qs"),
+        )
+        .collect()
+    }
+    pairs = []  # (name, p, target rank, lo, hi)
+    for c in columns:
+        if c not in sketches:
+            continue  # no values: no quantile
+        n, qs = sketches[c]
+        for i, p in enumerate(probs):
+            pairs.append((c, p, max(1, math.ceil(p * n)), qs[i], qs[len(probs) + i]))
+    if not pairs:
+        return vals.where(F.lit(False)).select("name", F.lit(0.0).alias("p"), "value"), []
+    # pass 2: verify every bracket (one aggregation, 2 numbers per pair)
+    name, value = F.col("name"), F.col("value")
+    checks = []
+    for c, p, r, lo, hi in pairs:
+        mine = name == F.lit(c)
+        checks.append(F.count_if(mine & (value < F.lit(lo))))
+        checks.append(F.count_if(mine & (value >= F.lit(lo)) & (value <= F.lit(hi))))
+    got = vals.agg(*[e.alias(f"c{i}") for i, e in enumerate(checks)]).first()
+    good, bad = [], []
+    for i, (c, p, r, lo, hi) in enumerate(pairs):
+        below, inside = got[f"c{2 * i}"], got[f"c{2 * i + 1}"]
+        if below < r <= below + inside and inside <= max_bracket_rows:
+            good.append((c, p, r, lo, hi, below))
+        else:
+            bad.append((c, p))
+    parts, staged = [], []
+    if good:
+        parts.append(_bracket_pick(vals, good))
+    if bad:
+        fb_cols = sorted({c for c, _ in bad})
+        fb_probs = sorted({p for _, p in bad})
+        fb, ranged = _range_slice_quantiles(df, fb_cols, fb_probs, slices)
+        wanted = F.lit(False)
+        for c, p in bad:
+            wanted = wanted | ((F.col("name") == F.lit(c)) & (F.col("p") == F.lit(p)))
+        parts.append(fb.where(wanted))
+        staged.append(ranged)
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out, staged
+
+
+def _bracket_pick(vals: DataFrame, good) -> DataFrame:
+    """Pass 3: exact answer inside verified brackets (each at most
+    ``max_bracket_rows`` rows, so every window partition is bounded)."""
+    name, value = F.col("name"), F.col("value")
+
+    def lits(i):
+        return F.array(*[F.lit(g[i]) for g in good])
+
+    # each row is tested only against the brackets of its own column
+    by_col: dict[str, list] = {}
+    for k, (c, p, r, lo, hi, below) in enumerate(good):
+        by_col.setdefault(c, []).append(F.when(value.between(F.lit(lo), F.lit(hi)), F.lit(k)))
+    tags = None
+    for c, whens in by_col.items():
+        cond = name == F.lit(c)
+        tags = F.when(cond, F.array(*whens)) if tags is None else tags.when(cond, F.array(*whens))
+    inside = (
+        vals.select(F.explode(tags).alias("k"), "value")
+        .where(F.col("k").isNotNull())
+        .groupBy("k", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    at = F.col("k") + 1
+    w = Window.partitionBy("k").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = inside.withColumn("cum", F.element_at(lits(5), at) + F.sum("n").over(w))
+    target = F.element_at(lits(2), at)
+    return cum.where((F.col("cum") >= target) & (F.col("cum") - F.col("n") < target)).select(
+        F.element_at(lits(0), at).alias("name"), F.element_at(lits(1), at).alias("p"), "value"
+    )
 
 
-def _exact_quantiles(df, columns, probs, slices=None):
+def _range_slice_quantiles(df, columns, probs, slices=None):
+    """Fallback: exact quantiles from range slices of the distinct values."""
     spark = df.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = long_values(df, columns).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
@@ -136,12 +236,13 @@ def quantile_values(
     column and probability); columns with no values get None (an all-null
     column has no quantile)."""
     if relative_error <= 0:
-        qdf, ranged = _exact_quantiles(df, columns, probs)
+        qdf, staged = _exact_quantiles(df, columns, probs)
         rows = qdf.collect()
-        # the result is on the driver now: the slice table is no longer needed
-        path = staged_path(ranged)
-        if path:
-            drop_stage(df.sparkSession, path)
+        # the result is on the driver now: fallback slice tables are not needed
+        for frame in staged:
+            path = staged_path(frame)
+            if path:
+                drop_stage(df.sparkSession, path)
     else:
         rows = approx_quantiles(df, columns, probs, relative_error).collect()
     got = {(r["name"], r["p"]): r["value"] for r in rows}

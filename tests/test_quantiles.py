@@ -20,9 +20,9 @@ def brute(values, p):
     return vals[ceil_rank(p, len(vals)) - 1]
 
 
-def run_exact(spark, rows, slices=4):
+def run_exact(spark, rows, slices=4, **kw):
     df = spark.createDataFrame([(a, b) for a, b in rows], "a double, b double")
-    got = {(r["name"], r["p"]): r["value"] for r in exact_quantiles(df, ["a", "b"], PROBS, slices).collect()}
+    got = {(r["name"], r["p"]): r["value"] for r in exact_quantiles(df, ["a", "b"], PROBS, slices, **kw).collect()}
     return got
 
 
@@ -33,10 +33,11 @@ def test_hot_value_third_of_rows(spark):
     a[: n // 3] = [42.0] * (n // 3)  # one value holds a third of the rows
     b = [None if i % 11 == 0 else float(i % 97) for i in range(n)]
     b[5] = float("nan")
-    got = run_exact(spark, list(zip(a, b)), slices=8)
-    for p in PROBS:
-        assert got[("a", p)] == brute(a, p)
-        assert got[("b", p)] == brute(b, p)
+    for kw in ({}, {"accuracy": 20}, {"max_bracket_rows": 0}):  # bracket, wide bracket, fallback
+        got = run_exact(spark, list(zip(a, b)), slices=8, **kw)
+        for p in PROBS:
+            assert got[("a", p)] == brute(a, p), kw
+            assert got[("b", p)] == brute(b, p), kw
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -51,11 +52,12 @@ def test_hot_value_third_of_rows(spark):
     )
 )
 def test_exact_matches_brute_force(spark, rows):
-    got = run_exact(spark, rows, slices=3)
-    for col, idx in (("a", 0), ("b", 1)):
-        vals = [r[idx] for r in rows]
-        for p in PROBS:
-            assert got.get((col, p)) == brute(vals, p)
+    for kw in ({}, {"max_bracket_rows": 0}):
+        got = run_exact(spark, rows, slices=3, **kw)
+        for col, idx in (("a", 0), ("b", 1)):
+            vals = [r[idx] for r in rows]
+            for p in PROBS:
+                assert got.get((col, p)) == brute(vals, p), kw
 
 
 def test_approx_is_exact_on_small_input(spark):
@@ -70,6 +72,14 @@ def test_rank_rule(n, p, rank):
     assert ceil_rank(p, n) == rank
 
 
+def test_continuous_column_bracket_path_is_exact(spark):
+    rng = np.random.default_rng(11)
+    x = rng.lognormal(8, 2, 20000).round(3).tolist()
+    df = spark.createDataFrame([(v,) for v in x], "x double")
+    got = {r["p"]: r["value"] for r in exact_quantiles(df, ["x"], [0.25, 0.5, 0.75, 0.99]).collect()}
+    assert got == {p: brute(x, p) for p in (0.25, 0.5, 0.75, 0.99)}
+
+
 def test_eager_median_leaves_no_slice_table(spark):
     import glob
 
