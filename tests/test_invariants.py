@@ -45,3 +45,29 @@ def test_r2_identity_with_baseline(spark):
     b = regression_metrics(li.withColumn("prediction", F.lit(mean))).first()
     assert abs(m["r2"] - (1 - (m["rmse"] / b["rmse"]) ** 2)) < 1e-9
     assert abs(b["r2"]) < 1e-9
+
+
+def test_hot_group_matches_pandas(spark):
+    """One category holds a third of all rows: grouped answers stay exact."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    n = 9000
+    cat = np.where(np.arange(n) < n // 3, "hot", rng.choice(["a", "b", "c", "d"], n))
+    sub = rng.choice(["x", "y", "z"], n)
+    val = rng.integers(0, 10_000, n).astype(float)
+    pdf = pd.DataFrame({"cat": cat, "sub": sub, "val": val})
+    df = spark.createDataFrame(pdf).repartition(6)
+
+    got = {r["cat"]: (r["total_apps"], r["avg_installs"]) for r in G.top_groups_by_mean(df, "cat", "val", k=10, digits=2).collect()}
+    exp = pdf.groupby("cat")["val"].agg(["count", "mean"])
+    assert got == {c: (int(r["count"]), round(r["mean"], 2)) for c, r in exp.iterrows()}
+
+    totals = {r["cat"]: r["total_installs"] for r in G.top_groups_by_total(df, "cat", "val").collect()}
+    assert totals == {c: int(v) for c, v in pdf.groupby("cat")["val"].sum().items()}
+
+    best = {r["cat"]: r["sub"] for r in G.best_subgroup_per_group(df, "cat", "sub", "val", digits=None).collect()}
+    means = pdf.groupby(["cat", "sub"])["val"].mean().reset_index()
+    exp_best = means.sort_values(["cat", "val", "sub"], ascending=[True, False, True]).groupby("cat").head(1)
+    assert best == dict(zip(exp_best["cat"], exp_best["sub"]))
