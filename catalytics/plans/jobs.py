@@ -130,10 +130,10 @@ def prepare_ml(
 
     ``split_key`` switches from ``randomSplit`` to the deterministic key
     split (rows sharing a key stay on one side).  With ``materialize_split``
-    both sides are written once under ``spark.checkpoint.dir``: every
-    estimator fit (imputer, two indexers, scaler) then scans that table
-    instead of re-running the featurization and ``randomSplit``'s
-    per-partition sort, and the split cannot change between fits.
+    the train side is written once under ``spark.checkpoint.dir``: every
+    estimator fit (imputer, indexer, scaler) then scans that table instead of
+    re-running the featurization and ``randomSplit``'s per-partition sort, and
+    the rows cannot change between fits.  The test side is transformed once.
     """
     if split_key:
         carried = [] if split_key in ML_BASE_COLUMNS else [split_key]
@@ -144,7 +144,7 @@ def prepare_ml(
     else:
         train, test = split_random(ml_base(featured))
     if materialize_split:
-        train, test = cut_lineage(train, "ml-train-base"), cut_lineage(test, "ml-test-base")
+        train = cut_lineage(train, "ml-train-base")
     pipe = FE.feature_pipeline(
         fixed.ML_NUMERIC,
         FE.CATALOGUE_CATEGORICAL,
