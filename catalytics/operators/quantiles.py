@@ -10,20 +10,21 @@ Exact
     value into one buffer (one task or the driver).  The answer for
     probability p is the smallest value whose cumulative count reaches
     ``max(1, ceil(p * n))`` (the rank rule shared by ``percentile_disc``).
-    It is found in three scans of the pruned columns, none of which moves
+    It is found in two scans of the pruned columns, neither of which moves
     more than a bracket of values:
 
     1. one aggregation per column: row count and a bounded sketch
        (``percentile_approx``) read at p - d and p + d, giving a value
        bracket [lo, hi] that holds the target rank;
-    2. one global aggregation: rows below lo and rows inside [lo, hi] for
-       every (column, p) — this *verifies* the bracket (the target rank must
-       fall inside it) and bounds its size;
-    3. the rows inside verified brackets, counted per distinct value and
-       ordered by a window per (column, p): the answer is the value where
-       ``below + running count`` first reaches the target rank.
+    2. one more scan: per (column, p), rows below lo collapse into a single
+       counted row and rows inside [lo, hi] are counted per distinct value;
+       a window per (column, p) over these few rows gives running counts, and
+       the answer is the value where the running count first reaches the
+       target rank.  This also *verifies* the bracket: if the rows below lo
+       already reach the rank, or the bracket ends before it, the pair is
+       recomputed by the fallback.
 
-    A bracket that fails verification or holds more than
+    A bracket that fails verification or may hold more than
     ``max_bracket_rows`` rows falls back to range slices: values counted per
     distinct value (partial aggregation collapses hot values), range-
     partitioned into ordered slices written once under
@@ -90,6 +91,7 @@ def exact_quantiles(
 
 def _exact_quantiles(df, columns, probs, slices=None, accuracy=100_000, max_bracket_rows=5_000_000):
     """(result, staged frames to drop once the result has been collected)."""
+    spark = df.sparkSession
     columns, probs = list(columns), [float(p) for p in probs]
     vals = long_values(df, columns)
     margin = 2.0 / accuracy
@@ -105,33 +107,27 @@ def _exact_quantiles(df, columns, probs, slices=None, accuracy=100_000, max_brac
         )
         .collect()
     }
-    pairs = []  # (name, p, target rank, lo, hi)
+    pairs, bad = [], []  # pairs: (name, p, target rank, lo, hi)
     for c in columns:
         if c not in sketches:
             continue  # no values: no quantile
         n, qs = sketches[c]
         for i, p in enumerate(probs):
-            pairs.append((c, p, max(1, math.ceil(p * n)), qs[i], qs[len(probs) + i]))
-    if not pairs:
-        return vals.where(F.lit(False)).select("name", F.lit(0.0).alias("p"), "value"), []
-    # pass 2: verify every bracket (one aggregation, 2 numbers per pair)
-    name, value = F.col("name"), F.col("value")
-    checks = []
-    for c, p, r, lo, hi in pairs:
-        mine = name == F.lit(c)
-        checks.append(F.count_if(mine & (value < F.lit(lo))))
-        checks.append(F.count_if(mine & (value >= F.lit(lo)) & (value <= F.lit(hi))))
-    got = vals.agg(*[e.alias(f"c{i}") for i, e in enumerate(checks)]).first()
-    good, bad = [], []
-    for i, (c, p, r, lo, hi) in enumerate(pairs):
-        below, inside = got[f"c{2 * i}"], got[f"c{2 * i + 1}"]
-        if below < r <= below + inside and inside <= max_bracket_rows:
-            good.append((c, p, r, lo, hi, below))
-        else:
-            bad.append((c, p))
-    parts, staged = [], []
-    if good:
-        parts.append(_bracket_pick(vals, good))
+            # rows inside [lo, hi] are at most (hi_p - lo_p + 2/accuracy) * n by the sketch's bound
+            if (hi_p[i] - lo_p[i] + 2.0 / accuracy) * n > max_bracket_rows:
+                bad.append((c, p))
+            else:
+                pairs.append((c, p, max(1, math.ceil(p * n)), qs[i], qs[len(probs) + i]))
+    found = []
+    if pairs:
+        picked = {r["k"]: r["bv"] for r in _bracket_pass(vals, pairs).collect()}
+        for k, (c, p, r, lo, hi) in enumerate(pairs):
+            if picked.get(k) is not None:
+                found.append((c, p, float(picked[k])))
+            else:  # the bracket missed the rank (started too high or ended too low)
+                bad.append((c, p))
+    out = spark.createDataFrame(found, "name string, p double, value double")
+    staged = []
     if bad:
         fb_cols = sorted({c for c, _ in bad})
         fb_probs = sorted({p for _, p in bad})
@@ -139,41 +135,42 @@ def _exact_quantiles(df, columns, probs, slices=None, accuracy=100_000, max_brac
         wanted = F.lit(False)
         for c, p in bad:
             wanted = wanted | ((F.col("name") == F.lit(c)) & (F.col("p") == F.lit(p)))
-        parts.append(fb.where(wanted))
+        out = out.unionByName(fb.where(wanted))
         staged.append(ranged)
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return out, staged
 
 
-def _bracket_pick(vals: DataFrame, good) -> DataFrame:
-    """Pass 3: exact answer inside verified brackets (each at most
-    ``max_bracket_rows`` rows, so every window partition is bounded)."""
+def _bracket_pass(vals: DataFrame, pairs) -> DataFrame:
+    """Passes 2+3 in one scan.  Per pair k, rows below ``lo`` collapse into one
+    row with a null key and rows inside [lo, hi] are counted per value; a
+    window per k (null key first) gives running counts, and the row where the
+    count first reaches the target rank is the answer.  If that row is the
+    null one the bracket started too high; if no row reaches the rank it ended
+    too low.  Each window partition holds the bracket's distinct values + 1."""
     name, value = F.col("name"), F.col("value")
-
-    def lits(i):
-        return F.array(*[F.lit(g[i]) for g in good])
-
-    # each row is tested only against the brackets of its own column
     by_col: dict[str, list] = {}
-    for k, (c, p, r, lo, hi, below) in enumerate(good):
-        by_col.setdefault(c, []).append(F.when(value.between(F.lit(lo), F.lit(hi)), F.lit(k)))
+    for k, (c, p, r, lo, hi) in enumerate(pairs):
+        tag = F.when(
+            value < F.lit(lo), F.struct(F.lit(k).alias("k"), F.lit(True).alias("below"))
+        ).when(value <= F.lit(hi), F.struct(F.lit(k).alias("k"), F.lit(False).alias("below")))
+        by_col.setdefault(c, []).append(tag)
     tags = None
     for c, whens in by_col.items():
         cond = name == F.lit(c)
         tags = F.when(cond, F.array(*whens)) if tags is None else tags.when(cond, F.array(*whens))
-    inside = (
-        vals.select(F.explode(tags).alias("k"), "value")
-        .where(F.col("k").isNotNull())
-        .groupBy("k", "value")
+    counted = (
+        vals.select(F.explode(tags).alias("t"), "value")
+        .where(F.col("t").isNotNull())
+        .select(F.col("t.k").alias("k"), F.when(~F.col("t.below"), F.col("value")).alias("bv"))
+        .groupBy("k", "bv")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    at = F.col("k") + 1
-    w = Window.partitionBy("k").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = inside.withColumn("cum", F.element_at(lits(5), at) + F.sum("n").over(w))
-    target = F.element_at(lits(2), at)
-    return cum.where((F.col("cum") >= target) & (F.col("cum") - F.col("n") < target)).select(
-        F.element_at(lits(0), at).alias("name"), F.element_at(lits(1), at).alias("p"), "value"
+    w = Window.partitionBy("k").orderBy(F.col("bv").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
+    target = F.element_at(F.array(*[F.lit(x[2]) for x in pairs]), F.col("k") + 1)
+    cum = counted.withColumn("cum", F.sum("n").over(w))
+    return cum.where((F.col("cum") >= target) & (F.col("cum") - F.col("n") < target)).select("k", "bv")
 
 
 def _range_slice_quantiles(df, columns, probs, slices=None):

@@ -19,9 +19,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalytics.functions.dates import days_since
+from catalytics import fixed
+from catalytics.functions import parse as P
+from catalytics.functions.dates import days_since, weekend_flag
+from catalytics.operators import features as FE
 from catalytics.operators import groupstats as G
-from catalytics.sources.io import read_table
+from catalytics.operators import model as M
+from catalytics.operators import reports as R
+from catalytics.operators.missing import fill_constants, fill_median, impute_median, replace_sentinel
+from catalytics.operators.rules import catalogue_rules, enforce_rules, rule_report
+from catalytics.operators.split import label_split, split_by_key, split_random
+from catalytics.operators.topk import preview
+from catalytics.plans import jobs
+from catalytics.plans.stages import staged_cleaned_catalogue, staged_ml_sets, staged_raw_catalogue
+from catalytics.sources.io import (
+    load_model,
+    read_raw_csv,
+    read_table,
+    scratch_path,
+    sql_query,
+    write_csv,
+)
 
 # Reference day for the orders binding: one day after the last order date,
 # so all four age bands are populated.
@@ -101,28 +119,6 @@ QUERIES = {
 
 
 # ------------------------------------------------------------------ catalogue jobs
-from catalytics import fixed  # noqa: E402
-from catalytics.operators import features as FE  # noqa: E402
-from catalytics.operators import model as M  # noqa: E402
-from catalytics.operators import reports as R  # noqa: E402
-from catalytics.operators.missing import impute_median  # noqa: E402
-from catalytics.operators.rules import catalogue_rules, rule_report  # noqa: E402
-from catalytics.operators.split import label_split, split_by_key, split_random  # noqa: E402
-from catalytics.operators.topk import preview  # noqa: E402
-from catalytics.plans import jobs  # noqa: E402
-from catalytics.plans.catalogue import raw_catalogue  # noqa: E402
-from catalytics.plans.stages import (  # noqa: E402
-    staged_cleaned_catalogue,
-    staged_ml_sets,
-    staged_raw_catalogue,
-)
-from catalytics.sources.io import (  # noqa: E402
-    load_model,
-    read_raw_csv,
-    scratch_path,
-    sql_query,
-    write_csv,
-)
 
 
 def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,10 +340,6 @@ QUERIES.update(
 
 
 # ------------------------------------------------- one query per operator family
-from catalytics.functions import parse as P  # noqa: E402
-from catalytics.functions.dates import weekend_flag  # noqa: E402
-from catalytics.operators.missing import fill_constants, fill_median, replace_sentinel  # noqa: E402
-from catalytics.operators.rules import enforce_rules  # noqa: E402
 
 _ID = ["App Name", "App Id"]
 
