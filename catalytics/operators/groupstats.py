@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from catalytics import fixed
 from catalytics.functions.buckets import bucketize, two_way
 from catalytics.functions.parse import coerce_double, coerce_long
-from catalytics.operators.quantiles import approx_quantiles, exact_quantiles, wide_quantiles
+from catalytics.operators.quantiles import exact_quantiles, wide_quantiles
 from catalytics.operators.topk import best_per_group, sort_by, top_k, top_k_with_position
 
 
