@@ -56,12 +56,19 @@ def validated_catalogue(raw: DataFrame) -> DataFrame:
     return kept.withColumn("Size_KB", P.parse_size_kb(_c("Size")))
 
 
-def clean_catalogue(raw: DataFrame) -> DataFrame:
+def clean_catalogue(raw: DataFrame, stage: bool = True) -> DataFrame:
     """Raw text catalogue -> typed, validated, imputed table.
 
-    Runs one job (the exact median of ``Size_KB``) and returns a lazy plan.
+    The median of ``Size_KB`` must be taken over the rows that passed the
+    rules, before the identifier filter, so it needs its own jobs.  With
+    ``stage`` the validated rows are written once under
+    ``spark.checkpoint.dir``: the median's scans then read one Parquet column
+    and the returned plan reads typed Parquet, instead of parsing the raw
+    text three times.
     """
     valid = validated_catalogue(raw)
+    if stage:
+        valid = cut_lineage(valid, "validated")
     filled = fill_median(valid, ["Size_KB"])
     filled = fill_constants(filled, fixed.TEXT_FILLS)
     filled = replace_sentinel(filled, "Currency")
