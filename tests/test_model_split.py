@@ -57,3 +57,20 @@ def test_pipeline_on_fixture(raw):
     train, test, _ = jobs.prepare_ml(feat, split_key="Category")
     assert train.columns == fixed.ML_PREPARED_COLUMNS
     assert train.count() + test.count() == 9
+
+
+def test_pipeline_is_fitted_on_train_only(spark):
+    """Categories that only occur in test rows get the indexer's unseen slot."""
+    from catalytics.operators.features import catalogue_features
+    from catalytics.plans import jobs
+    from catalytics.plans.stages import staged_cleaned_catalogue
+    from tests.conftest import SF_SMALL
+
+    feat = catalogue_features(jobs.reduce_columns(staged_cleaned_catalogue(spark, SF_SMALL)))
+    train, test, _ = jobs.prepare_ml(feat, split_key="Category")
+    train_cats = {r[0] for r in train.select("Category").distinct().collect()}
+    test_rows = test.select("Category", "category_index").distinct().collect()
+    assert train_cats and test_rows
+    for cat, idx in test_rows:
+        assert cat not in train_cats  # the key split keeps a category on one side
+        assert idx == float(len(train_cats))  # unseen by the train-fitted indexer
