@@ -71,3 +71,11 @@ def test_hot_group_matches_pandas(spark):
     means = pdf.groupby(["cat", "sub"])["val"].mean().reset_index()
     exp_best = means.sort_values(["cat", "val", "sub"], ascending=[True, False, True]).groupby("cat").head(1)
     assert best == dict(zip(exp_best["cat"], exp_best["sub"]))
+
+
+def test_summary_approx_path_equals_exact_on_small_data(spark):
+    li = spark.read.parquet(f"{SF_CHECK}/lineitem.parquet").limit(500)
+    li = spark.createDataFrame(li.toPandas())  # a fixed 500-row frame
+    exact = G.numeric_summary(li, "l_returnflag", "l_tax", "l_extendedprice").first().asDict()
+    approx = G.numeric_summary(li, "l_returnflag", "l_tax", "l_extendedprice", exact=False, accuracy=100000).first().asDict()
+    assert exact == approx
