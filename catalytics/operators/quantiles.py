@@ -84,12 +84,25 @@ def exact_quantiles(
     slices: int | None = None,
     accuracy: int = 100_000,
     max_bracket_rows: int = 5_000_000,
+    grid: int = 1000,
+    max_rounds: int = 3,
 ) -> DataFrame:
     """Long result (name, p, value): exact quantiles, no task sees all values."""
-    return _exact_quantiles(df, columns, probs, slices, accuracy, max_bracket_rows)[0]
+    return _exact_quantiles(
+        df, columns, probs, slices, accuracy, max_bracket_rows, grid, max_rounds
+    )[0]
 
 
-def _exact_quantiles(df, columns, probs, slices=None, accuracy=100_000, max_bracket_rows=5_000_000):
+def _exact_quantiles(
+    df,
+    columns,
+    probs,
+    slices=None,
+    accuracy=100_000,
+    max_bracket_rows=5_000_000,
+    grid=1000,
+    max_rounds=3,
+):
     """(result, staged frames to drop once the result has been collected)."""
     spark = df.sparkSession
     columns, probs = list(columns), [float(p) for p in probs]
@@ -107,17 +120,26 @@ def _exact_quantiles(df, columns, probs, slices=None, accuracy=100_000, max_brac
         )
         .collect()
     }
-    pairs, bad = [], []  # pairs: (name, p, target rank, lo, hi)
+    pairs, wide, bad = [], [], []  # (name, p, target rank, lo, hi[, estimated rows])
     for c in columns:
         if c not in sketches:
             continue  # no values: no quantile
         n, qs = sketches[c]
         for i, p in enumerate(probs):
             # rows inside [lo, hi] are at most (hi_p - lo_p + 2/accuracy) * n by the sketch's bound
-            if (hi_p[i] - lo_p[i] + 2.0 / accuracy) * n > max_bracket_rows:
-                bad.append((c, p))
-            else:
-                pairs.append((c, p, max(1, math.ceil(p * n)), qs[i], qs[len(probs) + i]))
+            lo, hi = qs[i], qs[len(probs) + i]
+            # a window partition holds the bracket's distinct values: one when lo == hi
+            est = 1.0 if lo == hi else (hi_p[i] - lo_p[i] + 2.0 / accuracy) * n
+            pair = (c, p, max(1, math.ceil(p * n)), lo, hi)
+            (wide if est > max_bracket_rows else pairs).append((*pair, est))
+    for _ in range(max_rounds):
+        if not wide:
+            break
+        narrowed, wide = _refine_brackets(vals, wide, accuracy, grid), []
+        for pair in narrowed:
+            (wide if pair[5] > max_bracket_rows else pairs).append(pair)
+    bad += [(c, p) for c, p, *_ in wide]
+    pairs = [pair[:5] for pair in pairs]
     found = []
     if pairs:
         picked = {r["k"]: r["bv"] for r in _bracket_pass(vals, pairs).collect()}
@@ -140,6 +162,54 @@ def _exact_quantiles(df, columns, probs, slices=None, accuracy=100_000, max_brac
     return out, staged
 
 
+def _refine_brackets(vals: DataFrame, wide, accuracy: int, grid: int):
+    """One scan that narrows brackets too large to sort: per pair, the rows
+    below and inside the bracket are counted and the inside values sketched
+    at ``grid`` evenly spaced ranks; the target's rank inside the bracket
+    then picks two grid points (widened by the sketch's error) as the new
+    bracket.  Each round shrinks a bracket by about ``grid / 2``."""
+    name, value = F.col("name"), F.col("value")
+    by_col: dict[str, list] = {}
+    for k, (c, p, r, lo, hi, est) in enumerate(wide):
+        tag = F.when(
+            value < F.lit(lo), F.struct(F.lit(k).alias("k"), F.lit(True).alias("below"))
+        ).when(value <= F.lit(hi), F.struct(F.lit(k).alias("k"), F.lit(False).alias("below")))
+        by_col.setdefault(c, []).append(tag)
+    tags = None
+    for c, whens in by_col.items():
+        cond = name == F.lit(c)
+        tags = F.when(cond, F.array(*whens)) if tags is None else tags.when(cond, F.array(*whens))
+    points = [j / grid for j in range(grid + 1)]
+    stats = (
+        vals.select(F.explode(tags).alias("t"), "value")
+        .where(F.col("t").isNotNull())
+        .groupBy(F.col("t.k").alias("k"))
+        .agg(
+            F.count_if(F.col("t.below")).alias("below"),
+            F.count_if(~F.col("t.below")).alias("inside"),
+            F.percentile_approx(F.when(~F.col("t.below"), F.col("value")), points, accuracy).alias("qs"),
+        )
+        .collect()
+    )
+    by_k = {row["k"]: row for row in stats}
+    out = []
+    for k, (c, p, r, lo, hi, est) in enumerate(wide):
+        row = by_k.get(k)
+        below, inside, qs = (row["below"], row["inside"], row["qs"]) if row else (0, 0, None)
+        if not inside or not qs or not (below < r <= below + inside):
+            out.append((c, p, r, lo, hi, float("inf")))  # cannot narrow: leave to the fallback
+            continue
+        pos = (r - below) / inside  # the target's relative rank inside the bracket
+        slack = 1.0 / grid + 2.0 / accuracy
+        j_lo = max(0, math.floor((pos - slack) * grid))
+        j_hi = min(grid, math.ceil((pos + slack) * grid))
+        new_est = (j_hi - j_lo) / grid * inside + 2.0 * inside / accuracy
+        if qs[j_lo] == qs[j_hi]:
+            new_est = 1.0
+        out.append((c, p, r, qs[j_lo], qs[j_hi], new_est))
+    return out
+
+
 def _bracket_pass(vals: DataFrame, pairs) -> DataFrame:
     """Passes 2+3 in one scan.  Per pair k, rows below ``lo`` collapse into one
     row with a null key and rows inside [lo, hi] are counted per value; a

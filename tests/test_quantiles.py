@@ -33,7 +33,12 @@ def test_hot_value_third_of_rows(spark):
     a[: n // 3] = [42.0] * (n // 3)  # one value holds a third of the rows
     b = [None if i % 11 == 0 else float(i % 97) for i in range(n)]
     b[5] = float("nan")
-    for kw in ({}, {"accuracy": 20}, {"max_bracket_rows": 0}):  # bracket, wide bracket, fallback
+    for kw in (
+        {},  # bracket
+        {"accuracy": 20},  # wide bracket
+        {"accuracy": 20, "max_bracket_rows": 60, "grid": 10},  # refined brackets
+        {"max_bracket_rows": 0, "max_rounds": 0},  # range-slice fallback
+    ):
         got = run_exact(spark, list(zip(a, b)), slices=8, **kw)
         for p in PROBS:
             assert got[("a", p)] == brute(a, p), kw
@@ -52,7 +57,7 @@ def test_hot_value_third_of_rows(spark):
     )
 )
 def test_exact_matches_brute_force(spark, rows):
-    for kw in ({}, {"max_bracket_rows": 0}):
+    for kw in ({}, {"accuracy": 10, "max_bracket_rows": 4, "grid": 4}, {"max_bracket_rows": 0, "max_rounds": 0}):
         got = run_exact(spark, rows, slices=3, **kw)
         for col, idx in (("a", 0), ("b", 1)):
             vals = [r[idx] for r in rows]
@@ -76,8 +81,9 @@ def test_continuous_column_bracket_path_is_exact(spark):
     rng = np.random.default_rng(11)
     x = rng.lognormal(8, 2, 20000).round(3).tolist()
     df = spark.createDataFrame([(v,) for v in x], "x double")
-    got = {r["p"]: r["value"] for r in exact_quantiles(df, ["x"], [0.25, 0.5, 0.75, 0.99]).collect()}
-    assert got == {p: brute(x, p) for p in (0.25, 0.5, 0.75, 0.99)}
+    for kw in ({}, {"accuracy": 50, "max_bracket_rows": 100, "grid": 20}):
+        got = {r["p"]: r["value"] for r in exact_quantiles(df, ["x"], [0.25, 0.5, 0.75, 0.99], **kw).collect()}
+        assert got == {p: brute(x, p) for p in (0.25, 0.5, 0.75, 0.99)}, kw
 
 
 def test_eager_median_leaves_no_slice_table(spark):
