@@ -24,8 +24,10 @@ Exact
        already reach the rank, or the bracket ends before it, the pair is
        recomputed by the fallback.
 
-    A bracket that fails verification or may hold more than
-    ``max_bracket_rows`` rows falls back to range slices: values counted per
+    A bracket that may hold more than ``max_bracket_rows`` rows is first
+    narrowed by refinement rounds (one scan each: rows below/inside counted,
+    inside values sketched on a grid of ``grid`` ranks).  A bracket that
+    still fails verification or stays too large falls back to range slices: values counted per
     distinct value (partial aggregation collapses hot values), range-
     partitioned into ordered slices written once under
     ``spark.checkpoint.dir``, slice totals turned into offsets, and only the
