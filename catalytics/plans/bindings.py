@@ -31,7 +31,13 @@ from catalytics.operators.rules import catalogue_rules, enforce_rules, rule_repo
 from catalytics.operators.split import label_split, split_by_key, split_random
 from catalytics.operators.topk import preview
 from catalytics.plans import jobs
-from catalytics.plans.stages import staged_cleaned_catalogue, staged_ml_sets, staged_raw_catalogue
+from catalytics.plans.stages import (
+    recall,
+    remember,
+    staged_cleaned_catalogue,
+    staged_ml_sets,
+    staged_raw_catalogue,
+)
 from catalytics.sources.io import (
     load_model,
     read_raw_csv,
@@ -262,16 +268,13 @@ def q_prepare_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_MODELS: dict[tuple[str, str], str] = {}
-
-
 def q_forest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E5: train the forest on the staged E4 output, save it, score train, test
     and the mean baseline."""
     train, test = staged_ml_sets(spark, sf_dir)
     model_dir = scratch_path(spark, "forest")
     ev = jobs.train_and_evaluate(train, test, model_dir=model_dir)
-    _MODELS[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))] = model_dir
+    remember(spark, sf_dir, "forest", model_dir)
     return (
         ev.train_metrics.select(F.lit("train").alias("set"), "n", "rmse", "mae", "r2")
         .unionByName(ev.test_metrics.select(F.lit("test").alias("set"), "n", "rmse", "mae", "r2"))
@@ -282,12 +285,11 @@ def q_forest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M15 on the saved forest (trained here when this session has none yet)."""
     train, _ = staged_ml_sets(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _MODELS:
-        model_dir = scratch_path(spark, "forest")
+    model_dir = recall(spark, sf_dir, "forest")
+    if model_dir is None:
+        model_dir = remember(spark, sf_dir, "forest", scratch_path(spark, "forest"))
         jobs.train_and_evaluate(train, train, model_dir=model_dir)
-        _MODELS[key] = model_dir
-    forest = load_model(_MODELS[key])
+    forest = load_model(model_dir)
     return M.feature_importance(forest, train, numeric_names=fixed.ML_NUMERIC)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from catalytics.plans import jobs
 from catalytics.plans.catalogue import raw_catalogue
 from catalytics.operators.features import catalogue_features
-from catalytics.sources.io import read_stage, read_table, scratch_path, write_stage
+from catalytics.sources.io import read_stage, read_table, release_scratch, scratch_path, write_stage
 
 _STAGED: dict[tuple[str, str, str], str] = {}
 
@@ -63,3 +63,22 @@ def staged_ml_sets(
         _STAGED[key] = base
     base = _STAGED[key]
     return read_stage(spark, f"{base}/train"), read_stage(spark, f"{base}/test")
+
+
+def remember(spark: SparkSession, sf_dir: str, what: str, path: str) -> str:
+    """Record a folder written for this session (for example a saved model)."""
+    _STAGED[_key(spark, sf_dir, what)] = path
+    return path
+
+
+def recall(spark: SparkSession, sf_dir: str, what: str) -> str | None:
+    return _STAGED.get(_key(spark, sf_dir, what))
+
+
+def release_session(spark: SparkSession) -> int:
+    """End of a session's work: forget its staged tables and delete every
+    scratch folder this process wrote for it.  Returns folders removed."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _STAGED if k[0] == app]:
+        del _STAGED[key]
+    return release_scratch(spark)

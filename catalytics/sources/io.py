@@ -92,10 +92,29 @@ def write_csv(df: DataFrame, path: str, *, header: bool = True, escape: str = '"
     return path
 
 
+_SCRATCH: list[tuple[str, str]] = []  # (application id, folder) created by this process
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared ``spark.checkpoint.dir``."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/catalytics-{name}-{uuid.uuid4().hex}"
+    path = f"{base}/catalytics-{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark.sparkContext.applicationId, path))
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every scratch folder this process created for the session.
+
+    Call it when the session's work is finished (frames returned earlier may
+    still read these folders).  Returns the number of folders removed.
+    """
+    app = spark.sparkContext.applicationId
+    removed = 0
+    for entry in [e for e in _SCRATCH if e[0] == app]:
+        _SCRATCH.remove(entry)
+        removed += int(drop_stage(spark, entry[1]))
+    return removed
 
 
 def sql_query(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:

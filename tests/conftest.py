@@ -17,6 +17,9 @@ def spark():
 
     s = get_session("local[4]", shuffle_partitions=4, driver_memory="4g")
     yield s
+    from catalytics.plans.stages import release_session
+
+    release_session(s)
     s.stop()
 
 

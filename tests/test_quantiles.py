@@ -98,3 +98,16 @@ def test_eager_median_leaves_no_slice_table(spark):
     assert quantile_values(df, ["x"], [0.5]) == {"x": [49.0]}
     after = set(glob.glob(f"{base}/catalytics-quantile-slices-*"))
     assert after == before
+
+
+def test_release_scratch_removes_session_folders(spark):
+    import os
+
+    from catalytics.plans.stages import release_session
+    from catalytics.sources.io import cut_lineage
+
+    df = cut_lineage(spark.createDataFrame([(1,)], "x int"), "release-check")
+    path = df.inputFiles()[0].replace("file:", "").rsplit("/", 1)[0]
+    assert os.path.isdir(path)
+    assert release_session(spark) >= 1
+    assert not os.path.exists(path)
