@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -15,7 +17,7 @@ WHITE = " \t\n\x0b\x0c\r"
 
 __all__ = [
     "WHITE", "Hashes", "cut_lineage", "drop_stage", "free_name", "mix", "pack", "parts",
-    "read_table", "scratch_path", "small_batches", "text_or_empty", "unpack",
+    "read_table", "scratch_path", "settings", "small_batches", "text_or_empty", "unpack",
 ]
 
 
@@ -31,6 +33,19 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]):
+    """Session settings for the jobs inside the block; what was there before comes back."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -22,13 +22,11 @@ and text are read, so clashing extra columns do no harm.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalytics.llm.common import WHITE, cut_lineage, free_name, scratch_path, text_or_empty
+from catalytics.llm.common import WHITE, cut_lineage, free_name, scratch_path, settings, text_or_empty
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -71,15 +69,10 @@ def _best() -> Column:
     return F.max(F.struct("n_points", F.bitwise_not("doc_id").alias("inverse_id"), "locator"))
 
 
-@contextmanager
 def _disk_backed(spark: SparkSession):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before) if before else spark.conf.unset(key)
+    """RocksDB as state store, without room set aside on disk for every partition."""
+    store = "spark.sql.streaming.stateStore."
+    return settings(spark, {store + "providerClass": ROCKSDB, store + "rocksdb.allowFAllocate": "false"})
 
 
 def run_stream(spark: SparkSession, folder: str, checkpoint: str, schema, files_per_batch: int | None = None) -> DataFrame:
