@@ -113,7 +113,9 @@ def classes(docs: DataFrame, bits: int = 256) -> tuple[DataFrame, DataFrame, str
     fingerprints(docs, name, bits).write.parquet(folder)
     prints = spark.read.parquet(folder)
     state = cut_lineage(run_stream(spark, folder, scratch_path(spark, "digest-state"), prints.schema), "digests")
-    clash = cut_lineage(collisions(docs, state, bits), "collisions")
+    # hits are joined and aggregated by the same key: let the join split a hot one all the same
+    with settings(spark, {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}):
+        clash = cut_lineage(collisions(docs, state, bits), "collisions")
 
     sound = prints.join(state.join(clash, "digest", "left_anti"), "digest").withColumn("text_sha256", F.col("digest"))
     if not clash.isEmpty():

@@ -14,11 +14,13 @@ drops what provably has no link, and links are confirmed on the whole sets.
    four minimum-hash classes (the most shared member), confirmed links are followed,
    and a component is a group.  Thousands of near copies cost a comparison or four
    each, not one per pair.
-4. Matrix.  The union of each group's shingles gives rows (shingle, group).  A set is a
-   query to the groups that are not its own and not smaller.  Its overlap with a group's
-   union bounds its overlap with every member: first on its rarest shingles, then on all.
-5. Open.  Only groups whose bound reaches o are opened, and members of a fitting size
-   compared in full.  Pairs inside a group are never listed: they are connected already.
+4. Matrix.  The union of each group's shingles gives rows (shingle, group), and a bitmap
+   of WORDS longs.  A set asks the other groups that hold one of its rarest shingles and
+   a member of its own size or more; bits of the set that are missing in the group's
+   bitmap bound its overlap with every member.
+5. Open.  Only groups whose bound is high enough are opened; each member's size and
+   bitmap bound the overlap again, and what is left is compared in full.  Pairs inside
+   a group are never listed: they are connected already.
 
 Defined results: a null, empty or blank text has an empty set and no link; fewer than
 four words are one shingle.  A null doc_id is never linked.  Repeated rows are equal
@@ -44,6 +46,8 @@ FLUSH = 1_500_000
 #: Hash ranges for each shuffle partition.
 RANGES = 3
 ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Longs of a set's bitmap.
+WORDS = 16
 #: Minimum-hash classes in which a set meets a leader.
 MEETINGS = 4
 
@@ -262,39 +266,70 @@ def _meetings(sets: DataFrame) -> DataFrame:
 
     rows = sets.select("sid", "share", F.explode(classes("tokens")).alias("class")).select("sid", "share", "class.*")
     leaders = rows.groupBy("turn", "least").agg(F.max(F.struct("share", F.bitwise_not("sid").alias("inverse"))).alias("top"))
-    met = rows.join(leaders.select("turn", "least", F.bitwise_not("top.inverse").alias("b")), ["turn", "least"])
+    leaders = leaders.select("turn", "least", F.bitwise_not("top.inverse").alias("b"))
+    met = rows.join(cut_lineage(leaders, "leaders"), ["turn", "least"])
     return met.filter("sid <> b").select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b")).distinct()
 
 
+def _bitmaps(name: str) -> Column:
+    @F.pandas_udf(", ".join(f"w{i} long" for i in range(WORDS)))
+    def of(sets):
+        import pandas as pd
+
+        out = np.zeros((len(sets), WORDS), np.uint64)
+        for row, data in zip(out, sets, strict=True):
+            bit = (np.frombuffer(data, np.uint64) * ODD) % np.uint64(64 * WORDS)
+            np.bitwise_or.at(row, (bit >> np.uint64(6)).astype(int), np.uint64(1) << (bit & np.uint64(63)))
+        return pd.DataFrame(out.view(np.int64), columns=[f"w{i}" for i in range(WORDS)])
+
+    return of(F.col(name))
+
+
+def _bits(words) -> Column:
+    return sum((F.bit_count(w) for w in words), F.lit(0))
+
+
+def _overlap_of_equals(n: Column) -> Column:
+    """Least overlap of a set of ``n`` with a partner of its size or more."""
+    return F.ceil(n * (2 * NUMERATOR) / (NUMERATOR + DENOMINATOR))
+
+
 def _across(sets: DataFrame, groups: DataFrame) -> DataFrame:
     """Links between sets of different groups, through the token-group matrix."""
-    sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
+    words = [f"w{i}" for i in range(WORDS)]
     tokens = sets.select("sid", "n", _exploded("tokens").alias("token")).join(groups, "sid")
     spread = tokens.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
     between = tokens.join(spread.filter("low <> high").select("token"), "token", "left_semi")
-    needed = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
     # a link across groups has all its shared shingles among those of several groups
-    able = between.groupBy("sid").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n")).filter(F.col("common") >= needed)
-    between = cut_lineage(between.join(able.select("sid", "common"), "sid"), "between-groups")
-    matrix = between.select("token", "grp").distinct().join(sizes, "grp")
+    able = between.groupBy("sid").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"))
+    able = able.filter(F.col("common") >= F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)).select("sid")
+    between = cut_lineage(between.join(able, "sid"), "between-groups")
+
+    members = sets.select("sid", "n", _bitmaps("tokens").alias("bits")).join(able, "sid", "left_semi").join(groups, "sid")
+    members = cut_lineage(members.select("sid", "n", "grp", "bits"), "members")
+    unions = members.groupBy("grp").agg(F.max("n").alias("largest"), *[F.bit_or(f"bits.{w}").alias(w) for w in words])
+    matrix = between.select("token", "grp").distinct().join(unions, "grp")
+    matrix = matrix.select("token", F.col("grp").alias("to"), "largest", F.struct(*words).alias("union"))
     matrix = cut_lineage(matrix, "token-groups")
-    rarity = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("held_by"))
-    # rarest shingles first; those of its own group alone come before all that are left here
-    queries = between.join(rarity.filter("held_by > 1"), "token").join(sizes, "grp")
-    first = queries.groupBy("sid", "grp", "members", "n", "common").agg(F.sort_array(F.collect_list(F.struct("held_by", "token"))).alias("order"))
-    here = F.size("order")
-    skipped = F.col("n") - here
-    prefix = F.greatest(F.lit(0), F.col("n") - needed + 1 - skipped).cast("int")
-    first = first.filter(here >= needed).select("sid", "grp", "members", "n", F.explode(F.slice("order", F.lit(1), prefix)).alias("rare"))
-    first = first.select("sid", "grp", "members", "n", F.col("rare.token").alias("token"))
-    m = matrix.select("token", F.col("grp").alias("to"), F.col("members").alias("to_members"))
-    larger = F.struct("members", "grp") < F.struct("to_members", "to")
-    asked = first.join(m, "token").filter(larger).select("sid", "n", "to").distinct()
-    held = matrix.select("token", F.col("grp").alias("to"))
-    bound = asked.join(between.select("sid", "token"), "sid").join(held, ["token", "to"]).groupBy("sid", "to", "n").agg(F.count(F.lit(1)).alias("bound"))
-    opened = bound.filter(F.col("bound") >= needed).select("sid", "to")
-    members = able.select(F.col("sid").alias("b")).join(groups.select(F.col("sid").alias("b"), F.col("grp").alias("to")), "b")
-    return _confirmed(opened.join(members, "to").select(F.col("sid").alias("a"), "b"), sets)
+    rarity = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("held_by")).filter("held_by > 1")
+
+    # rarest shingles first; those that no other group holds come before all that are left here
+    order = between.join(rarity, "token").groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("held_by", "token"))).alias("order"))
+    asking = members.join(order, "sid")
+    spare = F.col("n") - _overlap_of_equals(F.col("n"))
+    prefix = F.greatest(F.lit(0), spare + 1 - (F.col("n") - F.size("order"))).cast("int")
+    asking = asking.select("sid", "n", "grp", "bits", F.explode(F.slice("order", F.lit(1), prefix)).alias("rare"))
+    asking = asking.select("sid", "n", "grp", "bits", F.col("rare.token").alias("token"))
+    missing = _bits(F.col(f"bits.{w}").bitwiseAND(F.bitwise_not(F.col(f"union.{w}"))) for w in words)
+    asked = asking.join(matrix, "token").filter((F.col("grp") != F.col("to")) & (F.col("largest") >= F.col("n")) & (missing <= spare))
+    asked = asked.groupBy("sid", "to").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+
+    inside = members.select(F.col("sid").alias("b"), F.col("grp").alias("to"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+    fits = (F.col("n_b") >= F.col("n")) & (DENOMINATOR * F.col("n") >= NUMERATOR * F.col("n_b"))
+    needed = F.ceil((F.col("n") + F.col("n_b")) * NUMERATOR / (NUMERATOR + DENOMINATOR))
+    apart = _bits(F.col(f"bits.{w}").bitwiseXOR(F.col(f"bits_b.{w}")) for w in words)
+    opened = asked.join(inside, "to").filter(fits & (apart <= F.col("n") + F.col("n_b") - 2 * needed))
+    return _confirmed(opened.select(F.col("sid").alias("a"), "b"), sets)
 
 
 def link_components(docs: DataFrame) -> DataFrame:
