@@ -17,6 +17,7 @@ the id and text columns are read, so clashing extra columns do no harm.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -28,7 +29,7 @@ from catalytics.llm.common import small_batches
 
 MAX_LEN = 4096
 END_ID = 2
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 class WordIds:
@@ -48,6 +49,7 @@ class WordIds:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         levels = ByteLevel(add_prefix_space=False, use_regex=False)
         letters = {c for c in map(chr, range(0xC0, 0x100)) if c.isalpha()}
         self.bytes_of = {ord(c): levels.pre_tokenize_str(c)[0][0] for c in letters}
@@ -69,16 +71,16 @@ class WordIds:
         for w in self.WORDS.findall(chunk.lower()):
             ids = words.get(w)
             if ids is None:
-                found = self.tokenizer.model.tokenize(w if w.isascii() else w.translate(self.bytes_of))
-                ids = words[w] = np.asarray([t.id for t in found], "<u4").tobytes()
+                found = self.model.tokenize(w if w.isascii() else w.translate(self.bytes_of))
+                ids = words[w] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
             out.append(ids)
         return b"".join(out)
 
-    def _learn(self, new: list[str]) -> None:
-        rest = []
+    def _learn(self, new: list[str], special: bool) -> None:
+        rest, plain, chunks, short = [], self.PLAIN.fullmatch, self.chunks, self._short
         for c in new:
-            if self.plain and self.PLAIN.fullmatch(c) and not any(x in c for x in self.special):
-                self.chunks[c] = self._short(c)
+            if self.plain and plain(c) and not (special and any(x in c for x in self.special)):
+                chunks[c] = short(c)
             else:
                 rest.append(c)
         for at in range(0, len(rest), 4096):
@@ -95,7 +97,8 @@ class WordIds:
         if len(self.words) > REMEMBERED:
             self.words = {}
         known = self.chunks
-        self._learn(list({c for doc in docs for c in doc if c not in known}))
+        special = any(x in t for t in texts for x in self.special)
+        self._learn(list(set().union(*docs).difference(known)), special)
         return [np.frombuffer(b"".join(map(known.__getitem__, doc)), "<u4") for doc in docs]
 
 

@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import catalytics
-from catalytics.llm import exact_dedup, jaccard_join, packing, quality, secrets
+from catalytics.llm import chat_format, exact_dedup, jaccard_join, packing, quality, secrets, url_filter
 from catalytics.llm.common import read_table
 
 
@@ -33,6 +33,54 @@ def bound(query):
     return run
 
 
+def op1_url_filter(spark, sf_dir):
+    judged = url_filter.judge(read_table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _url_filter_sql() -> str:
+    """Rules and rounds written out; what follows is the method in SQL."""
+    rules = ", ".join(f"('{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{v}')" for r, v in url_filter.RULES.items())
+    rounds, d = [], url_filter.DAMPING
+    for k in range(1, url_filter.ROUNDS + 1):
+        rounds.append(f"""
+        s{k} AS (SELECT kind, node, sum(score) AS score FROM (
+            SELECT * FROM s0 UNION ALL
+            SELECT a.kind, a.dest AS node, {d} * s.score * a.share FROM s{k - 1} s JOIN arc a ON a.kind = s.kind AND a.node = s.node)
+            GROUP BY 1, 2)""")
+    return rf"""
+        WITH rule(rule, rule_host, rule_path, rule_verdict) AS (VALUES {rules}),
+        page AS (
+            SELECT page_id, coalesce(html, '') AS html,
+                   translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+            FROM pages),
+        fit AS (
+            SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(rule_verdict, length(rule)) AS by_rule
+            FROM page JOIN rule ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+            GROUP BY 1),
+        judged AS (SELECT p.*, rule, by_rule FROM page p LEFT JOIN fit USING (page_id)),
+        href AS (
+            SELECT host AS source, unnest(regexp_extract_all(html, '(?i)href\s*=\s*["'']?([a-z][a-z0-9+.-]*://[^"''\s>]+)', 1)) AS link FROM page),
+        link AS (
+            SELECT source, translate(regexp_extract(link, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target,
+                   count(*) AS n FROM href GROUP BY 1, 2),
+        arc0 AS (
+            SELECT 'allow' AS kind, source AS node, target AS dest, n FROM link WHERE source <> target AND source <> '' AND target <> ''
+            UNION ALL
+            SELECT 'block', target, source, n FROM link WHERE source <> target AND source <> '' AND target <> ''),
+        arc AS (SELECT kind, node, dest, n / sum(n) OVER (PARTITION BY kind, node) AS share FROM arc0),
+        s0 AS (
+            SELECT by_rule AS kind, host AS node, {1 - d} * count(*) / sum(count(*)) OVER (PARTITION BY by_rule) AS score
+            FROM judged WHERE by_rule IS NOT NULL AND host <> '' GROUP BY 1, 2),{",".join(rounds)},
+        host AS (
+            SELECT node AS host, coalesce(sum(score) FILTER (kind = 'allow'), 0) AS trust,
+                   coalesce(sum(score) FILTER (kind = 'block'), 0) AS distrust FROM s{len(rounds)} GROUP BY 1)
+        SELECT page_id, host, path, rule,
+               coalesce(by_rule, CASE WHEN distrust > 0 AND distrust >= {url_filter.THRESHOLD} * trust THEN 'block' ELSE 'allow' END) AS verdict
+        FROM judged LEFT JOIN host USING (host)"""
+
+
 def op3_packing(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     columns = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
@@ -57,12 +105,41 @@ def op9_quality_rules(spark, sf_dir):
     return judged.select("doc_id", f"{name}.*")
 
 
+def op10_chat_format(spark, sf_dir):
+    return chat_format.format_chats(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     q.__name__: bound(q)
-    for q in (op3_packing, op5_jaccard_join, op7_secret_scan, op8_exact_dedup, op9_quality_rules)
+    for q in (
+        op1_url_filter,
+        op3_packing,
+        op5_jaccard_join,
+        op7_secret_scan,
+        op8_exact_dedup,
+        op9_quality_rules,
+        op10_chat_format,
+    )
 }
 
 ORACLE_SQL = {
+    "op1_url_filter": _url_filter_sql(),
+    "op10_chat_format": r"""
+        WITH turns AS (
+            SELECT DISTINCT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL),
+        chat AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   list(struct_pack(role, text) ORDER BY turn NULLS FIRST, role, text) AS said,
+                   string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
+                              ORDER BY turn NULLS FIRST, role, text) AS chat
+            FROM turns GROUP BY conv_id),
+        single AS (
+            SELECT min(conv_id) AS conv_id, any_value(n_turns) AS n_turns, count(*) AS n_equal, said, any_value(chat) AS chat
+            FROM chat GROUP BY said)
+        SELECT conv_id, n_turns, n_equal, chat FROM single s
+        WHERE NOT EXISTS (SELECT 1 FROM chat l WHERE l.said[1] = s.said[1] AND l.n_turns > s.n_turns
+                          AND l.said[1:s.n_turns] = s.said)""",
     "op5_jaccard_join": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
