@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import catalytics
-from catalytics.llm import chat_format, exact_dedup, jaccard_join, packing, quality, secrets, url_filter
+from catalytics.llm import chat_format, exact_dedup, jaccard_join, packing, quality, secrets, suffix_tree, url_filter
 from catalytics.llm.common import read_table
 
 
@@ -87,6 +87,10 @@ def op3_packing(spark, sf_dir):
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), with_ids=False).select(*columns)
 
 
+def op4_suffix_tree(spark, sf_dir):
+    return suffix_tree.score(read_table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark, sf_dir):
     return jaccard_join.link_components(read_table(spark, sf_dir, "documents"))
 
@@ -114,6 +118,7 @@ QUERIES = {
     for q in (
         op1_url_filter,
         op3_packing,
+        op4_suffix_tree,
         op5_jaccard_join,
         op7_secret_scan,
         op8_exact_dedup,
