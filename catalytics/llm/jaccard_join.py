@@ -132,7 +132,7 @@ def _sent(docs: DataFrame, ranges: int) -> DataFrame:
         keys = np.fromiter(sets, np.int64, len(sets))
         sizes = np.fromiter(map(len, sets.values()), np.int64, len(sets))
         tokens, holders = np.concatenate(list(sets.values())), np.repeat(keys, sizes)
-        order = np.argsort(tokens, kind="stable")
+        order = np.argsort(tokens)
         tokens, holders = tokens[order], holders[order]
         first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
         times = np.diff(np.r_[first, len(tokens)])

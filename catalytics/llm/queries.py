@@ -8,9 +8,21 @@ from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import catalytics
-from catalytics.llm import chat_format, exact_dedup, jaccard_join, packing, quality, secrets, suffix_tree, url_filter
+from catalytics.llm import (
+    chat_format,
+    exact_dedup,
+    jaccard_join,
+    licence_scan,
+    packing,
+    quality,
+    secrets,
+    sentence_pieces,
+    suffix_tree,
+    url_filter,
+)
 from catalytics.llm.common import read_table
 
 
@@ -81,6 +93,13 @@ def _url_filter_sql() -> str:
         FROM judged LEFT JOIN host USING (host)"""
 
 
+def op2_sentence_pieces(spark, sf_dir):
+    vocabulary = sentence_pieces.load(tokenizer_file("piece_bpe_32k.model"))
+    rows = sentence_pieces.encode(read_table(spark, sf_dir, "documents"), vocabulary)
+    decoded = sentence_pieces.decode(F.col("ids"), vocabulary)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", (decoded == F.col("text")).alias("round_trip"))
+
+
 def op3_packing(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     columns = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
@@ -95,6 +114,10 @@ def op5_jaccard_join(spark, sf_dir):
     return jaccard_join.link_components(read_table(spark, sf_dir, "documents"))
 
 
+def op6_licence_scan(spark, sf_dir):
+    return licence_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark, sf_dir):
     return secrets.scan(read_table(spark, sf_dir, "documents"))
 
@@ -117,9 +140,11 @@ QUERIES = {
     q.__name__: bound(q)
     for q in (
         op1_url_filter,
+        op2_sentence_pieces,
         op3_packing,
         op4_suffix_tree,
         op5_jaccard_join,
+        op6_licence_scan,
         op7_secret_scan,
         op8_exact_dedup,
         op9_quality_rules,

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from catalytics.llm.common import Hashes, cut_lineage, mix, pack, parts, small_batches, text_or_empty, unpack
 
-FLUSH = 1_500_000
+FLUSH = 1_000_000
 #: Hash ranges for each shuffle partition.
 RANGES = 3
 #: Training occurrences a context needs.
@@ -90,7 +90,7 @@ class _Keys:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray, where: np.ndarray):
         self.where = where
-        self.order = np.argsort(keys, kind="stable")
+        self.order = np.argsort(keys)
         ordered = keys[self.order]
         self.first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(keys) else np.zeros(0, np.int64)
         self.keys = ordered[self.first]
