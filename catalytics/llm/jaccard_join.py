@@ -294,28 +294,40 @@ def _overlap_of_equals(n: Column) -> Column:
     return F.ceil(n * (2 * NUMERATOR) / (NUMERATOR + DENOMINATOR))
 
 
-def _across(sets: DataFrame, groups: DataFrame) -> DataFrame:
-    """Links between sets of different groups, through the token-group matrix."""
-    words = [f"w{i}" for i in range(WORDS)]
+def _between(sets: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sid, token) of shingles that several groups hold, and (sid, n, share, bits), for
+    the sets whose links across groups they could make up."""
     tokens = sets.select("sid", "n", _exploded("tokens").alias("token")).join(groups, "sid")
     spread = tokens.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
     between = tokens.join(spread.filter("low <> high").select("token"), "token", "left_semi")
-    # a link across groups has all its shared shingles among those of several groups
     able = between.groupBy("sid").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"))
     able = able.filter(F.col("common") >= F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)).select("sid")
-    between = cut_lineage(between.join(able, "sid"), "between-groups")
+    members = sets.select("sid", "n", "share", _bitmaps("tokens").alias("bits")).join(able, "sid", "left_semi")
+    return cut_lineage(between.join(able, "sid").select("sid", "token"), "between-groups"), cut_lineage(members, "members")
+
 
-    members = sets.select("sid", "n", _bitmaps("tokens").alias("bits")).join(able, "sid", "left_semi").join(groups, "sid")
-    members = cut_lineage(members.select("sid", "n", "grp", "bits"), "members")
+def _across(sets: DataFrame, groups: DataFrame, between: DataFrame, members: DataFrame, leaders_only: bool) -> DataFrame:
+    """Links between sets of different groups, through the token-group matrix.
+
+    ``leaders_only``: only the most shared member of each group asks.  That joins large
+    groups by a link or two before all members ask, so the many links between
+    the members of two such groups need not be listed.
+    """
+    words = [f"w{i}" for i in range(WORDS)]
+    members = members.join(groups, "sid")
     unions = members.groupBy("grp").agg(F.max("n").alias("largest"), *[F.bit_or(f"bits.{w}").alias(w) for w in words])
-    matrix = between.select("token", "grp").distinct().join(unions, "grp")
+    matrix = between.join(groups, "sid").select("token", "grp").distinct().join(unions, "grp")
     matrix = matrix.select("token", F.col("grp").alias("to"), "largest", F.struct(*words).alias("union"))
     matrix = cut_lineage(matrix, "token-groups")
     rarity = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("held_by")).filter("held_by > 1")
 
+    asking = members
+    if leaders_only:
+        top = members.groupBy("grp").agg(F.max(F.struct("share", "sid")).alias("top")).select(F.col("top.sid").alias("sid"))
+        asking = members.join(top, "sid", "left_semi")
     # rarest shingles first; those that no other group holds come before all that are left here
     order = between.join(rarity, "token").groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("held_by", "token"))).alias("order"))
-    asking = members.join(order, "sid")
+    asking = asking.join(order, "sid")
     spare = F.col("n") - _overlap_of_equals(F.col("n"))
     prefix = F.greatest(F.lit(0), spare + 1 - (F.col("n") - F.size("order"))).cast("int")
     asking = asking.select("sid", "n", "grp", "bits", F.explode(F.slice("order", F.lit(1), prefix)).alias("rare"))
@@ -345,10 +357,13 @@ def link_components(docs: DataFrame) -> DataFrame:
     found = components(edges)
     groups = sets.select("sid").join(found.withColumnRenamed("node", "sid"), "sid", "left")
     groups = cut_lineage(groups.select("sid", F.coalesce("root", "sid").alias("grp")), "groups")
-    more = cut_lineage(_across(sets, groups), "links")
-    # groups joined by the links found between them
-    joined = more.join(groups.toDF("a", "ga"), "a").join(groups.toDF("b", "gb"), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
-    merged = groups.join(components(joined).toDF("grp", "root"), "grp", "left").select("sid", F.coalesce("root", "grp").alias("grp"))
+    between, members = _between(sets, groups)
+    for leaders_only in (True, False):
+        more = cut_lineage(_across(sets, groups, between, members, leaders_only), "links")
+        joined = more.join(groups.toDF("a", "ga"), "a").join(groups.toDF("b", "gb"), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
+        groups = groups.join(components(joined).toDF("grp", "root"), "grp", "left")
+        groups = cut_lineage(groups.select("sid", F.coalesce("root", "grp").alias("grp")), "groups")
+    merged = groups
 
     # names of classes: per digest first, so a text with a third of all rows is one row here
     of_set = sets.select("sid", "digest").join(merged, "sid").select("digest", "grp")
