@@ -74,21 +74,3 @@ def require_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for c in columns:
         df = df.where(_c(c).isNotNull())
     return df
-
-
-def in_closed_range(c: str | Column, low: float, high: float) -> Column:
-    """F8: ``low <= c <= high`` (NaN and null fail)."""
-    col = _c(c) if isinstance(c, str) else c
-    return col.between(low, high) & ~F.isnan(col)
-
-
-def outside_fences(c: str | Column, lower: Column, upper: Column) -> Column:
-    """strictly below the lower or above the upper fence."""
-    col = _c(c) if isinstance(c, str) else c
-    return (col < lower) | (col > upper)
-
-
-def null_or_sentinel(c: str | Column, sentinel: str) -> Column:
-    """F16."""
-    col = _c(c) if isinstance(c, str) else c
-    return col.isNull() | (col == F.lit(sentinel))

@@ -21,7 +21,7 @@ from catalytics.operators import model as M
 from catalytics.operators.missing import fill_constants, fill_median, replace_sentinel
 from catalytics.operators.reports import duplicate_key_count, outlier_report, stage_report
 from catalytics.operators.rules import catalogue_rules, enforce_rules, require_present, rule_report
-from catalytics.operators.split import split_by_key, split_random
+from catalytics.operators.split import label_split
 from catalytics.sources.io import cut_lineage, save_model, write_stage
 
 
@@ -135,23 +135,24 @@ def prepare_ml(
 ) -> tuple[DataFrame, DataFrame, object]:
     """Base -> 70/30 split -> pipeline fitted on train only -> (train, test, model).
 
-    ``split_key`` switches from ``randomSplit`` to the deterministic key
-    split (rows sharing a key stay on one side).  With ``materialize_split``
-    the train side is written once under ``spark.checkpoint.dir``: every
-    estimator fit (imputer, indexer, scaler) then scans that table instead of
-    re-running the featurization and ``randomSplit``'s per-partition sort, and
-    the rows cannot change between fits.  The test side is transformed once.
+    Every row is labelled once, by ``split_key`` (rows sharing a key stay on one
+    side) or else by a hash of its own values, so the two sides never depend on
+    how the input is partitioned.  With ``materialize_split`` the labelled rows
+    are written once under ``spark.checkpoint.dir`` and both sides are filters
+    of that table: the estimator fits scan it instead of re-running the
+    featurization, and no row can change sides in between.
     """
-    if split_key:
-        carried = [] if split_key in ML_BASE_COLUMNS else [split_key]
-        base = ml_base(featured, keep=carried)
-        train, test = split_by_key(base, split_key)
-        if carried:
-            train, test = train.drop(split_key), test.drop(split_key)
-    else:
-        train, test = split_random(ml_base(featured))
+    carried = [split_key] if split_key and split_key not in ML_BASE_COLUMNS else []
+    base = ml_base(featured, keep=carried)
+    key = split_key or "_row_hash"
+    if not split_key:
+        base = base.withColumn(key, F.xxhash64(*[_c(c) for c in base.columns]))
+    labelled = label_split(base, key, name="_side")
+    if key not in ML_BASE_COLUMNS:
+        labelled = labelled.drop(key)
     if materialize_split:
-        train = cut_lineage(train, "ml-train-base")
+        labelled = cut_lineage(labelled, "ml-base")
+    train, test = (labelled.where(F.col("_side") == side).drop("_side") for side in ("train", "test"))
     pipe = FE.feature_pipeline(
         fixed.ML_NUMERIC,
         FE.CATALOGUE_CATEGORICAL,

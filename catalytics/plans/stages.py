@@ -15,27 +15,35 @@ from pyspark.sql import DataFrame, SparkSession
 from catalytics.plans import jobs
 from catalytics.plans.catalogue import raw_catalogue
 from catalytics.operators.features import catalogue_features
-from catalytics.sources.io import read_stage, read_table, release_scratch, scratch_path, write_stage
+from catalytics.sources.io import read_stage, release_scratch, scratch_path, write_stage
 
 _STAGED: dict[tuple[str, str, str], str] = {}
 
 
+SOURCES = ("lineitem", "orders")
+
+
+def _state_of(spark: SparkSession, sf_dir: str) -> str:
+    """Paths, sizes and modification times of the source tables' files: a
+    replaced or appended table gets a new stage instead of a stale one."""
+    found = []
+    for name in SOURCES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files = fs.listStatus(path)
+        found += sorted(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in files)
+    return "|".join(found)
+
+
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, str, str]:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+    state = _state_of(spark, sf_dir)
+    return (spark.sparkContext.applicationId, f"{sf_dir.rstrip('/')} {state}", what)
 
 
 def staged_raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = _key(spark, sf_dir, "raw")
     if key not in _STAGED:
-        df = raw_catalogue(spark, sf_dir)
-        parallelism = spark.sparkContext.defaultParallelism
-        # input splits of the driving scan (a plain scan: no job is started)
-        splits = read_table(spark, sf_dir, "lineitem").select("l_orderkey").rdd.getNumPartitions()
-        if splits < parallelism:
-            # Few input splits (one row group per test file): spread the rows so
-            # the per-row parsing downstream uses every core.
-            df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-        _STAGED[key] = write_stage(df, scratch_path(spark, "raw-catalogue"))
+        _STAGED[key] = write_stage(raw_catalogue(spark, sf_dir), scratch_path(spark, "raw-catalogue"))
     return read_stage(spark, _STAGED[key])
 
 

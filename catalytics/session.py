@@ -54,7 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        # Only a bare local session gets here (tests); a cluster names its folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="catalytics-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from catalytics.plans.bindings import QUERIES
 from tests.conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -41,11 +42,11 @@ def duck():
 
 
 def test_every_query_has_oracle_or_is_ml():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(QUERIES) - set(E.oracle_sql())
     assert missing <= {"split_random", "feature_importance", "forest_metrics", "build_features", "prepare_ml"}
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) & set(E.queries())))
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) & set(QUERIES)))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
