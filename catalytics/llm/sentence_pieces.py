@@ -26,13 +26,14 @@ each; an empty table gives an empty result.  Only id and text are read.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalytics.llm.common import cut_lineage, text_or_empty
+from catalytics.llm.common import cut_lineage, parts, settings, text_or_empty
 
 MARK = "▁"
 NEVER = 2**31 - 1
@@ -106,7 +107,15 @@ def words_of(text: Column) -> Column:
 
 
 def _piece_table(spark: SparkSession, v: Vocabulary) -> DataFrame:
-    return spark.createDataFrame(v.pieces, "piece string, id int, rank int, right array<int>, left array<int>")
+    return spark.createDataFrame([p[:3] for p in v.pieces], "piece string, id int, rank int")
+
+
+def _parts(v: Vocabulary, side: int) -> Column:
+    """By id, the ranks that take a piece's right (3) or left (4) parts; a constant of the plan."""
+    table: list[list[int]] = [[] for _ in v.hex_of]
+    for piece in v.pieces:
+        table[piece[1]] = piece[side]
+    return F.from_json(F.lit(json.dumps(table, separators=(",", ":"))), "array<array<int>>")
 
 
 def lattice(words: DataFrame, v: Vocabulary) -> DataFrame:
@@ -138,9 +147,8 @@ def lattice(words: DataFrame, v: Vocabulary) -> DataFrame:
         "size",
         "end",
         F.coalesce("rank", F.lit(NEVER)).alias("rank"),
-        "right",
-        "left",
-        F.when(F.col("id").isNull(), as_bytes).otherwise(F.array("id")).alias("ids"),
+        F.coalesce("id", F.lit(-1)).alias("id"),
+        F.when(F.col("id").isNull(), as_bytes).alias("bytes"),
     )
     return found.groupBy("word_id", "end").agg(F.collect_list(edge).alias("edges"))
 
@@ -148,14 +156,16 @@ def lattice(words: DataFrame, v: Vocabulary) -> DataFrame:
 def _fold(ends: Column, v: Vocabulary, edge_type: str) -> Column:
     """Ids of a word from ``ends``: the edges of every place, in order."""
 
+    right, left = _parts(v, 3), _parts(v, 4)
+
     def apart(last: Column, edge: Column, border: Column, here: Column) -> Column:
         """Whether ``last`` (ends at the border) and ``edge`` (ends here) stay two pieces."""
         near = F.flatten(F.slice(ends, border + 1, here - border))
         merge = lambda x: (
             (x["end"] - x["size"] < border)
             & (x["end"] - x["size"] >= border - last["size"])
-            & (x["rank"] < F.coalesce(F.get(last["right"], border - (x["end"] - x["size"]) - 1), F.lit(-1)))
-            & (x["rank"] <= F.coalesce(F.get(edge["left"], x["end"] - border - 1), F.lit(-1)))
+            & (x["rank"] < F.coalesce(F.get(F.get(right, last["id"]), border - (x["end"] - x["size"]) - 1), F.lit(-1)))
+            & (x["rank"] <= F.coalesce(F.get(F.get(left, edge["id"]), x["end"] - border - 1), F.lit(-1)))
         )
         return ~F.exists(near, merge)
 
@@ -165,13 +175,13 @@ def _fold(ends: Column, v: Vocabulary, edge_type: str) -> Column:
         # exactly one edge fits; a character that is no piece is the only edge at its end
         chosen = F.get(F.filter(edges, follows), F.lit(0))
         recent = F.concat(F.slice(state["recent"], F.greatest(F.lit(1), F.size(state["recent"]) - v.longest + 2), F.lit(v.longest)), F.array(chosen))
-        back = F.concat(state["back"], F.array(F.struct(chosen["size"].alias("size"), chosen["ids"].alias("ids"))))
+        back = F.concat(state["back"], F.array(F.struct(chosen["size"].alias("size"), chosen["id"].alias("id"), chosen["bytes"].alias("bytes"))))
         return F.struct(here.alias("here"), recent.alias("recent"), back.alias("back"))
 
     none = F.struct(
         F.lit(0).alias("here"),
         F.array().cast(f"array<{edge_type}>").alias("recent"),
-        F.array().cast("array<struct<size:int,ids:array<int>>>").alias("back"),
+        F.array().cast("array<struct<size:int,id:int,bytes:array<int>>>").alias("back"),
     )
 
     def trace(state: Column) -> Column:
@@ -181,7 +191,7 @@ def _fold(ends: Column, v: Vocabulary, edge_type: str) -> Column:
 
         def behind(s: Column, place: Column) -> Column:
             e = F.try_element_at(back, place)
-            taken = F.struct((s["at"] - e["size"]).alias("at"), F.concat(s["ids"], F.array(e["ids"])).alias("ids"))
+            taken = F.struct((s["at"] - e["size"]).alias("at"), F.concat(s["ids"], F.array(F.coalesce(e["bytes"], F.array(e["id"])))).alias("ids"))
             return F.when(place == s["at"], taken).otherwise(s)
 
         places = F.reverse(F.sequence(F.lit(1), F.size(back)))
@@ -194,7 +204,7 @@ def encoded_words(words: DataFrame, v: Vocabulary) -> DataFrame:
     """(word, ids) for a column ``word`` of different words."""
     words = cut_lineage(words.select("word").withColumn("word_id", F.monotonically_increasing_id()), "words")
     # dealt by word once: both groupings and the fold then stay where the word is
-    ends = lattice(words.repartition("word_id"), v)
+    ends = lattice(words.repartition(parts(words.sparkSession), "word_id"), v)
     grouped = ends.groupBy("word_id").agg(F.sort_array(F.collect_list(F.struct("end", "edges"))).alias("ends"))
     edge = ends.schema["edges"].dataType.elementType.simpleString()
     folded = grouped.select("word_id", F.col("ends.edges").alias("ends")).select("word_id", _fold(F.col("ends"), v, edge).alias("ids"))
@@ -205,7 +215,9 @@ def encode(docs: DataFrame, v: Vocabulary) -> DataFrame:
     """doc_id, ids (and text) for every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), F.monotonically_increasing_id().alias("row"))
     places = rows.select("row", F.posexplode(words_of(F.col("text"))).alias("place", "word"))
-    known = cut_lineage(encoded_words(places.select("word").distinct(), v), "encoded-words")
+    # a word's few edges are gathered in memory, without a sort of all of them
+    with settings(docs.sparkSession, {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000"}):
+        known = cut_lineage(encoded_words(places.select("word").distinct(), v), "encoded-words")
     found = places.join(known, "word").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("parts"))
     out = rows.join(found.select("row", F.flatten("parts.ids").alias("ids")), "row", "left")
     return out.select("doc_id", "text", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
