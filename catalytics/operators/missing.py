@@ -75,11 +75,15 @@ def impute_median(
     with a bounded sketch; this operator is the exact, still distributed,
     variant.
     """
-    medians = column_medians(fit_on if fit_on is not None else df, columns)
+    return impute_with(df, column_medians(fit_on if fit_on is not None else df, columns), suffix)
+
+
+def impute_with(df: DataFrame, medians: dict, suffix: str = fixed.IMPUTED_SUFFIX) -> DataFrame:
+    """``<col><suffix>`` for every column of ``medians``, as double; a column whose
+    median is None (no values) keeps its nulls."""
     out = {}
-    for c in columns:
+    for c, m in medians.items():
         v = F.col(f"`{c}`").cast("double")
-        m = medians.get(c)
         filled = v if m is None else F.when(v.isNull() | F.isnan(v), F.lit(float(m))).otherwise(v)
         out[f"{c}{suffix}"] = filled
     return df.withColumns(out)

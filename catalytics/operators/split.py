@@ -32,14 +32,18 @@ def split_random(
 def key_slot(df: DataFrame, key: str, salt: int = 0) -> Column:
     """A value in [0, 1) from a key (deterministic on any cluster).
 
-    Integer keys use a multiplicative hash on their low 32 bits (the same in
-    any SQL engine); other key types use Spark's ``xxhash64``.  A null key
-    gets slot 0, so it still lands on exactly one side.
+    Integer keys use a multiplicative hash on their low 32 bits, text keys the
+    first 16 bits of their MD5 (both the same in any SQL engine); other key
+    types use Spark's ``xxhash64``.  A null key gets slot 0, so it still lands
+    on exactly one side.
     """
     k = F.col(f"`{key}`")
     if isinstance(df.schema[key].dataType, T.IntegralType):
         low = F.pmod(k.cast("long"), F.lit(4294967296))
         mixed = F.pmod(low * F.lit(_HASH_MULTIPLIER) + F.lit(salt), F.lit(_HASH_MODULUS))
+    elif isinstance(df.schema[key].dataType, T.StringType):
+        digest = F.md5(F.concat(F.lit(f"{salt}:"), k))
+        mixed = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int")
     else:
         mixed = F.pmod(F.xxhash64(k, F.lit(salt)), F.lit(_HASH_MODULUS))
     return F.coalesce(mixed / F.lit(float(_HASH_MODULUS)), F.lit(0.0))

@@ -11,7 +11,8 @@ Spark derives from them), with these stand-ins:
     price (0 = free)   l_tax
     released/updated   o_orderdate, l_shipdate
 
-Each function takes (spark, sf_dir) and returns a lazy DataFrame.
+Each function takes (spark, sf_dir) and returns a DataFrame; staged tables, fitted
+encoders and medians are computed while it is being built.
 """
 
 from __future__ import annotations
@@ -268,6 +269,12 @@ def q_prepare_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_ml_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5's baseline: the mean label of the staged train rows scored on the test rows."""
+    train, test = staged_ml_sets(spark, sf_dir)
+    return M.mean_baseline(train, test, digits=3)
+
+
 def q_forest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E5: train the forest on the staged E4 output, save it, score train, test
     and the mean baseline."""
@@ -334,6 +341,7 @@ QUERIES.update(
         "compare_models": q_compare_models,
         "build_features": q_build_features,
         "prepare_ml": q_prepare_ml,
+        "ml_baseline": q_ml_baseline,
         "forest_metrics": q_forest_metrics,
         "feature_importance": q_feature_importance,
         "sql_query": q_sql_query,

@@ -18,7 +18,7 @@ from catalytics import fixed
 from catalytics.functions import parse as P
 from catalytics.operators import features as FE
 from catalytics.operators import model as M
-from catalytics.operators.missing import fill_constants, fill_median, replace_sentinel
+from catalytics.operators.missing import column_medians, fill_constants, fill_median, impute_with, replace_sentinel
 from catalytics.operators.reports import duplicate_key_count, outlier_report, stage_report
 from catalytics.operators.rules import catalogue_rules, enforce_rules, require_present, rule_report
 from catalytics.operators.split import label_split
@@ -132,6 +132,7 @@ def prepare_ml(
     split_key: str | None = None,
     imputer_relative_error: float = 0.001,
     materialize_split: bool = True,
+    exact_median: bool = False,
 ) -> tuple[DataFrame, DataFrame, object]:
     """Base -> 70/30 split -> pipeline fitted on train only -> (train, test, model).
 
@@ -140,7 +141,9 @@ def prepare_ml(
     how the input is partitioned.  With ``materialize_split`` the labelled rows
     are written once under ``spark.checkpoint.dir`` and both sides are filters
     of that table: the estimator fits scan it instead of re-running the
-    featurization, and no row can change sides in between.
+    featurization, and no row can change sides in between.  With
+    ``exact_median`` the missing numbers get the exact medians of the train
+    rows before the pipeline, which then has no imputing stage.
     """
     carried = [split_key] if split_key and split_key not in ML_BASE_COLUMNS else []
     base = ml_base(featured, keep=carried)
@@ -153,10 +156,15 @@ def prepare_ml(
     if materialize_split:
         labelled = cut_lineage(labelled, "ml-base")
     train, test = (labelled.where(F.col("_side") == side).drop("_side") for side in ("train", "test"))
+    numeric = fixed.ML_NUMERIC
+    if exact_median:
+        medians = column_medians(train, fixed.ML_NUMERIC)
+        train, test = (impute_with(side, medians) for side in (train, test))
+        numeric = [f"{c}{fixed.IMPUTED_SUFFIX}" for c in fixed.ML_NUMERIC]
     pipe = FE.feature_pipeline(
-        fixed.ML_NUMERIC,
+        numeric,
         FE.CATALOGUE_CATEGORICAL,
-        impute=True,
+        impute=not exact_median,
         imputer_relative_error=imputer_relative_error,
     )
     model, tr, te = FE.fit_transform(pipe, train, train, test)

@@ -190,3 +190,86 @@ CATALOGUE_ORACLE.update(
             FROM raw""",
     }
 )
+
+
+# ------------------------------------------------------------ encoded features
+
+
+def _index_cte(name: str, column: str, rows: str, fit: str) -> str:
+    """Frequency index of a category over the fitted rows (ties by name)."""
+    return f"""{name} AS (
+        SELECT v, ROW_NUMBER() OVER (ORDER BY n DESC, v) - 1 AS i
+        FROM (SELECT {_q(column)} AS v, COUNT(*) AS n FROM {rows} WHERE {_q(column)} IS NOT NULL AND {fit} GROUP BY 1))"""
+
+
+def _encoded(rows: str, numeric: dict[str, str], fit: str) -> str:
+    """CTEs up to ``encoded``: indexes, one-hots, numeric and scaled arrays, ``features``.
+
+    ``numeric`` maps names to expressions over ``rows``; ``fit`` picks the rows
+    that fix categories and ranges.  Missing numbers are NaN and stay out of
+    the ranges; a column with one value becomes 0.5; a missing or unseen
+    category gets the index after the last one.
+    """
+    cols = [f"x{i}" for i in range(len(numeric))]
+    values = ", ".join(f"COALESCE(CAST({e} AS DOUBLE), 'NaN'::DOUBLE) AS {c}" for c, e in zip(cols, numeric.values(), strict=True))
+    ranges = ", ".join(f"MIN({c}) FILTER (NOT isnan({c})) AS lo_{c}, MAX({c}) FILTER (NOT isnan({c})) AS hi_{c}" for c in cols)
+    scaled = ", ".join(
+        f"CASE WHEN isnan({c}) THEN {c} WHEN hi_{c} = lo_{c} THEN 0.5::DOUBLE ELSE ({c} - lo_{c}) * (1.0::DOUBLE / (hi_{c} - lo_{c})) END"
+        for c in cols
+    )
+    hot = "list_transform(range({k} + 1), lambda j: CASE WHEN j = {i} THEN 1.0 ELSE 0.0 END)::DOUBLE[]"
+    return f"""
+        {_index_cte("cat", "Category", rows, fit)},
+        {_index_cte("con", "Content Rating", rows, fit)},
+        num AS (SELECT *, {values} FROM {rows}),
+        span AS (SELECT {ranges} FROM num WHERE {fit}),
+        size AS (SELECT (SELECT COUNT(*) FROM cat) AS kc, (SELECT COUNT(*) FROM con) AS kr),
+        placed AS (
+            SELECT num.*, COALESCE(cat.i, kc) AS ci, COALESCE(con.i, kr) AS ri, kc, kr,
+                   [{", ".join(cols)}]::DOUBLE[] AS numeric_features,
+                   [{scaled}]::DOUBLE[] AS numeric_features_scaled
+            FROM num, span, size
+            LEFT JOIN cat ON cat.v = num."Category" LEFT JOIN con ON con.v = num."Content Rating"),
+        hot AS (
+            SELECT *, CAST(ci AS DOUBLE) AS category_index, CAST(ri AS DOUBLE) AS content_rating_index,
+                   {hot.format(k="kc", i="ci")} AS category_ohe, {hot.format(k="kr", i="ri")} AS content_rating_ohe
+            FROM placed),
+        encoded AS (
+            SELECT *, list_concat(list_concat(numeric_features_scaled, category_ohe), content_rating_ohe) AS features FROM hot)"""
+
+
+_ON_TRAIN = "split = 'train'"
+_ML_BASE_CTE = f"""{FEATURES_CTE.replace(f"EXCLUDE ({_DROP})", "EXCLUDE (" + _DROP.replace('"App Id", ', "").replace(', "App Id"', "") + ")")},
+base AS (
+    SELECT *, CAST("Maximum Installs" AS DOUBLE) AS label,
+           CASE WHEN COALESCE(CAST('0x' || substr(md5('0:' || "App Id"), 1, 4) AS BIGINT) / 65536.0, 0) < 0.7
+                THEN 'train' ELSE 'test' END AS split
+    FROM feat
+    WHERE "Maximum Installs" IS NOT NULL AND "Category" IS NOT NULL AND "Content Rating" IS NOT NULL)"""
+_ML_NUMBERS = [f"CAST({_q(c)} AS DOUBLE)" for c in fixed.ML_NUMERIC]
+_ML_MEDIANS = ", ".join(
+    f"quantile_disc({v}, 0.5) FILTER (WHERE {v} IS NOT NULL AND NOT isnan({v})) AS m{i}" for i, v in enumerate(_ML_NUMBERS)
+)
+_ML_FILLED = {
+    c: f"CASE WHEN {v} IS NULL OR isnan({v}) THEN (SELECT m{i} FROM medians) ELSE {v} END"
+    for i, (c, v) in enumerate(zip(fixed.ML_NUMERIC, _ML_NUMBERS, strict=True))
+}
+
+CATALOGUE_ORACLE.update(
+    {
+        "build_features": f"""WITH {FEATURES_CTE},
+            {_encoded("feat", {c: _q(c) for c in fixed.ANALYSIS_NUMERIC}, "true")}
+            SELECT {", ".join(map(_q, fixed.TRANSFORMED_COLUMNS))} FROM encoded""",
+        "prepare_ml": f"""WITH {_ML_BASE_CTE},
+            medians AS (SELECT {_ML_MEDIANS} FROM base WHERE {_ON_TRAIN}),
+            {_encoded("base", _ML_FILLED, _ON_TRAIN)}
+            SELECT {", ".join(map(_q, fixed.ML_PREPARED_COLUMNS))}, split FROM encoded""",
+        "ml_baseline": f"""WITH {_ML_BASE_CTE},
+            guess AS (SELECT AVG(label) AS m FROM base WHERE {_ON_TRAIN}),
+            held AS (SELECT label, AVG(label) OVER () AS own FROM base WHERE NOT {_ON_TRAIN})
+            SELECT ROUND(ANY_VALUE(m), 3) AS baseline_prediction, COUNT(*) AS n,
+                   ROUND(SQRT(AVG((label - m) ** 2)), 3) AS rmse, ROUND(AVG(ABS(label - m)), 3) AS mae,
+                   ROUND(1 - SUM((label - m) ** 2) / SUM((label - own) ** 2), 3) + 0.0::DOUBLE AS r2
+            FROM held, guess""",
+    }
+)

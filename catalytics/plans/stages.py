@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from catalytics import fixed
 from catalytics.plans import jobs
 from catalytics.plans.catalogue import raw_catalogue
 from catalytics.operators.features import catalogue_features
@@ -21,6 +22,8 @@ _STAGED: dict[tuple[str, str, str], str] = {}
 
 
 SOURCES = ("lineitem", "orders")
+#: Rows of one application stay on one side of the train/test split.
+SPLIT_KEY = "App Id"
 
 
 def _state_of(spark: SparkSession, sf_dir: str) -> str:
@@ -63,8 +66,9 @@ def staged_ml_sets(
     unless ``refresh`` asks for a new run."""
     key = _key(spark, sf_dir, "ml")
     if refresh or key not in _STAGED:
-        featured = catalogue_features(jobs.reduce_columns(staged_cleaned_catalogue(spark, sf_dir)))
-        train, test, _ = jobs.prepare_ml(featured)
+        drop = [c for c in fixed.REDUCTION_DROP if c != SPLIT_KEY]
+        featured = catalogue_features(jobs.reduce_columns(staged_cleaned_catalogue(spark, sf_dir), drop))
+        train, test, _ = jobs.prepare_ml(featured, split_key=SPLIT_KEY, exact_median=True)
         base = scratch_path(spark, "ml-sets")
         write_stage(train, f"{base}/train")
         write_stage(test, f"{base}/test")
