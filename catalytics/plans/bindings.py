@@ -454,3 +454,68 @@ QUERIES.update(
         "date_features": q_date_features,
     }
 )
+
+
+# -------------------------------------- the nine questions on the pipeline's own output
+
+_LABEL = "Maximum Installs"
+
+
+def q_catalogue_top_by_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1, with a group of missing categories."""
+    return G.top_groups_by_mean(_features(spark, sf_dir), "Category", _LABEL)
+
+
+def q_catalogue_mean_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2; missing ratings go."""
+    return G.mean_by_rounded_level(_features(spark, sf_dir), "Rating", _LABEL)
+
+
+def q_catalogue_top_min_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 at its own threshold; sizes have groups on both sides of it at every scale."""
+    return G.top_groups_min_size(_features(spark, sf_dir), "Size_KB", "Rating")
+
+
+def q_catalogue_mean_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4; a missing price is not free."""
+    return G.mean_by_flag(_features(spark, sf_dir), "Price", _LABEL)
+
+
+def q_catalogue_mean_by_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5."""
+    return G.mean_by_band(_features(spark, sf_dir), "app_age_days", _LABEL)
+
+
+def q_catalogue_best_subgroup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6."""
+    return G.best_subgroup_per_group(_features(spark, sf_dir), "Category", "Content Rating", _LABEL)
+
+
+def q_catalogue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7; rows without a price go, missing categories are not counted."""
+    return G.numeric_summary(_features(spark, sf_dir), "Category", "Price", "Rating Count")
+
+
+def q_catalogue_top_by_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 over the rows with a category, a rating and a count."""
+    return G.top_groups_by_total(_features(spark, sf_dir), "Category", _LABEL, rating="Rating")
+
+
+def q_catalogue_rating_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2."""
+    return G.rating_bucket_stats(_features(spark, sf_dir), "Category", "Rating", _LABEL, digits=2)
+
+
+QUERIES.update(
+    {
+        "catalogue_top_by_mean": q_catalogue_top_by_mean,
+        "catalogue_mean_by_level": q_catalogue_mean_by_level,
+        "catalogue_top_min_size": q_catalogue_top_min_size,
+        "catalogue_mean_by_flag": q_catalogue_mean_by_flag,
+        "catalogue_mean_by_band": q_catalogue_mean_by_band,
+        "catalogue_best_subgroup": q_catalogue_best_subgroup,
+        "catalogue_summary": q_catalogue_summary,
+        "catalogue_top_by_total": q_catalogue_top_by_total,
+        "catalogue_rating_buckets": q_catalogue_rating_buckets,
+    }
+)

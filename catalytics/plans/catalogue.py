@@ -3,7 +3,8 @@
 Each line item becomes one catalogue row whose 24 columns are *text*, in the
 forms the cleaning job must parse: counts with ``+`` and thousands commas,
 ``$`` prices, sizes in ``M`` / ``k`` / other units, ``MMM d, yyyy`` dates,
-loosely written flags, sentinel currencies and missing identifiers.  The
+loosely written flags, sentinel currencies, and missing identifiers, categories,
+ratings and prices.  The
 order's date is the release day and the ship date the update day, so the
 date-order rule has real violations; several lines share an order, so the id
 has duplicates.  The work grows with ``lineitem``.
@@ -56,14 +57,16 @@ def raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = {
         "App Name": F.concat(F.lit("item "), _str(S("l_orderkey")), F.lit("-"), _str(ln)),
         "App Id": _str(S("l_orderkey")),
-        "Category": S("o_orderpriority"),
+        "Category": F.when((ln != 6) | (S("l_returnflag") != "A"), S("o_orderpriority")),
         "Rating": F.when(S("l_quantity") < 49, _str(F.round(S("l_discount") * 50, 1))),
         "Rating Count": _str(S("l_quantity")),
         "Installs": F.concat(F.format_number(S("o_totalprice").cast("long"), 0), F.lit("+")),
         "Minimum Installs": F.format_number(S("l_extendedprice").cast("long"), 0),
         "Maximum Installs": _str((S("l_extendedprice") * (1 + S("l_tax")) * 10).cast("long")),
         "Free": F.lit("True"),
-        "Price": F.when(S("l_tax") == 0, F.lit("0")).otherwise(F.concat(F.lit("$"), _str(S("l_tax")))),
+        "Price": F.when(S("l_tax") == 0, F.lit("0")).when(
+            S("l_quantity") != 25, F.concat(F.lit("$"), _str(S("l_tax")))
+        ),
         "Currency": F.when(S("l_returnflag") == "R", F.lit("XXX")).when(
             S("l_returnflag") != "A", F.lit("USD")
         ),
@@ -97,14 +100,14 @@ RAW_CATALOGUE_SQL = """
     SELECT
         'item ' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS "App Name",
         CAST(l_orderkey AS VARCHAR) AS "App Id",
-        o_orderpriority AS "Category",
+        CASE WHEN l_linenumber <> 6 OR l_returnflag <> 'A' THEN o_orderpriority END AS "Category",
         CASE WHEN l_quantity < 49 THEN CAST(ROUND(l_discount * 50, 1) AS VARCHAR) END AS "Rating",
         CAST(l_quantity AS VARCHAR) AS "Rating Count",
         format('{:,}', CAST(trunc(o_totalprice) AS BIGINT)) || '+' AS "Installs",
         format('{:,}', CAST(trunc(l_extendedprice) AS BIGINT)) AS "Minimum Installs",
         CAST(CAST(trunc(l_extendedprice * (1 + l_tax) * 10) AS BIGINT) AS VARCHAR) AS "Maximum Installs",
         'True' AS "Free",
-        CASE WHEN l_tax = 0 THEN '0' ELSE '$' || CAST(l_tax AS VARCHAR) END AS "Price",
+        CASE WHEN l_tax = 0 THEN '0' WHEN l_quantity <> 25 THEN '$' || CAST(l_tax AS VARCHAR) END AS "Price",
         CASE WHEN l_returnflag = 'R' THEN 'XXX' WHEN l_returnflag <> 'A' THEN 'USD' END AS "Currency",
         CASE l_linenumber
             WHEN 1 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || 'M'

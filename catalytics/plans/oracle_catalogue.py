@@ -273,3 +273,56 @@ CATALOGUE_ORACLE.update(
             FROM held, guess""",
     }
 )
+
+
+# ------------------------------------------------ the nine questions on the features
+
+_COMPLETE = 'SELECT * FROM feat WHERE "Category" IS NOT NULL AND "Rating" IS NOT NULL AND NOT isnan("Rating") AND "Maximum Installs" IS NOT NULL'
+
+CATALOGUE_ORACLE.update(
+    {
+        "catalogue_top_by_mean": f"""WITH {FEATURES_CTE}
+            SELECT "Category", count(*) AS total_apps, round(avg("Maximum Installs"), 0) AS avg_installs
+            FROM feat GROUP BY ALL ORDER BY avg_installs DESC NULLS LAST, "Category" NULLS LAST LIMIT 10""",
+        "catalogue_mean_by_level": f"""WITH {FEATURES_CTE}
+            SELECT round("Rating") AS rating_level, count(*) AS total_apps, round(avg("Maximum Installs"), 0) AS avg_installs
+            FROM feat WHERE "Rating" IS NOT NULL GROUP BY ALL""",
+        "catalogue_top_min_size": f"""WITH {FEATURES_CTE}
+            SELECT "Size_KB", count("Rating") AS app_count, round(avg("Rating"), 2) AS avg_rating
+            FROM feat GROUP BY ALL HAVING app_count >= 100
+            ORDER BY avg_rating DESC, app_count DESC, "Size_KB" NULLS LAST LIMIT 10""",
+        "catalogue_mean_by_flag": f"""WITH {FEATURES_CTE}
+            SELECT if(coalesce("Price", 1) = 0, 'Free', 'Paid') AS app_type, count(*) AS total_apps,
+                   round(avg("Maximum Installs"), 2) AS avg_installs
+            FROM feat GROUP BY ALL""",
+        "catalogue_mean_by_band": f"""WITH {FEATURES_CTE}
+            SELECT band.label AS app_age_group, count(*) AS total_apps, round(avg("Maximum Installs"), 0) AS avg_installs
+            FROM feat ASOF JOIN (VALUES (-1000000, 'Less than 1 year'), (365, '1 to 3 years'),
+                                        (1095, '3 to 5 years'), (1825, 'More than 5 years')) band(low, label)
+                 ON feat.app_age_days >= band.low
+            GROUP BY band.label""",
+        "catalogue_best_subgroup": f"""WITH {FEATURES_CTE},
+            pair AS (
+                SELECT "Category", "Content Rating", count(*) AS total_apps, round(avg("Maximum Installs"), 0) AS avg_installs
+                FROM feat WHERE "Content Rating" IS NOT NULL GROUP BY ALL)
+            SELECT * FROM pair
+            QUALIFY row_number() OVER (PARTITION BY "Category" ORDER BY avg_installs DESC NULLS LAST, "Content Rating") = 1
+            ORDER BY avg_installs DESC NULLS LAST, "Category" NULLS LAST LIMIT 15""",
+        "catalogue_summary": f"""WITH {FEATURES_CTE}
+            SELECT count(*) AS total_apps, count(DISTINCT "Category") AS distinct_categories,
+                   round(avg("Price"), 2) AS avg_price, round(var_samp("Price"), 2) AS price_variance,
+                   round(avg("Rating Count"), 2) AS avg_installs, round(var_samp("Rating Count"), 2) AS installs_variance,
+                   quantile_disc("Price", 0.5) AS median_price, quantile_disc("Rating Count", 0.25) AS installs_p25,
+                   quantile_disc("Rating Count", 0.5) AS median_installs, quantile_disc("Rating Count", 0.75) AS installs_p75
+            FROM feat WHERE "Price" IS NOT NULL AND "Rating Count" IS NOT NULL""",
+        "catalogue_top_by_total": f"""WITH {FEATURES_CTE},
+            total AS (
+                SELECT "Category", CAST(sum("Maximum Installs") AS BIGINT) AS total_installs FROM ({_COMPLETE}) GROUP BY ALL)
+            SELECT CAST(row_number() OVER (ORDER BY total_installs DESC, "Category") AS INTEGER) AS position, *
+            FROM total QUALIFY position <= 10""",
+        "catalogue_rating_buckets": f"""WITH {FEATURES_CTE}
+            SELECT least(floor("Rating"), 4)::INT || '-' || (least(floor("Rating"), 4)::INT + 1) AS bucket,
+                   count(*) AS app_count, round(avg("Maximum Installs"), 2) AS avg_installs
+            FROM ({_COMPLETE}) WHERE "Rating" BETWEEN 0 AND 5 GROUP BY ALL""",
+    }
+)
