@@ -333,3 +333,31 @@ def wide_quantiles(
 def ceil_rank(p: float, n: int) -> int:
     """The 1-based rank rule used above (for tests and brute-force checks)."""
     return max(1, math.ceil(p * n))
+
+
+def rank_check(
+    df: DataFrame, values: Sequence[tuple[str, float, float]], relative_error: float
+) -> DataFrame:
+    """(column, p, n, within) for approximate quantiles (column, p, value): one
+    aggregation counts the rows up to each value; ``within`` says whether its rank
+    is no further than ``relative_error * n`` from the one asked for."""
+    counts, lines = [], []
+    for i, (c, p, value) in enumerate(values):
+        v = F.col(f"`{c}`").cast("double")
+        known = v.isNotNull() & ~F.isnan(v)
+        counts += [
+            F.count_if(known).alias(f"n{i}"),
+            F.count_if(known & (v < F.lit(float(value)))).alias(f"below{i}"),
+            F.count_if(known & (v <= F.lit(float(value)))).alias(f"upto{i}"),
+        ]
+        n = F.col(f"n{i}")
+        low, high = F.floor(n * (p - relative_error)), F.ceil(n * (p + relative_error))
+        lines.append(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.lit(float(p)).alias("p"),
+                n.alias("n"),
+                ((F.col(f"below{i}") < high) & (F.col(f"upto{i}") >= low)).alias("within"),
+            )
+        )
+    return df.agg(*counts).select(F.inline(F.array(*lines)))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalytics import fixed
-from catalytics.operators.quantiles import column_quantiles
+from catalytics.operators.quantiles import quantile_values
 
 
 def stage_report(stages: dict[str, DataFrame]) -> DataFrame:
@@ -55,49 +55,26 @@ def outlier_report(
 
     Two jobs for any number of columns: one for the quartiles (a bounded
     sketch, or the exact distributed method when ``relative_error`` is 0),
-    one that counts rows outside the fences.  The fences table has one row
-    per column, so broadcasting it is bounded.
+    one aggregation that counts rows outside the fences.  The fences are two
+    numbers per column, so they are literals of the plan.
     """
-    q = column_quantiles(df, columns, [0.25, 0.75], relative_error)
-    fences = (
-        q.groupBy("name")
-        .agg(
-            F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
-            F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"),
+    quartiles = quantile_values(df, columns, [0.25, 0.75], relative_error)
+    fences, counts = [], []
+    for i, c in enumerate(columns):
+        q1, q3 = quartiles[c]
+        known = q1 is not None and q3 is not None
+        iqr = q3 - q1 if known else None
+        lower, upper = (q1 - k * iqr, q3 + k * iqr) if known else (None, None)
+        fences.append((c, q1, q3, iqr, lower, upper))
+        v = F.col(f"`{c}`").cast("double")
+        outside = (v < F.lit(lower)) | (v > F.lit(upper)) if known else F.lit(False)
+        counts.append(F.count_if(outside).alias(f"n{i}"))
+    lines = [
+        F.struct(
+            F.lit(c).alias("column"),
+            *[F.lit(x).cast("double").alias(n) for n, x in zip(("q1", "q3", "iqr", "lower", "upper"), numbers, strict=True)],
+            F.col(f"n{i}").alias("n_outliers"),
         )
-        .withColumn("iqr", F.col("q3") - F.col("q1"))
-        .withColumn("lower", F.col("q1") - F.lit(k) * F.col("iqr"))
-        .withColumn("upper", F.col("q3") + F.lit(k) * F.col("iqr"))
-    )
-    typed = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    values = (
-        typed.select(F.lit(columns[0]).alias("name"), F.col(f"`{columns[0]}`").alias("value"))
-        if len(columns) == 1
-        else typed.unpivot([], list(columns), "name", "value")
-    )
-    counts = (
-        values.join(F.broadcast(fences.select("name", "lower", "upper")), "name")
-        .groupBy("name")
-        .agg(
-            F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias(
-                "n_outliers"
-            )
-        )
-    )
-    names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(columns)], "name string, ord int")
-    return (
-        names.join(fences, "name", "left")
-        .join(counts, "name", "left")
-        .select(
-            F.col("name").alias("column"),
-            "q1",
-            "q3",
-            "iqr",
-            "lower",
-            "upper",
-            F.coalesce(F.col("n_outliers"), F.lit(0)).cast("long").alias("n_outliers"),
-            "ord",
-        )
-        .orderBy("ord")
-        .drop("ord")
-    )
+        for i, (c, *numbers) in enumerate(fences)
+    ]
+    return df.agg(*counts).select(F.inline(F.array(*lines)))

@@ -28,13 +28,12 @@ from catalytics.operators import groupstats as G
 from catalytics.operators import model as M
 from catalytics.operators import reports as R
 from catalytics.operators.missing import fill_constants, fill_median, impute_median, replace_sentinel
+from catalytics.operators.quantiles import quantile_values, rank_check
 from catalytics.operators.rules import catalogue_rules, enforce_rules, rule_report
 from catalytics.operators.split import label_split, split_by_key, split_random
 from catalytics.operators.topk import preview
 from catalytics.plans import jobs
 from catalytics.plans.stages import (
-    recall,
-    remember,
     staged_cleaned_catalogue,
     staged_ml_sets,
     staged_raw_catalogue,
@@ -43,6 +42,7 @@ from catalytics.sources.io import (
     load_model,
     read_raw_csv,
     read_table,
+    save_model,
     scratch_path,
     sql_query,
     write_csv,
@@ -279,9 +279,7 @@ def q_forest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E5: train the forest on the staged E4 output, save it, score train, test
     and the mean baseline."""
     train, test = staged_ml_sets(spark, sf_dir)
-    model_dir = scratch_path(spark, "forest")
-    ev = jobs.train_and_evaluate(train, test, model_dir=model_dir)
-    remember(spark, sf_dir, "forest", model_dir)
+    ev = jobs.train_and_evaluate(train, test, model_dir=scratch_path(spark, "forest"))
     return (
         ev.train_metrics.select(F.lit("train").alias("set"), "n", "rmse", "mae", "r2")
         .unionByName(ev.test_metrics.select(F.lit("test").alias("set"), "n", "rmse", "mae", "r2"))
@@ -290,14 +288,11 @@ def q_forest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M15 on the saved forest (trained here when this session has none yet)."""
+    """Train on the staged train rows, save, load, and read the importances."""
     train, _ = staged_ml_sets(spark, sf_dir)
-    model_dir = recall(spark, sf_dir, "forest")
-    if model_dir is None:
-        model_dir = remember(spark, sf_dir, "forest", scratch_path(spark, "forest"))
-        jobs.train_and_evaluate(train, train, model_dir=model_dir)
-    forest = load_model(model_dir)
-    return M.feature_importance(forest, train, numeric_names=fixed.ML_NUMERIC)
+    model_dir = scratch_path(spark, "forest")
+    save_model(M.train_forest(train), model_dir)
+    return M.feature_importance(load_model(model_dir), train, numeric_names=fixed.ML_NUMERIC)
 
 
 # The source's questions are SQL text over a named view; the same text
@@ -519,3 +514,28 @@ QUERIES.update(
         "catalogue_rating_buckets": q_catalogue_rating_buckets,
     }
 )
+
+
+# ---------------------------------------------------------------- approximate forms
+
+
+def q_approx_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 with its error bound: whether each sketch's quartiles keep to it."""
+    df = _cleaned(spark, sf_dir)
+    asked = [0.25, 0.75]
+    got = quantile_values(df, fixed.OUTLIER_COLUMNS, asked, fixed.OUTLIER_QUANTILE_ERROR)
+    values = [(c, p, v) for c in fixed.OUTLIER_COLUMNS for p, v in zip(asked, got[c], strict=True) if v is not None]
+    return rank_check(df, values, fixed.OUTLIER_QUANTILE_ERROR)
+
+
+def q_approx_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 as the approximate summary has it: whether its percentiles keep to 1 / accuracy."""
+    accuracy = 10_000
+    li = read_table(spark, sf_dir, "lineitem").select("l_returnflag", "l_tax", "l_extendedprice")
+    row = G.numeric_summary(li, "l_returnflag", "l_tax", "l_extendedprice", exact=False, accuracy=accuracy).first()
+    values = [("l_tax", 0.5, row["median_price"])]
+    values += [("l_extendedprice", p, row[n]) for p, n in ((0.25, "installs_p25"), (0.5, "median_installs"), (0.75, "installs_p75"))]
+    return rank_check(li, values, 1 / accuracy)
+
+
+QUERIES.update({"approx_quantiles": q_approx_quantiles, "approx_summary": q_approx_summary})

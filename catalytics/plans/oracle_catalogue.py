@@ -326,3 +326,23 @@ CATALOGUE_ORACLE.update(
             FROM ({_COMPLETE}) WHERE "Rating" BETWEEN 0 AND 5 GROUP BY ALL""",
     }
 )
+
+
+# ------------------------------------------------ approximate forms keep to their bound
+
+CATALOGUE_ORACLE.update(
+    {
+        "approx_quantiles": f"WITH {CLEANED_CTE} "
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", p, COUNT(*) AS n, true AS within FROM cleaned, (VALUES (0.25::DOUBLE), (0.75::DOUBLE)) t(p) "
+            f"WHERE {_q(c)} IS NOT NULL AND NOT isnan(CAST({_q(c)} AS DOUBLE)) GROUP BY p"
+            for c in fixed.OUTLIER_COLUMNS
+        ),
+        "approx_summary": """
+            SELECT t."column", t.p, COUNT(*) AS n, true AS within
+            FROM lineitem, (VALUES ('l_tax', 0.5::DOUBLE), ('l_extendedprice', 0.25::DOUBLE),
+                                   ('l_extendedprice', 0.5::DOUBLE), ('l_extendedprice', 0.75::DOUBLE)) t("column", p)
+            WHERE if(t."column" = 'l_tax', l_tax, l_extendedprice) IS NOT NULL
+            GROUP BY ALL""",
+    }
+)

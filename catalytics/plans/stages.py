@@ -77,16 +77,6 @@ def staged_ml_sets(
     return read_stage(spark, f"{base}/train"), read_stage(spark, f"{base}/test")
 
 
-def remember(spark: SparkSession, sf_dir: str, what: str, path: str) -> str:
-    """Record a folder written for this session (for example a saved model)."""
-    _STAGED[_key(spark, sf_dir, what)] = path
-    return path
-
-
-def recall(spark: SparkSession, sf_dir: str, what: str) -> str | None:
-    return _STAGED.get(_key(spark, sf_dir, what))
-
-
 def release_session(spark: SparkSession) -> int:
     """End of a session's work: forget its staged tables and delete every
     scratch folder this process wrote for it.  Returns folders removed."""
