@@ -539,3 +539,21 @@ def q_approx_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES.update({"approx_quantiles": q_approx_quantiles, "approx_summary": q_approx_summary})
+
+
+# ------------------------------------------------ a forest whose answer is determined
+
+
+def q_forest_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3, M8, M9: one tree of depth 1 over all rows on a feature with fewer values than
+    bins, so the split point and both leaf means can be computed elsewhere."""
+    from pyspark.ml.feature import VectorAssembler
+
+    li = read_table(spark, sf_dir, "lineitem").select("l_linenumber", F.col("l_quantity").cast("double").alias("label"))
+    rows = VectorAssembler(inputCols=["l_linenumber"], outputCol="features").transform(li)
+    stump = M.train_forest(rows, num_trees=1, maxDepth=1, bootstrap=False)
+    scored = M.predict(stump, rows).select("l_linenumber", F.round("prediction", 6).alias("prediction"))
+    return scored.groupBy("l_linenumber", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES["forest_stump"] = q_forest_stump

@@ -346,3 +346,15 @@ CATALOGUE_ORACLE.update(
             GROUP BY ALL""",
     }
 )
+
+
+# ------------------------------------------------ best single split and its leaf means
+
+CATALOGUE_ORACLE["forest_stump"] = """
+    WITH level AS (
+        SELECT l_linenumber AS x, COUNT(*) AS n, SUM(CAST(l_quantity AS DOUBLE)) AS s FROM lineitem GROUP BY 1),
+    side AS (
+        SELECT t.x AS t, level.x <= t.x AS low, SUM(level.n) AS n, SUM(level.s) AS s FROM level, level t GROUP BY 1, 2),
+    best AS (SELECT t FROM side GROUP BY t HAVING COUNT(*) = 2 ORDER BY SUM(s * s / n) DESC LIMIT 1)
+    SELECT level.x AS l_linenumber, ROUND(side.s / side.n, 6) AS prediction, level.n
+    FROM level, best JOIN side USING (t) WHERE side.low = (level.x <= best.t)"""
