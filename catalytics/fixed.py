@@ -96,6 +96,17 @@ ANALYSIS_NUMERIC = [
     "app_age_days",
     "is_weekend_update",
 ]
+EARLY_NUMERIC = [
+    "Rating",
+    "Rating Count",
+    "Maximum Installs",
+    "Price",
+    "Size_KB",
+    "min_android_version",
+    "days_since_update",
+    "app_age_days",
+    "is_weekend_update",
+]
 ML_NUMERIC = [
     "Rating",
     "Rating Count",

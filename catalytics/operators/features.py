@@ -54,10 +54,12 @@ def date_features(
     )
 
 
-def catalogue_features(df: DataFrame, as_of: str | _dt.date = fixed.REFERENCE_DAY) -> DataFrame:
+def catalogue_features(
+    df: DataFrame, as_of: str | _dt.date = fixed.REFERENCE_DAY, weekend_null_as: int | None = 0
+) -> DataFrame:
     """D6-D8, D10, D13 on a cleaned, reduced catalogue."""
     df = df.withColumn("min_android_version", parse_version(_c("Minimum Android")))
-    df = date_features(df, "Released", "Last Updated", as_of)
+    df = date_features(df, "Released", "Last Updated", as_of, weekend_null_as)
     return df.withColumns(
         {
             "ad_supported_num": flag_to_number(_c("Ad Supported")),
@@ -67,8 +69,22 @@ def catalogue_features(df: DataFrame, as_of: str | _dt.date = fixed.REFERENCE_DA
     )
 
 
+#: Most categories an indexer may have: its labels live on the driver.
+MAX_CATEGORIES = 100_000
+
+
+def require_few_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
+    """Fail clearly before labels of a high-cardinality column reach the driver
+    (one aggregation; distinct values are estimated within a few percent)."""
+    row = df.agg(*[F.approx_count_distinct(_c(c)).alias(c) for c in columns]).first()
+    for c in columns:
+        if row[c] > limit:
+            raise ValueError(f"column {c!r} has about {row[c]} categories; an indexer takes at most {limit}")
+
+
 def index_categories(df: DataFrame, column: str, output: str) -> tuple[DataFrame, list[str]]:
     """M1: frequency index (ties alphabetical); null/unseen -> the next index."""
+    require_few_categories(df, [column])
     model = StringIndexer(
         inputCol=column, outputCol=output, handleInvalid="keep", stringOrderType="frequencyDesc"
     ).fit(df)
@@ -163,6 +179,9 @@ CATALOGUE_CATEGORICAL = [
 
 def fit_transform(pipeline: Pipeline, fit_on: DataFrame, *apply_to: DataFrame):
     """Fit on one frame, transform the others: (model, transformed...)."""
+    for stage in pipeline.getStages():
+        if isinstance(stage, StringIndexer):
+            require_few_categories(fit_on, stage.getInputCols())
     model: PipelineModel = pipeline.fit(fit_on)
     return (model, *[model.transform(d) for d in apply_to])
 

@@ -249,15 +249,20 @@ def q_compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_build_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_build_features(spark: SparkSession, sf_dir: str, **form) -> DataFrame:
     """Features + encoders fitted on the whole cleaned table; vectors as arrays."""
-    transformed, _ = jobs.build_features(jobs.reduce_columns(_cleaned(spark, sf_dir)))
+    transformed, _ = jobs.build_features(jobs.reduce_columns(_cleaned(spark, sf_dir)), **form)
     return FE.vectors_as_arrays(
         transformed,
         ["category_ohe", "content_rating_ohe", "numeric_features", "numeric_features_scaled", "features"],
     )
 
 
+def q_build_features_early(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 in its older form: nine inputs, the label among them (reference day fixed)."""
+    return q_build_features(spark, sf_dir, numeric=fixed.EARLY_NUMERIC, weekend_null_as=None)
+
+
 def q_prepare_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base -> 70/30 split -> pipeline fitted on train only -> two Parquet
     tables (read back, both sides labelled).  Later steps of the session read
@@ -335,6 +340,7 @@ QUERIES.update(
         "mean_baseline": q_mean_baseline,
         "compare_models": q_compare_models,
         "build_features": q_build_features,
+        "build_features_early": q_build_features_early,
         "prepare_ml": q_prepare_ml,
         "ml_baseline": q_ml_baseline,
         "forest_metrics": q_forest_metrics,

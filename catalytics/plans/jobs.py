@@ -104,11 +104,18 @@ def reduce_columns(df: DataFrame, drop=tuple(fixed.REDUCTION_DROP)) -> DataFrame
 
 
 def build_features(
-    reduced: DataFrame, as_of: str | _dt.date = fixed.REFERENCE_DAY
+    reduced: DataFrame,
+    as_of: str | _dt.date = fixed.REFERENCE_DAY,
+    numeric=tuple(fixed.ANALYSIS_NUMERIC),
+    weekend_null_as: int | None = 0,
 ) -> tuple[DataFrame, object]:
-    """Features + encoders fitted on the full table -> (transformed, model)."""
-    tdf = FE.catalogue_features(reduced, as_of)
-    pipe = FE.feature_pipeline(fixed.ANALYSIS_NUMERIC, FE.CATALOGUE_CATEGORICAL, impute=False)
+    """Features + encoders fitted on the full table -> (transformed, model).
+
+    The older form has ``fixed.EARLY_NUMERIC``, today as reference day and keeps a
+    missing weekend flag (``weekend_null_as=None``).
+    """
+    tdf = FE.catalogue_features(reduced, as_of, weekend_null_as)
+    pipe = FE.feature_pipeline(list(numeric), FE.CATALOGUE_CATEGORICAL, impute=False)
     model, out = FE.fit_transform(pipe, tdf, tdf)
     return FE.select_columns(out, fixed.TRANSFORMED_COLUMNS), model
 

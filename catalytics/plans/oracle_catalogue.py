@@ -358,3 +358,10 @@ CATALOGUE_ORACLE["forest_stump"] = """
     best AS (SELECT t FROM side GROUP BY t HAVING COUNT(*) = 2 ORDER BY SUM(s * s / n) DESC LIMIT 1)
     SELECT level.x AS l_linenumber, ROUND(side.s / side.n, 6) AS prediction, level.n
     FROM level, best JOIN side USING (t) WHERE side.low = (level.x <= best.t)"""
+
+
+# ------------------------------------------------ the older form of the features
+
+CATALOGUE_ORACLE["build_features_early"] = f"""WITH {FEATURES_CTE},
+    {_encoded("feat", {c: _q(c) for c in fixed.EARLY_NUMERIC}, "true")}
+    SELECT {", ".join(map(_q, fixed.TRANSFORMED_COLUMNS))} FROM encoded"""

@@ -74,3 +74,14 @@ def test_pipeline_is_fitted_on_train_only(spark):
     for cat, idx in test_rows:
         assert cat not in train_cats  # the key split keeps a category on one side
         assert idx == float(len(train_cats))  # unseen by the train-fitted indexer
+
+
+def test_indexer_refuses_too_many_categories(spark):
+    import pytest
+
+    from catalytics.operators.features import require_few_categories
+
+    df = spark.range(500).selectExpr("cast(id as string) as c")
+    require_few_categories(df, ["c"], limit=1000)
+    with pytest.raises(ValueError, match="categories"):
+        require_few_categories(df, ["c"], limit=100)
