@@ -9,8 +9,9 @@ join, a fixed number of rounds, each round's scores written to the shared folder
 host is blocked when its distrust reaches ``threshold`` times its trust, and allowed
 otherwise, so hosts that no seed reaches are allowed.
 
-Links are a page's absolute ``href`` values; a relative link stays on its host and
-carries nothing.  Arcs are counted with map-side combine, so a host with a third of all
+Links are a page's ``href`` values with a scheme or beginning with ``//``; a relative link
+stays on its host and carries nothing, so pages that hold no other links leave the rules and
+the hosts' own seeds to decide.  Arcs are counted with map-side combine, so a host with a third of all
 pages is one row per task; the joins are plain equi-joins for Spark to split or not.
 
 Defined results: a null url or one without ``://`` has empty host and path, fits no rule
@@ -79,9 +80,11 @@ def judged_pages(pages: DataFrame, rules: dict[str, str]) -> DataFrame:
 
 def host_links(pages: DataFrame) -> DataFrame:
     """(source, target, links) between different hosts."""
-    found = F.regexp_extract_all(F.coalesce(F.col("html"), F.lit("")), F.lit(r"""(?i)href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""), F.lit(1))
+    found = F.regexp_extract_all(F.coalesce(F.col("html"), F.lit("")), F.lit(r"""(?i)href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""), F.lit(1))
     rows = pages.select(host_of(F.col("url")).alias("source"), F.explode(found).alias("link"))
-    rows = rows.select("source", host_of(F.col("link")).alias("target"))
+    # a link without a scheme has its page's; the host is the same with any
+    link = F.when(F.startswith("link", F.lit("//")), F.concat(F.lit("http:"), "link")).otherwise(F.col("link"))
+    rows = rows.select("source", host_of(link).alias("target"))
     return rows.filter("source <> '' and target <> '' and source <> target").groupBy("source", "target").agg(F.count(F.lit(1)).alias("links"))
 
 
