@@ -5,8 +5,10 @@ fitting rule wins.  Other pages are decided by their host: trust is a personalis
 PageRank that starts at hosts with allowed pages and follows links forward; distrust
 starts at hosts with blocked pages and follows links backward, from a page's host to
 those that link to it.  Both run over one table of weighted host arcs in the same
-join, a fixed number of rounds, each round's scores written to the shared folder.  A
-host is blocked when its distrust reaches ``threshold`` times its trust, and allowed
+join; each round's scores are written to the shared folder, the round before's deleted.
+Rounds go on until no host is reached for the first time and the scores of all hosts
+together grow by at most TOLERANCE; what is still to come is then at most
+DAMPING / (1 - DAMPING) times that.  A host is blocked when its distrust reaches ``threshold`` times its trust, and allowed
 otherwise, so hosts that no seed reaches are allowed.
 
 Links are a page's ``href`` values with a scheme or beginning with ``//``; a relative link
@@ -21,10 +23,13 @@ links; an empty table gives an empty result.  Only page_id, url and html are rea
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalytics.llm.common import cut_lineage
+from catalytics.llm.common import cut_lineage, drop_stage
+from catalytics.sources.io import staged_path
 
 #: rule -> verdict; a rule is a host and the beginning of a path.
 RULES = {
@@ -34,7 +39,10 @@ RULES = {
     "com/fr/": "allow",
     "com/de/": "block",
 }
+#: Rounds that the SQL for the given tables writes out (they have no arcs, so any number will do).
 ROUNDS = 8
+#: Summed growth of all scores at which rounds end; the scores of each kind sum up to 1 at most.
+TOLERANCE = 1e-9
 DAMPING = 0.85
 THRESHOLD = 1.0
 #: Rules become one expression, so there is a bound on how many.
@@ -88,8 +96,8 @@ def host_links(pages: DataFrame) -> DataFrame:
     return rows.filter("source <> '' and target <> '' and source <> target").groupBy("source", "target").agg(F.count(F.lit(1)).alias("links"))
 
 
-def propagate(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, trust, distrust).
+def propagate(links: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, trust, distrust); ``rounds`` of them, or as many as it takes.
 
     ``links``: source, target, links.  ``seeds``: host, allowed, blocked (weights).  A
     score starts as (1 - damping) * its own share of the seeds, and each round is that
@@ -105,17 +113,26 @@ def propagate(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     sums = weights.groupBy("kind").agg(F.sum("weight").alias("total"))  # two rows
     start = weights.filter("weight > 0").join(F.broadcast(sums), "kind")
     start = cut_lineage(start.select("kind", F.col("host").alias("at"), ((1 - damping) * F.col("weight") / F.col("total")).alias("score")), "seeds")
-    scores = start
-    for _ in range(0 if arcs.isEmpty() else rounds):
+    size = F.struct(F.count(F.lit(1)).alias("reached"), F.coalesce(F.sum("score"), F.lit(0.0)).alias("sum"))
+    scores, before = start, start.agg(size.alias("size")).first()["size"]
+    for _ in range(0) if arcs.isEmpty() else count() if rounds is None else range(rounds):
         brought = scores.join(arcs, ["kind", "at"]).select("kind", F.col("to").alias("at"), (damping * F.col("score") * F.col("share")).alias("score"))
-        scores = cut_lineage(start.unionByName(brought).groupBy("kind", "at").agg(F.sum("score").alias("score")), "scores")
+        last, scores = scores, cut_lineage(start.unionByName(brought).groupBy("kind", "at").agg(F.sum("score").alias("score")), "scores")
+        old = staged_path(last) if last is not start else None
+        if old:
+            drop_stage(links.sparkSession, old)
+        # scores and reached hosts only ever grow
+        now = scores.agg(size.alias("size")).first()["size"]
+        if rounds is None and now["reached"] == before["reached"] and now["sum"] - before["sum"] <= tolerance:
+            break
+        before = now
     return scores.groupBy(F.col("at").alias("host")).agg(
         F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"),
     )
 
 
-def judge(pages: DataFrame, rules: dict[str, str] | None = None, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
+def judge(pages: DataFrame, rules: dict[str, str] | None = None, threshold: float = THRESHOLD, rounds: int | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust for every page."""
     rules = RULES if rules is None else rules
     judged = judged_pages(pages, rules)

@@ -13,3 +13,18 @@ def test_links_without_a_scheme(spark):
     got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(pages, PAGES)).collect()}
     assert math.isclose(got[2].trust, (1 - url_filter.DAMPING) * url_filter.DAMPING)
     assert got[3].trust == 0
+
+
+def test_propagation_until_nothing_changes(spark):
+    # twelve hosts in a row link to a blocked one; two hosts link to each other
+    hosts = [f"h{i}.net" for i in range(12)] + ["example.org"]
+    pages = [(i, f"http://{h}/es/", f'<a href="http://{hosts[i + 1]}/">' if i < 12 else "") for i, h in enumerate(hosts)]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(pages, PAGES)).collect()}
+    assert [got[i].verdict for i in range(13)] == ["block"] * 13
+    d = url_filter.DAMPING
+    assert math.isclose(got[0].distrust, (1 - d) * d**12)
+
+    links = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "source string, target string, links long")
+    seeds = spark.createDataFrame([("a", 1.0, 0.0)], "host string, allowed double, blocked double")
+    trust = {r.host: r.trust for r in url_filter.propagate(links, seeds, tolerance=1e-3).collect()}
+    assert abs(trust["a"] - 1 / (1 + d)) < 1e-2 and abs(trust["b"] - d / (1 + d)) < 1e-2
