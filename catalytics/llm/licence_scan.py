@@ -1,16 +1,21 @@
 """Licence scans by a trained paragraph classifier (operator 6); built-in functions and MLlib only.
 
-A document's paragraphs are its lines.  Multinomial logistic regression over sparse
+A paragraph is a run of lines with a word (so comment markers alone are no line).  Its
+stretches, which are its lines and all runs of adjoining lines that a notice can be wrapped
+over, are cut to what lies between the first and last word pair of their likeliest notice,
+and classified.  Multinomial logistic regression over sparse
 hashed word 1- and 2-grams (MLlib, which runs in the JVM) predicts a licence family or
 "unknown".  It is trained on windows of the families' notices and on a bounded sample of
 ordinary paragraphs; the probability a family needs is calibrated on the half of that
-sample the fit has not seen.  A prediction counts only if the paragraph holds
-CONFIRMED of the word pairs of one of that family's notices.
+sample the fit has not seen.  A prediction counts only if the stretch holds
+CONFIRMED of the word pairs of one of that family's notices.  Of the stretches that count
+the smallest stay, and those of a family that share a line are one.
 
 The sample is the paragraphs with the smallest hashes, at most SAMPLE.  For each notice
 there are anchor words without which a paragraph can't hold CONFIRMED of its pairs; a
-paragraph without any is unknown for certain, all others are classified.  Classifying is a map; only found paragraphs are
-grouped by document, so the shuffle is small.
+paragraph without any, or without CONFIRMED of any notice's pairs, is unknown for certain,
+and so are all its stretches; all others are classified.  Classifying is a map; only found
+stretches are grouped by document, so the shuffle is small.
 
 Defined results: a null or empty text has no paragraph; a document without a licence has
 an empty list; repeated rows are each scanned; an empty table gives an empty result.
@@ -28,7 +33,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalytics.llm.common import cut_lineage, text_or_empty
@@ -88,17 +93,38 @@ def tokens_of(text: Column) -> Column:
 
 def pairs_of(tokens: Column) -> Column:
     n = F.size(tokens)
-    pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.concat_ws(" ", F.slice(tokens, i, F.lit(2))))
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.slice(tokens, i, F.lit(2))))
     return F.when(n > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
 
 
-def paragraphs(docs: DataFrame, anchored: bool = True) -> DataFrame:
-    """doc_id, row, paragraph (its number), tokens of every line with a word (and an anchor)."""
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """doc_id, row, paragraph (its number), text of every paragraph that can hold a notice."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.filter(has_anchor(F.col("text"))) if anchored else rows
-    rows = rows.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    rows = rows.filter(has_anchor(F.col("line"))) if anchored else rows
-    return rows.select("doc_id", "row", "paragraph", tokens_of(F.col("line")).alias("tokens")).filter(F.size("tokens") > 0)
+    rows = rows.filter(has_anchor(F.col("text")))
+    # comment words at the start of a line; other markers are no words
+    text = F.regexp_replace(F.lower("text"), r"(?m)^[^a-z0-9\n]*(?:rem|dnl)\b", "")
+    rows = rows.select("doc_id", "row", F.posexplode(F.split(text, r"\n[^a-z0-9]*\n")).alias("paragraph", "text"))
+    rows = rows.filter(has_anchor(F.col("text")))
+    return rows.filter(likeliest(pairs_of(tokens_of(F.col("text"))))["share"] >= CONFIRMED)
+
+
+def stretches(found: DataFrame) -> DataFrame:
+    """doc_id, row, paragraph, first, last (lines), tokens of all stretches of ``paragraphs`` that can hold a notice."""
+    longest = max(len(words) for family in NOTICES for words in notice_words(family))
+    lines = F.filter(F.transform(F.split("text", "\n"), tokens_of), lambda x: F.size(x) > 0)
+    rows = found.select("doc_id", "row", "paragraph", lines.alias("lines"))
+    end, lines = F.greatest(F.size("lines") - 1, F.lit(0)), F.col("lines")
+    # all lines but the first and the last are in the notice from end to end
+    inner = lambda i, j: F.aggregate(F.slice(lines, i + 2, F.greatest(j - i - 1, F.lit(0))), F.lit(0), lambda n, x: n + F.size(x))
+    run = lambda i: F.filter(F.sequence(i, F.least(end, i + longest - 1)), lambda j: inner(i, j) <= longest - 2)
+    pieces = F.transform(F.sequence(F.lit(0), end), lambda i: F.transform(run(i), lambda j: F.struct(i.alias("first"), j.alias("last"), F.flatten(F.slice(lines, i + 1, j - i + 1)).alias("tokens"))))
+    rows = rows.select("doc_id", "row", "paragraph", F.explode(F.flatten(pieces)).alias("piece")).select("doc_id", "row", "paragraph", "piece.*")
+    rows = rows.withColumn("best", likeliest(pairs_of(F.col("tokens")))).filter(F.col("best.share") >= CONFIRMED)
+    theirs = F.element_at(F.array(*(F.array(*map(F.lit, p)) for family in sorted(NOTICES) for p in notice_pairs(family))), F.col("best.notice"))
+    pair = lambda k: F.concat_ws(" ", F.slice("tokens", k, F.lit(2)))
+    rows = rows.withColumn("places", F.filter(F.sequence(F.lit(1), F.greatest(F.size("tokens") - 1, F.lit(1))), lambda k: F.array_contains(theirs, pair(k))))
+    low, high = F.array_min("places"), F.array_max("places")
+    return rows.select("doc_id", "row", "paragraph", "first", "last", F.slice("tokens", low, high - low + 2).alias("tokens"))
 
 
 def notices(spark: SparkSession) -> DataFrame:
@@ -117,16 +143,34 @@ def windows(table: DataFrame) -> DataFrame:
     return table.select("label", F.slice("tokens", F.col("start"), F.col("size")).alias("tokens"))
 
 
+def notice_words(family: str) -> list[list[str]]:
+    return [re.findall(WORD, text.lower()) for text in NOTICES[family]]
+
+
 def notice_pairs(family: str) -> list[list[str]]:
     """The different word pairs of each notice, as constants for the plan."""
-    words = [re.findall(WORD, text.lower()) for text in NOTICES[family]]
-    return [sorted({" ".join(p) for p in zip(w, w[1:], strict=False)}) for w in words]
+    return [sorted({" ".join(p) for p in zip(w, w[1:], strict=False)}) for w in notice_words(family)]
+
+
+def _shares(pairs: Column, family: str) -> list[Column]:
+    return [F.size(F.array_intersect(F.array(*map(F.lit, theirs)), pairs)) / len(theirs) for theirs in notice_pairs(family)]
 
 
 def holds(pairs: Column, family: str) -> Column:
     """The largest share of a notice's word pairs, over the family's notices, among ``pairs``."""
-    shares = [F.size(F.array_intersect(F.array(*map(F.lit, theirs)), pairs)) / len(theirs) for theirs in notice_pairs(family)]
-    return F.greatest(*shares, F.lit(0.0))
+    return F.greatest(*_shares(pairs, family), F.lit(0.0))
+
+
+def likeliest(pairs: Column) -> Column:
+    """share and notice (its place among all, from 1): the notice of which ``pairs`` hold the largest share."""
+    every = sorted({p for family in NOTICES for theirs in notice_pairs(family) for p in theirs})
+
+    def best(few: Column) -> Column:
+        shares = [x for family in sorted(NOTICES) for x in _shares(few, family)]
+        return F.array_max(F.array(*(F.struct(x.alias("share"), F.lit(i).alias("notice")) for i, x in enumerate(shares, 1))))
+
+    # one pass over the pairs, then only those of notices are compared with each
+    return F.get(F.transform(F.array(F.array_intersect(pairs, F.array(*map(F.lit, every)))), best), 0)
 
 
 def anchors() -> list[str]:
@@ -181,10 +225,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE):
 
 
 def found_paragraphs(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, row, paragraph, family, probability, share of every confirmed prediction."""
+    """doc_id, row, paragraph, first, last, family, probability, share of every confirmed prediction."""
     model, least = fit(docs, sample)
-    scored = model.transform(paragraphs(docs)).filter(F.col("prediction") > 0)
-    scored = scored.select("doc_id", "row", "paragraph", pairs_of(F.col("tokens")).alias("pairs"), "prediction", vector_to_array("probability").alias("chances"))
+    scored = model.transform(stretches(paragraphs(docs)).filter(F.size("tokens") > 0)).filter(F.col("prediction") > 0)
+    scored = scored.select("doc_id", "row", "paragraph", "first", "last", pairs_of(F.col("tokens")).alias("pairs"), "prediction", vector_to_array("probability").alias("chances"))
     at = F.col("prediction").cast("int")
     share = F.lit(0.0)
     for i, family in enumerate(FAMILIES[1:], 1):
@@ -192,13 +236,22 @@ def found_paragraphs(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     scored = scored.withColumns({"probability": F.get("chances", at), "share": share})
     families = F.array(*map(F.lit, FAMILIES))
     return scored.filter((F.col("probability") >= least) & (F.col("share") >= CONFIRMED)).select(
-        "doc_id", "row", "paragraph", F.get(families, at).alias("family"), "probability", "share"
+        "doc_id", "row", "paragraph", "first", "last", F.get(families, at).alias("family"), "probability", "share"
     )
 
 
+def passages(found: DataFrame) -> DataFrame:
+    """row, family of each passage: the smallest stretches of a family, joined where they share a line."""
+    of = Window.partitionBy("row", "paragraph", "family")
+    inside = F.min("last").over(of.orderBy(F.desc("first"), "last").rowsBetween(Window.unboundedPreceding, -1))
+    least = found.withColumn("inside", inside).filter("inside is null or last < inside")
+    before = F.lag("last").over(of.orderBy("first"))
+    return least.withColumn("before", before).filter("before is null or first > before").select("row", "family")
+
+
 def scan(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, n_licences (paragraphs), licences (families, sorted) for every row."""
-    hits = found_paragraphs(docs, sample).groupBy("row").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("family")).alias("families"))
+    """doc_id, n_licences (passages), licences (families, sorted) for every row."""
+    hits = passages(found_paragraphs(docs, sample)).groupBy("row").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("family")).alias("families"))
     hits = cut_lineage(hits, "licences")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"))
     out = rows.join(hits, "row", "left")

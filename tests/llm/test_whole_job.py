@@ -2,7 +2,7 @@
 
 import math
 
-from catalytics.llm import url_filter
+from catalytics.llm import licence_scan, url_filter
 
 PAGES = "page_id long, url string, html string"
 
@@ -28,3 +28,16 @@ def test_propagation_until_nothing_changes(spark):
     seeds = spark.createDataFrame([("a", 1.0, 0.0)], "host string, allowed double, blocked double")
     trust = {r.host: r.trust for r in url_filter.propagate(links, seeds, tolerance=1e-3).collect()}
     assert abs(trust["a"] - 1 / (1 + d)) < 1e-2 and abs(trust["b"] - d / (1 + d)) < 1e-2
+
+
+# 6
+def test_wrapped_licences(spark):
+    bsd = "// Redistribution and use in source and binary forms, with or without\n// modification, are permitted provided that the following conditions\n// are met:"
+    apache = " * Unless required by applicable law or agreed to in writing, software\n * distributed under the License is distributed on an \"AS IS\" BASIS,"
+    gpl = "dnl This program is free software; you can redistribute it and/or modify\ndnl it under the terms of the GNU General Public License as published by\ndnl the Free Software Foundation"
+    narrow = "\n".join("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files".split())
+    texts = [bsd, apache, gpl, narrow, f"int a;\n{bsd}\n//\n{apache}\nint b;", bsd.replace("// ", "\n\n")]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.licences, r.n_licences) for r in licence_scan.scan(frame).collect()}
+    assert [got[i] for i in range(5)] == [(["bsd"], 1), (["apache"], 1), (["gpl"], 1), (["mit"], 1), (["apache", "bsd"], 2)]
+    assert got[5] == ([], 0)
