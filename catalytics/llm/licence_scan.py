@@ -6,12 +6,12 @@ over, are cut to what lies between the first and last word pair of their likelie
 and classified.  Multinomial logistic regression over sparse
 hashed word 1- and 2-grams (MLlib, which runs in the JVM) predicts a licence family or
 "unknown".  It is trained on windows of the families' notices and on a bounded sample of
-ordinary paragraphs; the probability a family needs is calibrated on the half of that
-sample the fit has not seen.  A prediction counts only if the stretch holds
+ordinary lines (without licence words); the probability a family needs is calibrated on the
+half of that sample and the fifth of those windows that the fit has not seen.  A prediction counts only if the stretch holds
 CONFIRMED of the word pairs of one of that family's notices.  Of the stretches that count
 the smallest stay, and those of a family that share a line are one.
 
-The sample is the paragraphs with the smallest hashes, at most SAMPLE.  For each notice
+The sample is the different lines with the smallest hashes, at most SAMPLE.  For each notice
 there are anchor words without which a paragraph can't hold CONFIRMED of its pairs; a
 paragraph without any, or without CONFIRMED of any notice's pairs, is unknown for certain,
 and so are all its stretches; all others are classified.  Classifying is a map; only found
@@ -44,12 +44,15 @@ NOTICES = {
         "Licensed under the Apache License, Version 2.0.",
         "You may not use this file except in compliance with the License. You may obtain a copy of the License at",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS",
+        "See the License for the specific language governing permissions and limitations under the License",
         "SPDX-License-Identifier: Apache-2.0",
     ],
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software",
         "Licensed under the BSD 3-Clause License.",
+        "Licensed under the BSD 2-Clause License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "cc": [
@@ -57,11 +60,17 @@ NOTICES = {
         "Licensed under CC BY 4.0.",
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License",
+        "SPDX-License-Identifier: CC-BY-4.0",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
     ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
         "Released under the GNU General Public License",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
     "mit": [
@@ -69,17 +78,25 @@ NOTICES = {
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+        "SPDX-License-Identifier: MIT",
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at",
         "SPDX-License-Identifier: MPL-2.0",
     ],
 }
 FAMILIES = ["unknown", *sorted(NOTICES)]
 FEATURES = 2**12
-#: Ordinary paragraphs for fit and calibration; a documented bound.
+#: Ordinary lines for fit and calibration; a documented bound.
 SAMPLE = 3000
 CONFIRMED = 0.6
+#: A sampled line with this share of a notice or one of these words is no example of "unknown".
+NOTABLE = 0.2
+LICENCE_WORDS = ("licens", "licenc", "spdx", "copyright", "gpl", "creative commons", "redistribut", "warrant")
+#: The probability a family needs: this quantile of the held-out ordinary lines, but no
+#: more than that quantile of the held-out windows of notices (each for its own family).
+ORDINARY, OWN = 0.99, 0.05
 #: Least probability a family ever needs.
 LEAST = 0.5
 WORD = "[a-z0-9]+(?:[.][0-9]+)*"
@@ -135,12 +152,20 @@ def notices(spark: SparkSession) -> DataFrame:
 
 
 def windows(table: DataFrame) -> DataFrame:
-    """Each notice whole and in windows of at least two thirds, so parts are known too."""
+    """label, tokens, held: each notice whole and in windows of at least two thirds, so parts
+    are known too; a part that its family could not be confirmed by is left out, and a fifth
+    of the parts is held out."""
     n = F.size("tokens")
     least = F.greatest(F.lit(1), F.ceil(n * 2 / 3).cast("int"))
     table = table.withColumn("start", F.explode(F.sequence(F.lit(1), n - least + 1)))
     table = table.withColumn("size", F.explode(F.sequence(least, n - F.col("start") + 1)))
-    return table.select("label", F.slice("tokens", F.col("start"), F.col("size")).alias("tokens"))
+    part = F.slice("tokens", F.col("start"), F.col("size"))
+    table = table.select("family", "label", part.alias("tokens"), (F.col("size") < n).alias("part"))
+    own = F.lit(0.0)
+    for family in NOTICES:
+        own = F.when(F.col("family") == family, holds(pairs_of(F.col("tokens")), family)).otherwise(own)
+    held = F.col("part") & (F.pmod(F.xxhash64("tokens"), F.lit(5)) == 0)
+    return table.filter(own >= CONFIRMED).select("label", "tokens", held.alias("held"))
 
 
 def notice_words(family: str) -> list[list[str]]:
@@ -153,7 +178,14 @@ def notice_pairs(family: str) -> list[list[str]]:
 
 
 def _shares(pairs: Column, family: str) -> list[Column]:
-    return [F.size(F.array_intersect(F.array(*map(F.lit, theirs)), pairs)) / len(theirs) for theirs in notice_pairs(family)]
+    """Each notice's share; an SPDX line without the licence's name has none."""
+    out = []
+    for words, theirs in zip(notice_words(family), notice_pairs(family), strict=True):
+        share = F.size(F.array_intersect(F.array(*map(F.lit, theirs)), pairs)) / len(theirs)
+        if words[0] == "spdx":
+            share = F.when(F.array_contains(pairs, " ".join(words[2:4])), share).otherwise(0.0)
+        out.append(share)
+    return out
 
 
 def holds(pairs: Column, family: str) -> Column:
@@ -194,13 +226,16 @@ def has_anchor(text: Column) -> Column:
 
 
 def ordinary(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """label, tokens, half: a bounded sample of paragraphs that match no notice."""
+    """label, tokens, half: a bounded sample of different lines that are no part of a notice."""
     lines = docs.select(F.explode(F.split(text_or_empty(), "\n")).alias("line")).filter(F.trim("line") != "")
-    lines = lines.select("line", F.xxhash64("line").alias("h")).orderBy("h").limit(sample).dropDuplicates(["h"])
+    lowered = F.lower("line")
+    lines = lines.filter(~reduce(or_, (F.contains(lowered, F.lit(w)) for w in LICENCE_WORDS)))
+    lines = lines.select("line", F.xxhash64("line").alias("h"))
+    # hashes alone are dealt out: a line that a third of the documents share is one of the sample
+    wanted = cut_lineage(lines.select("h").distinct().orderBy("h").limit(sample), "ordinary-hashes")
+    lines = lines.join(F.broadcast(wanted), "h", "left_semi").groupBy("h").agg(F.min("line").alias("line"))
     rows = lines.select(tokens_of(F.col("line")).alias("tokens"), "h")
-    rows = rows.withColumn("pairs", pairs_of(F.col("tokens")))
-    best = F.greatest(*(holds(F.col("pairs"), k) for k in NOTICES))
-    rows = rows.withColumn("best", best).filter(F.col("best") < CONFIRMED)
+    rows = rows.filter(likeliest(pairs_of(F.col("tokens")))["share"] < NOTABLE)
     return rows.select(F.lit(0.0).alias("label"), "tokens", F.pmod(F.xxhash64("h"), F.lit(2)).alias("half"))
 
 
@@ -208,7 +243,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE):
     """(fitted pipeline, least probability of a family)."""
     spark = docs.sparkSession
     known = cut_lineage(ordinary(docs, sample), "ordinary")
-    rows = windows(notices(spark)).unionByName(known.filter("half = 0").drop("half"))
+    parts = cut_lineage(windows(notices(spark)).coalesce(1), "notice-windows")
+    rows = parts.filter("not held").drop("held").unionByName(known.filter("half = 0").drop("half"))
     # a paragraph without words keeps the unknown class in the fit when the sample is empty
     rows = rows.unionByName(spark.range(1).select(F.lit(0.0).alias("label"), F.array(F.lit("")).alias("tokens")))
     steps = [
@@ -219,9 +255,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE):
         LogisticRegression(family="multinomial", regParam=0.003, maxIter=40),
     ]
     model = Pipeline(stages=steps).fit(cut_lineage(rows.coalesce(1), "licence-training"))
-    family = 1 - vector_to_array("probability")[0]
-    worst = model.transform(known.filter("half = 1")).agg(F.max(family).alias("p")).first()["p"]
-    return model, max(LEAST, worst or 0.0)
+    chances = vector_to_array("probability")
+    quantile = lambda frame, p, q: model.transform(frame).agg(F.percentile(p, F.lit(q)).alias("p")).first()["p"]
+    worst = quantile(known.filter("half = 1"), 1 - chances[0], ORDINARY) or 0.0
+    return model, max(LEAST, min(worst, quantile(parts.filter("held"), F.get(chances, F.col("label").cast("int")), OWN)))
 
 
 def found_paragraphs(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -41,3 +41,20 @@ def test_wrapped_licences(spark):
     got = {r.doc_id: (r.licences, r.n_licences) for r in licence_scan.scan(frame).collect()}
     assert [got[i] for i in range(5)] == [(["bsd"], 1), (["apache"], 1), (["gpl"], 1), (["mit"], 1), (["apache", "bsd"], 2)]
     assert got[5] == ([], 0)
+
+
+def test_licences_between_unlisted_ones(spark):
+    unlisted = ["SPDX-License-Identifier: Zlib", "SPDX-License-Identifier: LGPL-2.1-or-later", "a licence of our own"]
+    listed = {"MIT": "mit", "GPL-2.0-only": "gpl", "Apache-2.0": "apache", "CC-BY-4.0": "cc", "BSD-3-Clause": "bsd", "MPL-2.0": "mpl"}
+    texts = [f"# SPDX-License-Identifier: {x}\nbody {i}" for i, x in enumerate(listed)] + ["Released under the MIT License.\nLicensed under the MIT License."]
+    texts += unlisted + [f"{x}, see part {i} of the licensed text" for i, x in enumerate(unlisted * 40)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.licences, r.n_licences) for r in licence_scan.scan(frame).collect()}
+    assert [got[i] for i in range(7)] == [([x], 1) for x in listed.values()] + [(["mit"], 2)]
+    assert all(got[i] == ([], 0) for i in range(7, len(texts)))
+
+
+def test_ordinary_lines_are_different_ones(spark):
+    frame = spark.createDataFrame([(i, f"the same line\nline number {i}\nSPDX-License-Identifier: MIT") for i in range(40)], "doc_id long, text string")
+    rows = [" ".join(r.tokens) for r in licence_scan.ordinary(frame, sample=30).collect()]
+    assert len(rows) == len(set(rows)) == 30 and not any("spdx" in r for r in rows)
