@@ -19,7 +19,9 @@ length.
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import math
 import random
 import re
 import string
@@ -44,7 +46,10 @@ MASK = "[secret]"
 
 _ALNUM = string.ascii_letters + string.digits
 _URL = _ALNUM + "_-"
-#: Public credential formats: fixed text, or (alphabet, length).
+#: How a token's header begins, by its first name; most have the algorithm or the type there.
+_FIRST = ["alg"] * 12 + ["typ"] * 6 + ["kid"] * 3 + ["cty", "crit", "enc", "jku", "jwk", "x5c", "x5t", "x5u", "zip"]
+_HEADERS = [base64.urlsafe_b64encode(f'{{"{name}":'.encode())[:8].decode() for name in _FIRST]
+#: Public credential formats: fixed text, one of a list, or (alphabet, length) or (alphabet, least, most).
 FORMATS = {
     "github": ["ghp_", (_ALNUM, 36)],
     "github-oauth": ["gho_", (_ALNUM, 36)],
@@ -52,16 +57,26 @@ FORMATS = {
     "google": ["AIza", (_URL, 35)],
     "npm": ["npm_", (_ALNUM, 36)],
     "sendgrid": ["SG.", (_URL, 22), ".", (_URL, 43)],
-    "slack": ["xoxb-", (string.digits, 12), "-", (string.digits, 12), "-", (_ALNUM, 24)],
-    "stripe": ["sk_live_", (_ALNUM, 24)],
-    "jwt": ["eyJ", (_URL, 33), ".eyJ", (_URL, 60), ".", (_URL, 43)],
+    "slack": ["xoxb-", (string.digits, 9, 14), "-", (string.digits, 9, 14), "-", (_ALNUM, 24, 32)],
+    "stripe": ["sk_live_", (_ALNUM, 24, 99)],
+    "jwt": [_HEADERS, (_URL, 8, 160), ".eyJ", (_URL, 6, 1200), ".", (_URL, 43, 342)],
 }
 
 
 def made_examples(n: int = 200, seed: int = 7) -> list[tuple[str, str]]:
+    """``n`` of each format: the shortest, the longest, and lengths even by their logarithm."""
     rng = random.Random(seed)
-    make = lambda parts: "".join(p if isinstance(p, str) else "".join(rng.choices(p[0], k=p[1])) for p in parts)
-    return [(name, make(parts)) for name, parts in FORMATS.items() for _ in range(n)]
+
+    def part(p, i: int) -> str:
+        if isinstance(p, str):
+            return p
+        if isinstance(p, list):
+            return rng.choice(p)
+        least, most = p[1], p[-1]
+        drawn = round(math.exp(rng.uniform(math.log(least), math.log(most)))) if least < most else least
+        return "".join(rng.choices(p[0], k=least if i == 0 else most if i == 1 else drawn))
+
+    return [(name, "".join(part(p, i) for p in parts)) for name, parts in FORMATS.items() for i in range(n)]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -94,8 +109,9 @@ def labelled(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> list[
 
 
 def gain(text: str, model: Automaton) -> float:
-    """Bits by which the format is likelier than 64 uniform symbols."""
-    if not model.shortest <= len(text) <= model.longest:
+    """Bits by which the format is likelier than 64 uniform symbols; how long a token may
+    be is left to the automaton's chances of ending."""
+    if len(text) < model.shortest:
         return float("-inf")
     return model.log2_likelihood(text) + 6 * len(text)
 
@@ -107,12 +123,15 @@ def all_spans(text: str, models: dict[str, Automaton]) -> list[tuple[int, int, i
         token = m[0].strip("._-")
         if len(token) < 16 or token.isalpha() or token.isdigit():
             continue
+        # marks around it belong to the token if a format with them is the likeliest
         start = m.start() + m[0].index(token)
-        end = start + len(token)
-        if any(s < end and start < e for s, _, e in base):
-            continue
-        if max((gain(token, model) for model in models.values()), default=float("-inf")) >= GAIN:
-            added.append((start, 3, end))
+        best = (float("-inf"), 0, 0)
+        for s, e in dict.fromkeys([(m.start(), m.end()), (start, m.end()), (start, start + len(token))]):
+            if not any(x < e and s < y for x, _, y in base):
+                bits = max((gain(text[s:e], model) for model in models.values()), default=float("-inf"))
+                best = max(best, (bits, s, e), key=lambda x: x[0])
+        if best[0] >= GAIN:
+            added.append((best[1], 3, best[2]))
     return sorted(base + added)
 
 

@@ -1,8 +1,9 @@
 """What the operators must not leave out."""
 
 import math
+import random
 
-from catalytics.llm import licence_scan, url_filter
+from catalytics.llm import automata, licence_scan, secrets, url_filter
 
 PAGES = "page_id long, url string, html string"
 
@@ -58,3 +59,17 @@ def test_ordinary_lines_are_different_ones(spark):
     frame = spark.createDataFrame([(i, f"the same line\nline number {i}\nSPDX-License-Identifier: MIT") for i in range(40)], "doc_id long, text string")
     rows = [" ".join(r.tokens) for r in licence_scan.ordinary(frame, sample=30).collect()]
     assert len(rows) == len(set(rows)) == 30 and not any("spdx" in r for r in rows)
+
+
+# 7
+def test_formats_of_other_lengths():
+    rng = random.Random(3)
+    url = lambda n: "".join(rng.choices(secrets._URL, k=n))
+    models = automata.learn_all(secrets.made_examples())
+    tokens = [f"eyJhbGciOiJ{url(a)}a.eyJ{url(b)}a.{url(c)}a" for a, b, c in ((16, 20, 42), (50, 300, 85), (120, 1500, 341))]
+    tokens += ["xoxb-1234567890-1234567890123-" + "aB3d" * 6, "sk_live_" + "x7Yq2" * 18]
+    tokens += ["AIza" + url(33) + "-_", "glpat-" + url(19) + "_"]
+    for token in tokens:
+        assert secrets.all_spans(f"see {token} ok", models) == [(4, 3, 4 + len(token))], token
+    assert secrets.all_spans("see " + tokens[3] + ". ok", models) == [(4, 3, 4 + len(tokens[3]))]
+    assert secrets.all_spans("some_ordinary_name_2024 version-1.2.3-of-this", models) == []
