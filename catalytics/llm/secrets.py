@@ -6,9 +6,9 @@ every candidate token by the likelihood of its format against uniform symbols, a
 what they accept with enough gain.
 
 The labelled credentials are examples of public token formats, made by rule, and the
-values the base patterns found: of the different values the ``SAMPLE`` with the
+values the base patterns found: of each kind's different values the ``SAMPLE`` with the
 smallest hashes (a bounded sample, as a classifier's fit may use; all documents are
-searched for it).  Scanning is a map over the documents without a shuffle.
+searched for it), topped up by made ones to ``LEAST``, so each automaton always exists.  Scanning is a map over the documents without a shuffle.
 
 Defined results: a null or empty text has no span, and ``base_sha256`` is that of the
 empty string; repeated rows are scanned alike; an empty table gives an empty result.
@@ -25,13 +25,14 @@ import math
 import random
 import re
 import string
+from itertools import islice
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalytics.llm.automata import Automaton, learn_all
-from catalytics.llm.common import free_name, text_or_empty
+from catalytics.llm.common import free_name, settings, text_or_empty
 
 KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -40,6 +41,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9_.-]{16,}")
 SAMPLE = 1500
+LEAST = 20
 #: Bits by which a format must be likelier than uniform symbols.
 GAIN = 12.0
 MASK = "[secret]"
@@ -63,7 +65,7 @@ FORMATS = {
 }
 
 
-def made_examples(n: int = 200, seed: int = 7) -> list[tuple[str, str]]:
+def made_examples(n: int = 200, seed: int = 7, formats: dict | None = None) -> list[tuple[str, str]]:
     """``n`` of each format: the shortest, the longest, and lengths even by their logarithm."""
     rng = random.Random(seed)
 
@@ -76,7 +78,11 @@ def made_examples(n: int = 200, seed: int = 7) -> list[tuple[str, str]]:
         drawn = round(math.exp(rng.uniform(math.log(least), math.log(most)))) if least < most else least
         return "".join(rng.choices(p[0], k=least if i == 0 else most if i == 1 else drawn))
 
-    return [(name, "".join(part(p, i) for p in parts)) for name, parts in FORMATS.items() for i in range(n)]
+    return [(name, "".join(part(p, i) for p in parts)) for name, parts in (formats or FORMATS).items() for i in range(n)]
+
+
+#: What tops up the kinds that the base patterns find.
+TOP_UP = {"assign": [(_ALNUM, 6, 40)], "access": ["AKIA", (string.ascii_uppercase + string.digits, 16)], "hex": [("0123456789abcdef", 24, 64)]}
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -104,8 +110,16 @@ def labelled(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> list[
         return pd.Series([base_values(t) for t in texts])
 
     found = docs.select(F.explode(values(text_or_empty(text))).alias("v")).select("v.kind", "v.value")
-    found = found.filter(F.length("value") <= 200).distinct().orderBy(F.xxhash64("value"), "value", "kind").limit(sample)
-    return made_examples() + [(r["kind"], r["value"]) for r in found.collect()]
+    smallest = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
+    found = found.filter(F.length("value") <= 200).distinct().withColumn("place", F.row_number().over(smallest)).filter(F.col("place") <= sample)
+    # each task sends its own smallest of a kind only
+    with settings(docs.sparkSession, {"spark.sql.optimizer.windowGroupLimitThreshold": str(sample)}):
+        values_of = {(r["kind"], r["value"]) for r in found.select("kind", "value").collect()}
+    for kind, parts in TOP_UP.items():
+        missing = LEAST - sum(k == kind for k, _ in values_of)
+        spare = (x for x in made_examples(2 * LEAST, formats={kind: parts}) if x not in values_of)
+        values_of |= set(islice(spare, max(0, missing)))
+    return made_examples() + sorted(values_of)
 
 
 def gain(text: str, model: Automaton) -> float:

@@ -73,3 +73,12 @@ def test_formats_of_other_lengths():
         assert secrets.all_spans(f"see {token} ok", models) == [(4, 3, 4 + len(token))], token
     assert secrets.all_spans("see " + tokens[3] + ". ok", models) == [(4, 3, 4 + len(tokens[3]))]
     assert secrets.all_spans("some_ordinary_name_2024 version-1.2.3-of-this", models) == []
+
+
+def test_every_kind_has_examples(spark):
+    texts = [" ".join(f"{(i * 50 + j) * 7919:032x}" for j in range(50)) for i in range(40)] + [f"password=Ab{i:04d}cd" for i in range(30)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kinds = [k for k, _ in secrets.labelled(frame, sample=100)]
+    assert (kinds.count("hex"), kinds.count("assign"), kinds.count("access")) == (100, 30, secrets.LEAST)
+    models = automata.learn_all(secrets.labelled(frame.limit(0)))
+    assert set(models) == {*secrets.FORMATS, "assign", "access", "hex"}
