@@ -4,6 +4,7 @@ those that SQL can answer.  Each reads its whole table with production parameter
 from __future__ import annotations
 
 import os
+import zlib
 from functools import wraps
 from pathlib import Path
 
@@ -16,12 +17,15 @@ from catalytics.llm import (
     exact_dedup,
     jaccard_join,
     licence_scan,
+    near_vectors,
     packing,
+    periodic_runs,
     quality,
     secrets,
     sentence_pieces,
     suffix_tree,
     url_filter,
+    vector_codes,
 )
 from catalytics.llm.common import read_table
 
@@ -136,6 +140,44 @@ def op10_chat_format(spark, sf_dir):
     return chat_format.format_chats(read_table(spark, sf_dir, "conversations"))
 
 
+def op11_vector_codes(spark, sf_dir):
+    coded, codebooks = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    named = vector_codes.label_errors(coded).withColumn("codebooks_sha256", F.lit(vector_codes.digest(codebooks)))
+    return named.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_near_vectors(spark, sf_dir):
+    return near_vectors.link_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def made_periodic(doc_id, words: list) -> list:
+    """The query's own input: for a tenth of the ids, words from a on repeat with period p."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic_runs.scan(read_table(spark, sf_dir, "documents"), change=made_periodic)
+    longest = periodic_runs.longest()
+    length = -longest["less"]
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        longest["start"].alias("start"),
+        length.alias("length"),
+        longest["period"].alias("period"),
+        F.floor(1000 * length / longest["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     q.__name__: bound(q)
     for q in (
@@ -149,10 +191,56 @@ QUERIES = {
         op8_exact_dedup,
         op9_quality_rules,
         op10_chat_format,
+        op11_vector_codes,
+        op12_near_vectors,
+        op13_periodic_runs,
     )
 }
 
+
+
+def _vector_codes_sql() -> str:
+    """The rounds written out: n<k> assigns by b<k>, b<k+1> holds the floors of the means."""
+    per, last = vector_codes.PARTS, vector_codes.ROUNDS
+    rounds = []
+    for k in range(last + 1):
+        rounds.append(f"""
+        n{k} AS (SELECT id, p, any_value(w) AS w, min(struct_pack(d := list_sum(list_transform(list_zip(w, c), lambda z: (z[1] - z[2]) ** 2))::BIGINT, e := e)) AS best
+               FROM part JOIN b{k} USING (p) GROUP BY id, p)""")
+        if k < last:
+            rounds.append(f"""
+        m{k} AS (SELECT p, e, list(floor(s / n)::BIGINT ORDER BY i) AS c FROM (
+                   SELECT p, best.e AS e, i, sum(w[i])::DOUBLE AS s, count(*) AS n
+                   FROM n{k}, (SELECT unnest(range(1, (SELECT max(len(w)) FROM part) + 1)) AS i) GROUP BY ALL) GROUP BY p, e),
+        b{k + 1} AS (SELECT p, e, coalesce(m{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN m{k} USING (p, e))""")
+    return f"""
+        WITH kept AS (
+            SELECT vec_id AS id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        part AS (SELECT id, label, p, v[p * (len(v) // {per}) + 1 : (p + 1) * (len(v) // {per})] AS w FROM kept, range({per}) t(p)),
+        b0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY id) - 1 AS e, w AS c FROM part
+               WHERE id IN (SELECT id FROM kept ORDER BY id LIMIT {vector_codes.ENTRIES})),{",".join(rounds)},
+        coded AS (SELECT id, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM n{last} GROUP BY id)
+        SELECT id AS vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b{last}) AS codebooks_sha256
+        FROM coded JOIN kept USING (id)"""
+
+
 ORACLE_SQL = {
+    "op11_vector_codes": _vector_codes_sql(),
+    "op12_near_vectors": f"""
+        WITH RECURSIVE able AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= {near_vectors.THRESHOLD}),
+        reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(least_id, vec_id)) AS component_id,
+               vec_id <= coalesce(least_id, vec_id) AS kept
+        FROM embeddings LEFT JOIN (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY 1) USING (vec_id)
+             LEFT JOIN (SELECT a AS vec_id, min(b) AS least_id FROM reach GROUP BY 1) USING (vec_id)""",
     "op1_url_filter": _url_filter_sql(),
     "op10_chat_format": r"""
         WITH turns AS (
