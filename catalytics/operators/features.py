@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, MinMaxScaler, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, Imputer, MinMaxScaler, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +83,44 @@ def require_few_categories(df: DataFrame, columns: Sequence[str], limit: int = M
             raise ValueError(f"column {c!r} has about {row[c]} categories; an indexer takes at most {limit}")
 
 
+#: Slots of a hashed category column.
+HASHED_WIDTH = 1024
+
+
+def hashed_categories(df: DataFrame, columns: Sequence[str], width: int = HASHED_WIDTH, suffix: str = "_hashed") -> DataFrame:
+    """M1/M2 for columns of any number of categories: ``<column>_hashed``, a one-hot vector.
+
+    The slot is a hash of column and value, so nothing is fitted, no labels reach the
+    driver and the width is fixed; two categories may share a slot (``hash_collisions``).
+    A missing value has no slot set.
+    """
+    for c in columns:
+        df = FeatureHasher(inputCols=[c], outputCol=f"{c}{suffix}", numFeatures=width, categoricalCols=[c]).transform(df)
+    return df
+
+
+def hash_collisions(df: DataFrame, columns: Sequence[str], width: int = HASHED_WIDTH) -> DataFrame:
+    """(column, n_categories, n_slots, n_shared, most) per column: categories, slots in use,
+    categories that share their slot, and the fullest slot's number of categories.
+
+    Distinct values are found by an aggregation with map-side combine and meet by slot.
+    """
+    out = []
+    for c in columns:
+        values = df.filter(_c(c).isNotNull()).select(_c(c)).distinct()
+        slots = hashed_categories(values, [c], width).select(F.array_position(vector_to_array(f"`{c}_hashed`"), F.lit(1.0)).alias("slot"))
+        counted = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
+        out.append(
+            counted.agg(
+                F.coalesce(F.sum("n"), F.lit(0)).alias("n_categories"),
+                F.count(F.lit(1)).alias("n_slots"),
+                F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("n_shared"),
+                F.coalesce(F.max("n"), F.lit(0)).alias("most"),
+            ).select(F.lit(c).alias("column"), "*")
+        )
+    return reduce(DataFrame.unionByName, out)
+
+
 def index_categories(df: DataFrame, column: str, output: str) -> tuple[DataFrame, list[str]]:
     """M1: frequency index (ties alphabetical); null/unseen -> the next index."""
     require_few_categories(df, [column])

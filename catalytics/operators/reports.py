@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from catalytics import fixed
 from catalytics.operators.quantiles import quantile_values
+from catalytics.sources.io import scratch_path, write_stage
 
 
 def stage_report(stages: dict[str, DataFrame]) -> DataFrame:
@@ -30,6 +31,40 @@ def stage_report(stages: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+class StageLog:
+    """A1 without a job of its own: rows are counted by the job that writes the stage.
+
+    ``write`` stores a stage as Parquet under ``spark.checkpoint.dir`` and observes its rows,
+    and its missing values per column, in the task that writes them, which is the job's
+    last stage: a retried task counts once.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.lines: list[tuple[int, str, int, int, dict[str, int]]] = []
+
+    def write(self, name: str, df: DataFrame, path: str | None = None) -> DataFrame:
+        """The stage as written, read back."""
+        seen = Observation()
+        missing = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"m{i}") for i, c in enumerate(df.columns)]
+        path = path or scratch_path(self.spark, "logged-stage")
+        write_stage(df.observe(seen, F.count(F.lit(1)).alias("rows"), *missing), path)
+        got = seen.get
+        nulls = {c: int(got[f"m{i}"]) for i, c in enumerate(df.columns)}
+        self.lines.append((len(self.lines) + 1, name, int(got["rows"]), len(df.columns), nulls))
+        return self.spark.read.schema(df.schema).parquet(path)  # known, so no job looks for it
+
+    def report(self) -> DataFrame:
+        """(step, stage, rows, columns): what ``stage_report`` gives, from the log."""
+        rows = [line[:4] for line in self.lines]
+        return self.spark.createDataFrame(rows, "step int, stage string, rows long, columns int")
+
+    def missing(self) -> DataFrame:
+        """(step, stage, column, n_missing) of every stage."""
+        rows = [(step, stage, c, n) for step, stage, _, _, nulls in self.lines for c, n in nulls.items()]
+        return self.spark.createDataFrame(rows, "step int, stage string, column string, n_missing long")
+
+
 def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """A2: keys seen more than once, with their row count."""
     keys = [key] if isinstance(key, str) else list(key)

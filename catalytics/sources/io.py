@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalytics.session import ensure_checkpoint_dir
@@ -78,6 +79,18 @@ def write_stage(
     return path
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
+    """S3: overwrite only the partitions that ``df`` has rows for; all others stay as they are.
+
+    The rows are dealt by the partition's columns and a salt, so that a partition is a few
+    files, and a hot one is not written by a single task.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c not in partition_by]), F.lit(8))
+    dealt = df.repartition(*[F.col(f"`{c}`") for c in partition_by], salt) if len(df.columns) > len(partition_by) else df
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    return path
+
+
 def write_csv(df: DataFrame, path: str, *, header: bool = True, escape: str = '"') -> str:
     """Delimited-text sink (the inverse of ``read_raw_csv``); values are written
     verbatim (the writer's default whitespace trimming is turned off)."""
