@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from catalytics.plans.bindings import QUERIES
+from catalytics.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
