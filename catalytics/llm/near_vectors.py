@@ -36,26 +36,34 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalytics.llm.common import cut_lineage
 from catalytics.llm.components import components
 
 THRESHOLD = 0.93
-ROOM = 1024
+ROOM = 2048
 PIVOTS = 16
 #: Added to distances: far above their rounding errors, so no link is lost by them.
 SLACK = 1e-6
 #: A task with this share of the one that it came from counts as hardly divided.
 HARDLY = 0.7
 
-OPEN = "space string, path string, side int, parent bigint, class bigint, copies bigint, v array<double>"
+OPEN = "space string, path string, side int, parent bigint, class bigint, copies bigint, v {}"
+#: Rows of a task that are compared with all others at a time.
+ROWS = 512
+
+
+def _numbers(vectors: DataFrame, column: str) -> Column:
+    """The vectors as they are, if they hold floats or doubles; else as doubles."""
+    kind = vectors.schema[column].dataType.simpleString()
+    return F.col(f"`{column}`") if kind in ("array<float>", "array<double>") else F.col(f"`{column}`").cast("array<double>")
 
 
 def classes_of(vectors: DataFrame, id_column: str, vector_column: str, label_column: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows that can link, rows that can't, classes of equal vectors of a label)."""
-    read = vectors.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{vector_column}`").cast("array<double>").alias("v"), F.col(f"`{label_column}`").cast("string").alias("label"))
+    read = vectors.select(F.col(f"`{id_column}`").alias("id"), _numbers(vectors, vector_column).alias("v"), F.col(f"`{label_column}`").cast("string").alias("label"))
     v = F.col("v")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
     links = F.coalesce(F.col("label").isNotNull() & (F.size(v) > 0) & fine, F.lit(False))
@@ -69,7 +77,7 @@ def classes_of(vectors: DataFrame, id_column: str, vector_column: str, label_col
 def _matrix(column: pa.Array) -> np.ndarray:
     """Vectors of one length as rows, each times a power of two so that squares stay finite."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    rows = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
     return np.ldexp(rows, -np.frexp(np.abs(rows).max(1, keepdims=True))[1])
 
 
@@ -128,8 +136,11 @@ def _linked(threshold: float):
         rows, side = _matrix(members["v"]), members["side"].to_numpy()
         names, copies = members["class"].to_numpy(), members["copies"].to_numpy()
         norms = np.linalg.norm(rows, axis=1)
-        linked = rows @ rows.T / (norms[:, None] * norms[None]) >= threshold
-        linked &= (side[:, None] != side[None]) | (side[:, None] == 0)
+        linked = np.empty((len(rows), len(rows)), bool)
+        for at in range(0, len(rows), ROWS):
+            some = slice(at, at + ROWS)
+            linked[some] = rows[some] @ rows.T / (norms[some, None] * norms[None]) >= threshold
+            linked[some] &= (side[some, None] != side[None]) | (side[some, None] == 0)
         np.fill_diagonal(linked, False)
         counts = linked @ copies
         root = np.arange(len(names))
@@ -181,7 +192,7 @@ def range_join(classes: DataFrame, threshold: float = THRESHOLD, room: int = ROO
         salted = cut_lineage(chosen.select(*task, "v", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")), "pivots")
         large = large.withColumn("salt", F.pmod(F.xxhash64("path", "class"), F.col("salts")).cast("int"))
         key = [*task, "salt"]
-        divided = large.groupBy(*key).cogroup(salted.groupBy(*key)).applyInArrow(_divide(radius), OPEN)
+        divided = large.groupBy(*key).cogroup(salted.groupBy(*key)).applyInArrow(_divide(radius), OPEN.format(classes.schema["v"].dataType.simpleString()))
         now = cut_lineage(divided, "open-pairs")
     found = [tasks.groupBy(*task).applyInArrow(_linked(threshold), "class bigint, links bigint, root bigint") for tasks in done]
     out = found[0]
