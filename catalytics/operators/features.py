@@ -160,10 +160,14 @@ def feature_pipeline(
     categorical: Sequence[tuple[str, str, str]],
     impute: bool = False,
     imputer_relative_error: float = 0.001,
+    hashed: Sequence[str] = (),
+    hashed_width: int = HASHED_WIDTH,
 ) -> Pipeline:
-    """M6: [Imputer] -> StringIndexers -> OneHotEncoder -> assembler -> MinMaxScaler -> assembler.
+    """M6: [Imputer] -> StringIndexers -> OneHotEncoder -> [hashers] -> assembler -> MinMaxScaler -> assembler.
 
-    ``categorical`` is a list of (input, index column, one-hot column).
+    ``categorical`` is a list of (input, index column, one-hot column).  ``hashed`` names
+    columns with more categories than an indexer may have: each is a one-hot vector of
+    ``hashed_width`` slots by hash, after the others in ``features``.
     With ``impute`` the numeric inputs are median-imputed first into
     ``<col>_imp`` (MLlib's bounded-sketch median).
     """
@@ -196,13 +200,15 @@ def feature_pipeline(
             handleInvalid="keep",
         )
     )
+    for c in hashed:
+        stages.append(FeatureHasher(inputCols=[c], outputCol=f"{c}_hashed", numFeatures=hashed_width, categoricalCols=[c]))
     stages.append(
         VectorAssembler(inputCols=num_inputs, outputCol="numeric_features", handleInvalid="keep")
     )
     stages.append(MinMaxScaler(inputCol="numeric_features", outputCol="numeric_features_scaled"))
     stages.append(
         VectorAssembler(
-            inputCols=["numeric_features_scaled"] + [ohe for _, _, ohe in categorical],
+            inputCols=["numeric_features_scaled", *[ohe for _, _, ohe in categorical], *[f"{c}_hashed" for c in hashed]],
             outputCol="features",
             handleInvalid="keep",
         )

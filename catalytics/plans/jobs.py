@@ -19,10 +19,10 @@ from catalytics.functions import parse as P
 from catalytics.operators import features as FE
 from catalytics.operators import model as M
 from catalytics.operators.missing import column_medians, fill_constants, fill_median, impute_with, replace_sentinel
-from catalytics.operators.reports import duplicate_key_count, outlier_report, stage_report
+from catalytics.operators.reports import StageLog, duplicate_key_count, outlier_report, stage_report
 from catalytics.operators.rules import catalogue_rules, enforce_rules, require_present, rule_report
 from catalytics.operators.split import label_split
-from catalytics.sources.io import cut_lineage, save_model, write_stage
+from catalytics.sources.io import cut_lineage, save_model
 
 
 def _c(name: str):
@@ -213,13 +213,18 @@ def train_and_evaluate(
 
 
 def run_catalogue_pipeline(raw: DataFrame, out_dir: str, as_of: str = fixed.REFERENCE_DAY) -> dict:
-    """Whole flow with Parquet hand-overs: cleaned -> transformed -> train/test."""
-    cleaned = cut_lineage(clean_catalogue(raw), "cleaned")
+    """Whole flow with Parquet hand-overs: cleaned -> transformed -> train/test.
+
+    Rows and missing values of every stage are counted by the jobs that write them and
+    are in ``log``; no stage is read again to be counted.
+    """
+    log = StageLog(raw.sparkSession)
+    cleaned = log.write("cleaned", clean_catalogue(raw))
     reduced = reduce_columns(cleaned)
     transformed, _ = build_features(reduced, as_of)
-    write_stage(transformed, f"{out_dir}/transformed")
+    log.write("transformed", transformed, f"{out_dir}/transformed")
     featured = FE.catalogue_features(reduced, as_of)
     train, test, _ = prepare_ml(featured)
-    write_stage(train, f"{out_dir}/ml/train")
-    write_stage(test, f"{out_dir}/ml/test")
-    return {"cleaned": cleaned, "transformed": f"{out_dir}/transformed"}
+    log.write("train", train, f"{out_dir}/ml/train")
+    log.write("test", test, f"{out_dir}/ml/test")
+    return {"cleaned": cleaned, "transformed": f"{out_dir}/transformed", "log": log}

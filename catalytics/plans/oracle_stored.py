@@ -78,6 +78,8 @@ STORED_ORACLE = {
         SELECT x0::INTEGER AS l_linenumber, x1 AS l_discount, x2 AS l_tax, placed.n,
                ROUND(CASE WHEN CASE f WHEN 0 THEN x0 WHEN 1 THEN x1 ELSE x2 END <= t THEN low ELSE high END, 6) AS prediction
         FROM placed JOIN cut1 USING (node)""",
+    "tree_leaves": f"""WITH {_TREE_CTE}
+        SELECT ROUND(UNNEST([low, high]), 6) AS prediction, 2 AS conditions FROM cut1""",
     "model_round_trip": f"""WITH {FEATURES_CTE}
         SELECT YEAR("Last Updated") AS year, COUNT(*) AS n, 0 AS n_differing
         FROM feat WHERE "Last Updated" >= DATE '{_SAVED_ON}' GROUP BY 1""",
@@ -93,6 +95,11 @@ STORED_ORACLE = {
         SELECT UNNEST([4, 64]) AS partitions, part, n, true AS within
         FROM (SELECT CASE WHEN r < 0.6 THEN 0 WHEN r < 0.9 THEN 1 ELSE 2 END AS part, COUNT(*) AS n FROM drawn GROUP BY 1)""",
     "infer_types": _infer(),
+    "typed_csv": f"""
+        WITH raw AS ({RAW_CATALOGUE_SQL})
+        SELECT "App Name", "App Id"::BIGINT AS "App Id", "Rating"::DOUBLE AS "Rating", "Rating Count"::DOUBLE AS "Rating Count",
+               "Maximum Installs"::BIGINT AS "Maximum Installs", "Free"::BOOLEAN AS "Free", "In App Purchases"::BOOLEAN AS "In App Purchases",
+               "Scraped Time"::TIMESTAMP AS "Scraped Time", "Size" FROM raw""",
     "checked_csv": f"""
         WITH raw AS ({RAW_CATALOGUE_SQL}), kind AS (SELECT "App Id"::BIGINT % 10 AS k, length("App Name") AS chars FROM raw)
         SELECT CASE k WHEN 1 THEN 'too few fields' WHEN 2 THEN 'too many fields' ELSE 'read' END AS outcome, COUNT(*) AS n,
@@ -117,6 +124,9 @@ STORED_ORACLE = {
         FROM cleaned GROUP BY 1""",
     "hashed_categories": f"""WITH {CLEANED_CTE}
         SELECT 'App Id' AS "column", COUNT(DISTINCT "App Id") AS n_categories, COUNT(*) AS n, 0 AS n_wrong, true AS fits FROM cleaned""",
+    "pipeline_hashed": f"""WITH {CLEANED_CTE},
+        wide AS (SELECT 1 + COUNT(DISTINCT "Category") + 1 + COUNT(DISTINCT "Content Rating") + 1 + 256 AS w FROM cleaned)
+        SELECT "Content Rating", COUNT(*) AS n, ANY_VALUE(w) AS width, COUNT("Developer Id") AS n_hashed FROM cleaned, wide GROUP BY 1""",
     "date_features_today": """
         SELECT o_orderkey, date_diff('day', o_orderdate::DATE, (current_timestamp AT TIME ZONE 'UTC')::DATE) AS days_since FROM orders""",
     "catalogue_mean_by_band_then": CATALOGUE_ORACLE["catalogue_mean_by_band"].replace(fixed.REFERENCE_DAY, ORDERS_AS_OF),

@@ -23,7 +23,7 @@ from catalytics.plans import jobs
 from catalytics.plans.bindings import ORDERS_AS_OF
 from catalytics.plans.stages import staged_cleaned_catalogue, staged_ml_sets, staged_raw_catalogue
 from catalytics.sources.checked import account, read_checked_csv
-from catalytics.sources.inference import infer_types
+from catalytics.sources.inference import infer_types, read_typed_csv
 from catalytics.sources.io import (
     cut_lineage,
     load_model,
@@ -103,6 +103,13 @@ def q_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*_TREE_INPUTS, "n", F.round("table_prediction", 6).alias("prediction"))
 
 
+def q_tree_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 as rules: every leaf with its prediction and how many conditions lead to it."""
+    _, nodes = _grown_tree(spark, sf_dir)
+    conditions = F.size(F.split("rule", " and "))
+    return FT.tree_rules(nodes).select(F.round("prediction", 6).alias("prediction"), conditions.alias("conditions"))
+
+
 #: Rows updated from this day on came after the model was saved.
 _SAVED_ON = "1997-01-01"
 
@@ -164,6 +171,17 @@ def q_infer_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infer_types(read_raw_csv(spark, path, fixed.RAW_COLUMNS))
 
 
+_TYPED = ["App Id", "Rating", "Rating Count", "Maximum Installs", "Free", "In App Purchases", "Scraped Time", "Size"]
+
+
+def q_typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of unknown types read as the types that were found."""
+    path = scratch_path(spark, "untyped-csv")
+    write_csv(staged_raw_catalogue(spark, sf_dir), path)
+    typed, _ = read_typed_csv(spark, path)
+    return typed.select("App Name", *[f"`{c}`" for c in _TYPED])
+
+
 def q_checked_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue's text with records that lack a field, have one too many, or hold
     quotes, commas and line ends; each outcome with its number of records and a sum (characters
@@ -244,6 +262,17 @@ def q_hashed_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("column", "n_categories", "n", "n_wrong", (F.col("n_slots") <= FE.HASHED_WIDTH).alias("fits"))
 
 
+def q_pipeline_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 with a column of too many categories for an indexer: per content rating the width of
+    the features and how many slots are set by the hashed part."""
+    df = staged_cleaned_catalogue(spark, sf_dir).select("Category", "Content Rating", "Developer Id", F.col("Rating Count").cast("double").alias("Rating Count"))
+    pipe = FE.feature_pipeline(["Rating Count"], FE.CATALOGUE_CATEGORICAL, hashed=["Developer Id"], hashed_width=256)
+    _, out = FE.fit_transform(pipe, df, df)
+    values = vector_to_array("features")
+    in_hash = F.aggregate(F.slice(values, F.size(values) - 255, 256), F.lit(0.0), lambda s, x: s + x)
+    return out.groupBy("Content Rating").agg(F.count(F.lit(1)).alias("n"), F.max(F.size(values)).alias("width"), F.sum(in_hash).cast("bigint").alias("n_hashed"))
+
+
 # --------------------------------------------------------------------- other days
 
 
@@ -264,17 +293,20 @@ QUERIES = {
     "importances_by_tables": q_importances_by_tables,
     "tree_importance": q_tree_importance,
     "tree_scores": q_tree_scores,
+    "tree_leaves": q_tree_leaves,
     "model_round_trip": q_model_round_trip,
     "vector_width": q_vector_width,
     "split_stable": q_split_stable,
     "split_stable_sizes": q_split_stable_sizes,
     "infer_types": q_infer_types,
+    "typed_csv": q_typed_csv,
     "checked_csv": q_checked_csv,
     "observed_stages": q_observed_stages,
     "observed_missing": q_observed_missing,
     "merged_sketches": q_merged_sketches,
     "replace_partition": q_replace_partition,
     "hashed_categories": q_hashed_categories,
+    "pipeline_hashed": q_pipeline_hashed,
     "date_features_today": q_date_features_today,
     "catalogue_mean_by_band_then": q_catalogue_mean_by_band_then,
 }

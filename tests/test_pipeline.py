@@ -17,6 +17,10 @@ def test_run_catalogue_pipeline(spark, raw):
     test = spark.read.parquet(f"{out}/ml/test")
     assert train.columns == fixed.ML_PREPARED_COLUMNS
     assert train.count() + test.count() == 9
+    counted = {r.stage: (r.rows, r.columns) for r in res["log"].report().collect()}
+    assert counted == {"cleaned": (9, 25), "transformed": (9, 24), "train": (train.count(), 10), "test": (test.count(), 10)}
+    missing = {(r.stage, r["column"]): r.n_missing for r in res["log"].missing().collect()}
+    assert missing["cleaned", "Size_KB"] == 0 == missing["cleaned", "Currency"]
 
 
 def test_cleaning_reports(raw):
