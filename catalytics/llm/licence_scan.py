@@ -104,20 +104,36 @@ WORD = "[a-z0-9]+(?:[.][0-9]+)*"
 COMMON = {"a", "and", "any", "at", "be", "by", "for", "in", "is", "it", "its", "may", "not", "of", "on", "or", "the", "this", "to", "you"}
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once: as a lambda's variable it is not an
+    expression that the optimizer could copy into each of its uses, inside loops too."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def tokens_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
 def pairs_of(tokens: Column) -> Column:
-    n = F.size(tokens)
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.slice(tokens, i, F.lit(2))))
-    return F.when(n > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
+    def of(words: Column) -> Column:
+        n = F.size(words)
+        pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.slice(words, i, F.lit(2))))
+        return F.when(n > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
 
+    return bound(tokens, of)
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, row, paragraph (its number), text of every paragraph that can hold a notice."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.filter(has_anchor(F.col("text")))
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """doc_id, row, text of every row, written once so that a row keeps its number; the text
+    is left out where no notice can be."""
+    text = F.when(has_anchor(text_or_empty()), text_or_empty())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), text.alias("text"))
+    return cut_lineage(rows, "numbered")
+
+
+def paragraphs(rows: DataFrame) -> DataFrame:
+    """doc_id, row, paragraph (its number), text of every paragraph of ``numbered`` rows that can hold a notice."""
+    rows = rows.filter(F.col("text").isNotNull())
     # comment words at the start of a line; other markers are no words
     text = F.regexp_replace(F.lower("text"), r"(?m)^[^a-z0-9\n]*(?:rem|dnl)\b", "")
     rows = rows.select("doc_id", "row", F.posexplode(F.split(text, r"\n[^a-z0-9]*\n")).alias("paragraph", "text"))
@@ -128,20 +144,28 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 def stretches(found: DataFrame) -> DataFrame:
     """doc_id, row, paragraph, first, last (lines), tokens of all stretches of ``paragraphs`` that can hold a notice."""
     longest = max(len(words) for family in NOTICES for words in notice_words(family))
+
+    def pieces(lines: Column) -> Column:
+        end = F.greatest(F.size(lines) - 1, F.lit(0))
+        # all lines but the first and the last are in the notice from end to end
+        inner = lambda i, j: F.aggregate(F.slice(lines, i + 2, F.greatest(j - i - 1, F.lit(0))), F.lit(0), lambda n, x: n + F.size(x))
+        run = lambda i: F.filter(F.sequence(i, F.least(end, i + longest - 1)), lambda j: inner(i, j) <= longest - 2)
+        piece = lambda i, j: F.struct(i.alias("first"), j.alias("last"), F.flatten(F.slice(lines, i + 1, j - i + 1)).alias("tokens"))
+        return F.flatten(F.transform(F.sequence(F.lit(0), end), lambda i: F.transform(run(i), lambda j: piece(i, j))))
+
     lines = F.filter(F.transform(F.split("text", "\n"), tokens_of), lambda x: F.size(x) > 0)
-    rows = found.select("doc_id", "row", "paragraph", lines.alias("lines"))
-    end, lines = F.greatest(F.size("lines") - 1, F.lit(0)), F.col("lines")
-    # all lines but the first and the last are in the notice from end to end
-    inner = lambda i, j: F.aggregate(F.slice(lines, i + 2, F.greatest(j - i - 1, F.lit(0))), F.lit(0), lambda n, x: n + F.size(x))
-    run = lambda i: F.filter(F.sequence(i, F.least(end, i + longest - 1)), lambda j: inner(i, j) <= longest - 2)
-    pieces = F.transform(F.sequence(F.lit(0), end), lambda i: F.transform(run(i), lambda j: F.struct(i.alias("first"), j.alias("last"), F.flatten(F.slice(lines, i + 1, j - i + 1)).alias("tokens"))))
-    rows = rows.select("doc_id", "row", "paragraph", F.explode(F.flatten(pieces)).alias("piece")).select("doc_id", "row", "paragraph", "piece.*")
+    rows = found.select("doc_id", "row", "paragraph", F.explode(bound(lines, pieces)).alias("piece")).select("doc_id", "row", "paragraph", "piece.*")
     rows = rows.withColumn("best", likeliest(pairs_of(F.col("tokens")))).filter(F.col("best.share") >= CONFIRMED)
-    theirs = F.element_at(F.array(*(F.array(*map(F.lit, p)) for family in sorted(NOTICES) for p in notice_pairs(family))), F.col("best.notice"))
-    pair = lambda k: F.concat_ws(" ", F.slice("tokens", k, F.lit(2)))
-    rows = rows.withColumn("places", F.filter(F.sequence(F.lit(1), F.greatest(F.size("tokens") - 1, F.lit(1))), lambda k: F.array_contains(theirs, pair(k))))
-    low, high = F.array_min("places"), F.array_max("places")
-    return rows.select("doc_id", "row", "paragraph", "first", "last", F.slice("tokens", low, high - low + 2).alias("tokens"))
+    every = F.array(*(F.array(*map(F.lit, p)) for family in sorted(NOTICES) for p in notice_pairs(family)))
+
+    def from_first_pair_to_last(of: Column) -> Column:
+        tokens, theirs = of["tokens"], of["theirs"]
+        pair = lambda k: F.concat_ws(" ", F.slice(tokens, k, F.lit(2)))
+        places = F.filter(F.sequence(F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(1))), lambda k: F.array_contains(theirs, pair(k)))
+        return bound(places, lambda p: F.slice(tokens, F.array_min(p), F.array_max(p) - F.array_min(p) + 2))
+
+    both = F.struct(F.col("tokens").alias("tokens"), F.element_at(every, F.col("best.notice")).alias("theirs"))
+    return rows.select("doc_id", "row", "paragraph", "first", "last", bound(both, from_first_pair_to_last).alias("tokens"))
 
 
 def notices(spark: SparkSession) -> DataFrame:
@@ -202,7 +226,7 @@ def likeliest(pairs: Column) -> Column:
         return F.array_max(F.array(*(F.struct(x.alias("share"), F.lit(i).alias("notice")) for i, x in enumerate(shares, 1))))
 
     # one pass over the pairs, then only those of notices are compared with each
-    return F.get(F.transform(F.array(F.array_intersect(pairs, F.array(*map(F.lit, every)))), best), 0)
+    return bound(F.array_intersect(pairs, F.array(*map(F.lit, every))), best)
 
 
 def anchors() -> list[str]:
@@ -221,15 +245,13 @@ def anchors() -> list[str]:
 
 
 def has_anchor(text: Column) -> Column:
-    lowered = F.lower(text)
-    return reduce(or_, (F.contains(lowered, F.lit(w)) for w in anchors()))
+    return bound(F.lower(text), lambda lowered: reduce(or_, (F.contains(lowered, F.lit(w)) for w in anchors())))
 
 
 def ordinary(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """label, tokens, half: a bounded sample of different lines that are no part of a notice."""
     lines = docs.select(F.explode(F.split(text_or_empty(), "\n")).alias("line")).filter(F.trim("line") != "")
-    lowered = F.lower("line")
-    lines = lines.filter(~reduce(or_, (F.contains(lowered, F.lit(w)) for w in LICENCE_WORDS)))
+    lines = lines.filter(~bound(F.lower("line"), lambda lowered: reduce(or_, (F.contains(lowered, F.lit(w)) for w in LICENCE_WORDS))))
     lines = lines.select("line", F.xxhash64("line").alias("h"))
     # hashes alone are dealt out: a line that a third of the documents share is one of the sample
     wanted = cut_lineage(lines.select("h").distinct().orderBy("h").limit(sample), "ordinary-hashes")
@@ -261,10 +283,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE):
     return model, max(LEAST, min(worst, quantile(parts.filter("held"), F.get(chances, F.col("label").cast("int")), OWN)))
 
 
-def found_paragraphs(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, row, paragraph, first, last, family, probability, share of every confirmed prediction."""
+def found_paragraphs(docs: DataFrame, rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, row, paragraph, first, last, family, probability, share of every confirmed
+    prediction in ``rows``, the ``numbered`` rows of ``docs``."""
     model, least = fit(docs, sample)
-    scored = model.transform(stretches(paragraphs(docs)).filter(F.size("tokens") > 0)).filter(F.col("prediction") > 0)
+    # written: each of the model's steps would work the tokens out again
+    pieces = cut_lineage(stretches(paragraphs(rows)).filter(F.size("tokens") > 0), "stretches")
+    scored = model.transform(pieces).filter(F.col("prediction") > 0)
     scored = scored.select("doc_id", "row", "paragraph", "first", "last", pairs_of(F.col("tokens")).alias("pairs"), "prediction", vector_to_array("probability").alias("chances"))
     at = F.col("prediction").cast("int")
     share = F.lit(0.0)
@@ -288,8 +313,8 @@ def passages(found: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, n_licences (passages), licences (families, sorted) for every row."""
-    hits = passages(found_paragraphs(docs, sample)).groupBy("row").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("family")).alias("families"))
+    rows = numbered(docs)
+    hits = passages(found_paragraphs(docs, rows, sample)).groupBy("row").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("family")).alias("families"))
     hits = cut_lineage(hits, "licences")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"))
-    out = rows.join(hits, "row", "left")
+    out = rows.select("doc_id", "row").join(hits, "row", "left")
     return out.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_licences"), F.coalesce("families", F.array().cast("array<string>")).alias("licences"))
