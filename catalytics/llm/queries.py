@@ -3,6 +3,7 @@ those that SQL can answer.  Each reads its whole table with production parameter
 
 from __future__ import annotations
 
+import math
 import os
 import zlib
 from functools import wraps
@@ -55,17 +56,12 @@ def op1_url_filter(spark, sf_dir):
 
 
 def _url_filter_sql() -> str:
-    """Rules and rounds written out; what follows is the method in SQL."""
+    """Rules written out; rounds until what is left to bring is below the tolerance."""
     rules = ", ".join(f"('{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{v}')" for r, v in url_filter.RULES.items())
-    rounds, d = [], url_filter.DAMPING
-    for k in range(1, url_filter.ROUNDS + 1):
-        rounds.append(f"""
-        s{k} AS (SELECT kind, node, sum(score) AS score FROM (
-            SELECT * FROM s0 UNION ALL
-            SELECT a.kind, a.dest AS node, {d} * s.score * a.share FROM s{k - 1} s JOIN arc a ON a.kind = s.kind AND a.node = s.node)
-            GROUP BY 1, 2)""")
+    d = url_filter.DAMPING
+    rounds = math.ceil(math.log(url_filter.TOLERANCE) / math.log(d))
     return rf"""
-        WITH rule(rule, rule_host, rule_path, rule_verdict) AS (VALUES {rules}),
+        WITH RECURSIVE rule(rule, rule_host, rule_path, rule_verdict) AS (VALUES {rules}),
         page AS (
             SELECT page_id, coalesce(html, '') AS html,
                    translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -77,9 +73,9 @@ def _url_filter_sql() -> str:
             GROUP BY 1),
         judged AS (SELECT p.*, rule, by_rule FROM page p LEFT JOIN fit USING (page_id)),
         href AS (
-            SELECT host AS source, unnest(regexp_extract_all(html, '(?i)href\s*=\s*["'']?([a-z][a-z0-9+.-]*://[^"''\s>]+)', 1)) AS link FROM page),
+            SELECT host AS source, unnest(regexp_extract_all(html, '(?i)href\s*=\s*["'']?((?:[a-z][a-z0-9+.-]*:)?//[^"''\s>]+)', 1)) AS link FROM page),
         link AS (
-            SELECT source, translate(regexp_extract(link, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target,
+            SELECT source, translate(regexp_extract(CASE WHEN link LIKE '//%' THEN 'http:' || link ELSE link END, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target,
                    count(*) AS n FROM href GROUP BY 1, 2),
         arc0 AS (
             SELECT 'allow' AS kind, source AS node, target AS dest, n FROM link WHERE source <> target AND source <> '' AND target <> ''
@@ -88,10 +84,15 @@ def _url_filter_sql() -> str:
         arc AS (SELECT kind, node, dest, n / sum(n) OVER (PARTITION BY kind, node) AS share FROM arc0),
         s0 AS (
             SELECT by_rule AS kind, host AS node, {1 - d} * count(*) / sum(count(*)) OVER (PARTITION BY by_rule) AS score
-            FROM judged WHERE by_rule IS NOT NULL AND host <> '' GROUP BY 1, 2),{",".join(rounds)},
+            FROM judged WHERE by_rule IS NOT NULL AND host <> '' GROUP BY 1, 2),
+        walk(kind, node, score, k) AS (
+            SELECT kind, node, score, 0 FROM s0
+            UNION ALL
+            SELECT a.kind, a.dest, sum({d} * w.score * a.share), w.k + 1
+            FROM walk w JOIN arc a ON a.kind = w.kind AND a.node = w.node WHERE w.k < {rounds} GROUP BY a.kind, a.dest, w.k),
         host AS (
             SELECT node AS host, coalesce(sum(score) FILTER (kind = 'allow'), 0) AS trust,
-                   coalesce(sum(score) FILTER (kind = 'block'), 0) AS distrust FROM s{len(rounds)} GROUP BY 1)
+                   coalesce(sum(score) FILTER (kind = 'block'), 0) AS distrust FROM walk GROUP BY 1)
         SELECT page_id, host, path, rule,
                coalesce(by_rule, CASE WHEN distrust > 0 AND distrust >= {url_filter.THRESHOLD} * trust THEN 'block' ELSE 'allow' END) AS verdict
         FROM judged LEFT JOIN host USING (host)"""
@@ -132,7 +133,7 @@ def op8_exact_dedup(spark, sf_dir):
 
 
 def op9_quality_rules(spark, sf_dir):
-    judged, name = quality.judge(read_table(spark, sf_dir, "documents"))
+    judged, name = quality.judge(read_table(spark, sf_dir, "documents"), columns=["doc_id"])
     return judged.select("doc_id", f"{name}.*")
 
 

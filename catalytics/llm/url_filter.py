@@ -39,8 +39,6 @@ RULES = {
     "com/fr/": "allow",
     "com/de/": "block",
 }
-#: Rounds that the SQL for the given tables writes out (they have no arcs, so any number will do).
-ROUNDS = 8
 #: Summed growth of all scores at which rounds end; the scores of each kind sum up to 1 at most.
 TOLERANCE = 1e-9
 DAMPING = 0.85
