@@ -117,6 +117,41 @@ def learn(examples: list[str], alpha: float = 0.05) -> Automaton:
     return Automaton(steps, ends, min(sizes), max(sizes))
 
 
+class Background:
+    """What ordinary tokens look like: chances of a character after the two before it, by
+    counts of tokens, smoothed over one character less each time (Witten and Bell).  Half
+    of each chance is uniform, so characters that these tokens lack are no evidence."""
+
+    def __init__(self, tokens: list[str], alphabet: str, order: int = 2):
+        self.order, self.floor = order, 1 / (len(set(alphabet)) + 1)
+        self.seen: list[dict[str, Counter]] = [defaultdict(Counter) for _ in range(order + 1)]
+        for token in tokens:
+            padded = "\n" * order + token
+            for i in range(order, len(padded)):
+                for k in range(order + 1):
+                    self.seen[k][padded[i - k : i]][padded[i]] += 1
+        self.total = [{c: (sum(n.values()), len(n)) for c, n in level.items()} for level in self.seen]
+        self.known: dict[str, float] = {}
+
+    def _log2(self, gram: str) -> float:
+        """log2 chance of the last character of ``gram`` after those before it."""
+        bits = self.known.get(gram)
+        if bits is None:
+            chance = self.floor
+            for k in range(self.order + 1):
+                context = gram[self.order - k : self.order]
+                if (found := self.total[k].get(context)) is None:
+                    break
+                n, different = found
+                chance = (self.seen[k][context][gram[-1]] + different * chance) / (n + different)
+            self.known[gram] = bits = math.log2((chance + self.floor) / 2)
+        return bits
+
+    def log2_likelihood(self, text: str) -> float:
+        padded, size = "\n" * self.order + text, self.order + 1
+        return sum(self._log2(padded[i : i + size]) for i in range(len(text)))
+
+
 def learn_all(labelled: list[tuple[str, str]], least: int = 20) -> dict[str, Automaton]:
     """One automaton for each label with at least ``least`` different examples."""
     by: dict[str, set[str]] = defaultdict(set)
