@@ -18,6 +18,7 @@ WHITE = " \t\n\x0b\x0c\r"
 __all__ = [
     "WHITE", "Hashes", "cut_lineage", "drop_stage", "free_name", "mix", "pack", "parts",
     "read_table", "scratch_path", "settings", "small_batches", "text_or_empty", "unpack",
+    "written_in_small_batches",
 ]
 
 
@@ -46,6 +47,17 @@ def settings(spark: SparkSession, wanted: dict[str, str]):
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
+#: Rows of an Arrow batch of whole texts: the texts of a batch, and what is made of them, are
+#: in a Python worker and in the executor's buffers at once.
+TEXTS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256"}
+
+
+def written_in_small_batches(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written, with few texts of it in Python at a time."""
+    with settings(df.sparkSession, TEXTS):
+        return cut_lineage(df, name)
+
+
 def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -1,9 +1,16 @@
 """Quality rules by weak supervision (operator 9).
 
 Each rule votes good (+1), bad (-1) or abstains (0).  A latent-class model over
-the votes (good, and kinds of junk; a vote distribution per rule and class) is
-fitted by expectation-maximisation; a document's posterior probability of being
-good replaces the all-must-pass filter.
+the votes (good, and kinds of junk; for each the chance that a rule which votes
+says bad) is fitted by expectation-maximisation.  It gives each rule's accuracy,
+and a document's posterior probability of being good, which replaces the
+all-must-pass filter.  An abstention says nothing about the class.
+
+Votes alone can't tell a rule that is often wrong from junk that only this rule
+sees, so two things are given: that every rule has a kind of junk of its own
+(``kinds=False``: one kind for all rules), and what a rule is like before any
+document was seen, worth ``PRIOR`` documents at every size of the input.  All else comes
+from the documents.  Each text is counted once, in the only pass over the texts.
 
 What EM needs is how often each vote pattern occurs: one map-side aggregated
 count over all documents with at most 3 ** len(RULES) = 6,561 rows whatever the
@@ -24,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalytics.llm.common import WHITE, free_name, text_or_empty
+from catalytics.llm.common import WHITE, free_name, text_or_empty, written_in_small_batches
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -107,13 +114,14 @@ def _votes(code: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class VoteModel:
-    share: np.ndarray  # of each class: good, then one kind of junk for each rule
-    chance: np.ndarray  # [class, rule, vote]
+    share: np.ndarray  # of each class: good, then the kinds of junk
+    chance: np.ndarray  # [class, rule]: that a vote, if there is one, is bad
 
     def classes(self, codes: np.ndarray) -> np.ndarray:
         """Posterior of every class (columns) for vote patterns (rows)."""
-        votes, at = _votes(codes), np.arange(len(RULES))[None, :]
-        log = np.stack([np.log(p) + np.log(c[at, votes]).sum(1) for p, c in zip(self.share, self.chance, strict=True)], 1)
+        votes = _votes(np.asarray(codes, np.int64))
+        bad, good = (votes == 0).astype(float), (votes == 2).astype(float)
+        log = np.log(self.share)[None] + bad @ np.log(self.chance).T + good @ np.log(1 - self.chance).T
         odds = np.exp(log - log.max(1, keepdims=True))
         return odds / odds.sum(1, keepdims=True)
 
@@ -121,76 +129,105 @@ class VoteModel:
         """Probability of a good document for every possible vote pattern."""
         return self.classes(np.arange(3 ** len(RULES)))[:, 0]
 
+    def accuracies(self, codes, counts) -> np.ndarray:
+        """For each rule the estimated share of right ones among its votes."""
+        votes, good = _votes(np.asarray(codes, np.int64)), self.classes(codes)[:, :1]
+        weight = np.asarray(counts, float)[:, None]
+        right = weight * ((votes == 0) * (1 - good) + (votes == 2) * good)
+        return right.sum(0) / np.maximum(1e-9, (weight * (votes != 1)).sum(0))
+
+
+#: Documents that the prior of a class is worth: few, so that rules are judged by the data.
+PRIOR = 10.0
+#: Before any document was seen: a vote on a good text is bad, a rule sees its own junk, and
+#: (worth one document) it sees another rule's.
+WRONG, SEES, OTHERS = 0.01, 0.9, 0.05
 
-def expectation_maximisation(codes, counts, rounds: int = 100) -> VoteModel:
+
+def expectation_maximisation(codes, counts, kinds: bool = True, rounds: int = 1000, tolerance: float = 1e-7) -> VoteModel:
     """Fit on vote patterns and how many documents have each.
 
-    The bad class is a mixture with one kind of junk for each rule: two rules that
-    never agree may each see a kind of its own, which a single bad class would
-    have to call an error of one of them.  At first a document is good without a
-    vote for bad, and shared by the kinds whose rules voted bad otherwise.
-    What rules are for enters as prior counts worth as many documents as there are,
-    so they weigh alike at every size: good documents get a bad vote in one of a
-    hundred cases, and a kind of junk gets its own rule's bad vote in nine of ten.
+    With ``kinds`` the bad class is a mixture with one kind of junk for each rule: two
+    rules that never agree may each see a kind of its own, which a single bad class
+    would have to call an error of one of them.  What a rule votes on other kinds is
+    learned.  A rule is taken to be better than chance on good texts and on its own
+    junk, which keeps the names of the classes.  Rounds end when the classes of all
+    documents together change by less than ``tolerance`` of them.
     """
     codes, counts = np.asarray(codes, np.int64), np.asarray(counts, float)
     m, votes = len(RULES), _votes(codes)
-    bad = votes == 0
-    junk = np.where(bad.any(1, keepdims=True), bad / np.maximum(1, bad.sum(1, keepdims=True)), 1 / m)
-    good = np.where(bad.any(1), 0.1 ** bad.sum(1), 0.99)
-    shares = np.concatenate([good[:, None], (1 - good)[:, None] * junk], 1)
-    lean = np.ones((1 + m, m, 3))
-    lean[0] += counts.sum() * np.array([0.01, 0.1, 0.89])
-    lean[np.arange(1, m + 1), np.arange(m)] += counts.sum() * np.array([0.9, 0.05, 0.05])
-    model = VoteModel(np.full(1 + m, 1 / (1 + m)), lean / lean.sum(2, keepdims=True))
+    bad, good = (votes == 0).astype(float), (votes == 2).astype(float)
+    own = (np.arange(1, m + 1), np.arange(m)) if kinds else (np.ones(m, int), np.arange(m))
+    lean = np.full((1 + m if kinds else 2, m, 2), [OTHERS, 1 - OTHERS])
+    lean[0] = PRIOR * np.array([WRONG, 1 - WRONG])
+    lean[own] = PRIOR * np.array([SEES, 1 - SEES] if kinds else [0.5, 0.5])
+    if kinds:
+        n_bad = bad.sum(1, keepdims=True)
+        clean = np.where(n_bad > 0, 0.1**n_bad, 0.99)
+        shares = np.concatenate([clean, (1 - clean) * np.where(n_bad > 0, bad / np.maximum(1, n_bad), 1 / m)], 1)
+    else:
+        clean = (good.sum(1, keepdims=True) + 1) / ((good + bad).sum(1, keepdims=True) + 2)
+        shares = np.concatenate([clean, 1 - clean], 1)
     for _ in range(rounds):
         weight = shares * counts[:, None]
-        chance = lean + np.stack([(weight.T @ (votes == v)) for v in range(3)], 2)
-        share = (weight.sum(0) + 1) / (weight.sum() + 1 + m)
-        model = VoteModel(share, chance / chance.sum(2, keepdims=True))
-        shares = model.classes(codes)
+        chance = (lean[:, :, 0] + weight.T @ bad) / (lean.sum(2) + weight.T @ (bad + good))
+        chance[0] = np.minimum(chance[0], 0.5)
+        chance[own] = np.maximum(chance[own], 0.5 if kinds else chance[0])
+        share = (weight.sum(0) + 1) / (weight.sum() + len(lean))
+        model = VoteModel(share, chance)
+        before, shares = shares, model.classes(codes)
+        if (np.abs(shares - before) * counts[:, None]).sum() <= tolerance * counts.sum():
+            break
     return model
 
 
-def _patterns(text: Column) -> Column:
-    @F.pandas_udf("int")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([pattern(statistics(t)) for t in texts], dtype="int32")
-
-    return of(text)
-
-
-def fit(docs: DataFrame, text: str = "text") -> VoteModel:
-    rows = docs.select(_patterns(text_or_empty(text)).alias("code")).groupBy("code").count().collect()
-    return expectation_maximisation([r["code"] for r in rows], [r["count"] for r in rows])
-
-
+COUNTED = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, code int"
 JUDGED = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, posterior double, kept boolean"
 )
 
 
-def verdict_of(text: Column, model: VoteModel, min_quality: float) -> Column:
-    table = model.posterior()
-
-    @F.pandas_udf(JUDGED)
+def _counted(text: Column) -> Column:
+    @F.pandas_udf(COUNTED)
     def of(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for t in texts:
             s = statistics(t)
             failed = s["n_words"] < MIN_WORDS or 100 * s["n_repeat_words"] > 50 * s["n_words"]
-            p = float(table[pattern(s)])
-            rows.append((*list(s.values())[:5], failed, p, not failed and p >= min_quality))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in JUDGED.split(", ")])
+            rows.append((*list(s.values())[:5], failed, pattern(s)))
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in COUNTED.split(", ")])
 
     return of(text)
 
 
-def judge(docs: DataFrame, text: str = "text", min_quality: float = 0.5) -> tuple[DataFrame, str]:
-    """``docs`` with one more column, a struct of JUDGED; also the column's name."""
+def _fitted(counted: DataFrame, name: str) -> tuple[VoteModel, list[int]]:
+    rows = counted.groupBy(f"{name}.code").count().collect()  # one row a vote pattern
+    codes = [r["code"] for r in rows]
+    return expectation_maximisation(codes, [r["count"] for r in rows]), codes
+
+
+def fit(docs: DataFrame, text: str = "text") -> VoteModel:
+    return _fitted(docs.select(_counted(text_or_empty(text)).alias("counted")), "counted")[0]
+
+
+def judge(docs: DataFrame, text: str = "text", min_quality: float = 0.5, columns: list[str] | None = None) -> tuple[DataFrame, str]:
+    """``docs`` (or only ``columns`` of it) with one more column, a struct of JUDGED; also the
+    column's name.  The counts of all texts are written once, beside the columns."""
     name = free_name(docs, "verdict")
-    return docs.withColumn(name, verdict_of(text_or_empty(text), fit(docs, text), min_quality)), name
+    kept = [F.col(f"`{c}`") for c in (docs.columns if columns is None else columns)]
+    counted = written_in_small_batches(docs.select(*kept, _counted(text_or_empty(text)).alias(name)), "counted")
+    model, codes = _fitted(counted, name)
+    place = free_name(docs, "pattern")
+    table = [(code, float(p)) for code, p in zip(codes, model.classes(codes)[:, 0], strict=True)] if codes else []
+    chances = docs.sparkSession.createDataFrame(table, f"`{place}` int, `{place}_chance` double")
+    # at most 3 ** len(RULES) short rows
+    judged = counted.join(F.broadcast(chances), F.col(f"{name}.code") == F.col(place), "left")
+    fields = [F.col(f"{name}.{c.split()[0]}") for c in JUDGED.split(", ")[:6]]
+    posterior = F.col(f"{place}_chance")
+    good = ~F.col(f"{name}.base_failed") & (posterior >= min_quality)
+    verdict = F.struct(*fields, posterior.alias("posterior"), good.alias("kept"))
+    return judged.withColumn(name, verdict).drop(place, f"{place}_chance"), name
 
 
 def keep_good(docs: DataFrame, text: str = "text", min_quality: float = 0.5) -> DataFrame:
