@@ -70,9 +70,12 @@ def _best() -> Column:
 
 
 def _disk_backed(spark: SparkSession):
-    """RocksDB as state store, without room set aside on disk for every partition."""
+    """RocksDB as state store, without room set aside on disk for every partition; all stores
+    of an executor share a bounded memory, and go soon after the stream has ended."""
     store = "spark.sql.streaming.stateStore."
-    return settings(spark, {store + "providerClass": ROCKSDB, store + "rocksdb.allowFAllocate": "false"})
+    bounded = {"boundedMemoryUsage": "true", "maxMemoryUsageMB": "96", "allowFAllocate": "false"}
+    wanted = {store + "providerClass": ROCKSDB, store + "maintenanceInterval": "5s"}
+    return settings(spark, wanted | {f"{store}rocksdb.{k}": v for k, v in bounded.items()})
 
 
 def run_stream(spark: SparkSession, folder: str, checkpoint: str, schema, files_per_batch: int | None = None) -> DataFrame:

@@ -36,8 +36,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalytics.llm.common import Hashes, cut_lineage, mix, pack, parts, small_batches, text_or_empty, unpack
+from catalytics.llm.common import Hashes, cut_lineage, mix, pack, parts, settings, small_batches, text_or_empty, unpack
 from catalytics.llm.components import components
+from catalytics.llm.exact_dedup import located
 
 WIDTH = 4
 NUMERATOR, DENOMINATOR = 85, 100
@@ -93,12 +94,16 @@ def _key(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def _source(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+#: Rows of an Arrow batch of packed sets: two of the largest sets to a row must fit a worker.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "128"}
 
 
-def set_rows(docs: DataFrame, with_tokens: bool = False) -> DataFrame:
-    """doc_id, n, digest, set_key; with_tokens: also the packed set."""
+def _source(docs: DataFrame, *more: str) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *more)
+
+
+def set_rows(docs: DataFrame, with_tokens: bool = False, locator: str | None = None) -> DataFrame:
+    """doc_id, n, digest, set_key; with_tokens: also the packed set; locator: also that column, as ``place``."""
 
     def run(batches):
         hashes = Hashes()
@@ -113,10 +118,14 @@ def set_rows(docs: DataFrame, with_tokens: bool = False) -> DataFrame:
             }
             if with_tokens:
                 columns["tokens"] = pa.array([s.tobytes() for s in sets], pa.binary())
+            if locator:
+                columns["place"] = batch.column(2)
             yield pa.RecordBatch.from_pydict(columns)
 
     kinds = "doc_id long, n long, digest binary, set_key long" + ", tokens binary" * with_tokens
-    return _source(docs).mapInArrow(run, kinds)
+    if locator:
+        kinds += f", place {docs.schema[locator].dataType.simpleString()}"
+    return _source(docs, *[locator] * bool(locator)).mapInArrow(run, kinds)
 
 
 SENT = "bucket int, tokens binary, holders binary, seen binary, counts binary"
@@ -346,7 +355,13 @@ def _across(sets: DataFrame, groups: DataFrame, between: DataFrame, members: Dat
 
 def link_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
-    rows = cut_lineage(set_rows(docs), "sets")
+    with settings(docs.sparkSession, BATCH):
+        return _components(docs, cut_lineage(set_rows(docs), "sets")).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` (the ``set_rows`` of ``docs``) with n_shingles and component_id; ``class``
+    also tells apart components that share an id because rows do."""
     able = cut_lineage(candidate_sets(docs, rows), "able-sets")
     wanted = docs.join(able.select("doc_id").distinct(), "doc_id", "left_semi")
     held = set_rows(wanted, with_tokens=True).join(able.select("digest", "share"), "digest")
@@ -369,18 +384,30 @@ def link_components(docs: DataFrame) -> DataFrame:
     of_set = sets.select("sid", "digest").join(merged, "sid").select("digest", "grp")
     texts = cut_lineage(rows.groupBy("digest").agg(F.min("doc_id").alias("least")).join(of_set, "digest", "left"), "texts")
     linked = texts.filter("grp is not null")
-    linked = linked.join(linked.groupBy("grp").agg(F.min("least").alias("component")), "grp").select("digest", "component")
-    names = linked.unionByName(texts.filter("grp is null").select("digest", F.col("least").alias("component")))
+    of_group = linked.groupBy("grp").agg(F.min("least").alias("component"), F.min("digest").alias("class"))
+    linked = linked.join(of_group, "grp").select("digest", "component", "class")
+    names = linked.unionByName(texts.filter("grp is null").select("digest", F.col("least").alias("component"), F.col("digest").alias("class")))
     names = cut_lineage(names, "names")
     empty = F.col("n") == 0
     return rows.join(names, "digest").select(
-        "doc_id",
+        *[c for c in rows.columns if c in ("doc_id", "place")],
+        "class",
         F.col("n").alias("n_shingles"),
         F.when(empty | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component (the smallest doc_id; without an id all stay), columns unchanged."""
-    gone = link_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each component, columns unchanged: the row with the smallest doc_id,
+    of rows with that id the first by place.  Rows without an id and texts without words
+    all stay.  Rows are told apart by their place in the files, not by their ids."""
+    columns = docs.columns
+    placed, name = located(docs)
+    with settings(docs.sparkSession, BATCH):
+        rows = _components(docs, cut_lineage(set_rows(placed, locator=name), "sets"))
+        rows = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+        first = rows.groupBy("class").agg(F.min(F.struct("doc_id", "place")).alias("first"))
+        # a group with a third of all rows meets its one row of ``first``; the join may split it
+        gone = rows.join(cut_lineage(first, "first-rows"), "class").filter("place <> first.place")
+        gone = cut_lineage(gone.select(F.col("place").alias(name)), "near-copies")
+    return placed.join(gone, name, "left_anti").select(*columns)
