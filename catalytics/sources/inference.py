@@ -3,7 +3,7 @@
 ``spark.read`` with ``inferSchema`` reads the text once more, gives one answer a column and
 says nothing about why.  Here each value of an all-string scan is put in a class
 (boolean, long, double, date, timestamp or text), and one aggregation counts classes per
-column: partial counts per task, one row in the end, whatever the size of the input.  The
+column: partial counts per task, a few rows per column in the end, whatever the size of the input.  The
 type of a column is the least one of the lattice
 
     boolean    long < double    date < timestamp    all < text
@@ -68,29 +68,21 @@ def _joined(counts: dict[str, Column]) -> Column:
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(position, column, type, mixed, n_missing, n_boolean ... n_text), one row per column.
 
-    A column without any value is text.  All columns are counted in one aggregation.
+    A column without any value is text.  Each value is classed once; tasks send a row per
+    column and class, so all columns are counted in one aggregation.
     """
     columns = list(columns or df.columns)
-    sums = []
-    for i, c in enumerate(columns):
-        kind = value_class(F.col(f"`{c}`").cast("string"))
-        sums.append(F.count_if(kind.isNull()).alias(f"m{i}"))
-        sums += [F.count_if(kind == k).alias(f"{k}{i}") for k in CLASSES]
-    lines = []
-    for i, c in enumerate(columns):
-        counts = {k: F.col(f"{k}{i}") for k in CLASSES}
-        kinds = sum(((n > 0).cast("int") for n in counts.values()), F.lit(0))
-        lines.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(c).alias("column"),
-                _joined(counts).alias("type"),
-                (kinds > 1).alias("mixed"),
-                F.col(f"m{i}").alias("n_missing"),
-                *[n.alias(f"n_{k}") for k, n in counts.items()],
-            )
-        )
-    return df.agg(*sums).select(F.inline(F.array(*lines)))
+    values = F.array(*[F.struct(F.lit(i).alias("position"), value_class(F.col(f"`{c}`").cast("string")).alias("kind")) for i, c in enumerate(columns)])
+    counted = df.select(F.explode(values).alias("v")).groupBy("v.position", "v.kind").agg(F.count(F.lit(1)).alias("n"))
+    every = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("position"), F.lit(None).cast("string").alias("kind"), F.lit(0).cast("bigint").alias("n"))
+    wide = counted.unionByName(every).groupBy("position").agg(
+        F.sum(F.when(F.col("kind").isNull(), F.col("n")).otherwise(0)).alias("n_missing"),
+        *[F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n_{k}") for k in CLASSES],
+    )
+    counts = {k: F.col(f"n_{k}") for k in CLASSES}
+    kinds = sum(((n > 0).cast("int") for n in counts.values()), F.lit(0))
+    name = F.get(F.array(*map(F.lit, columns)), F.col("position"))
+    return wide.select("position", name.alias("column"), _joined(counts).alias("type"), (kinds > 1).alias("mixed"), "n_missing", *counts.values())
 
 
 def inferred_schema(report: DataFrame) -> T.StructType:
