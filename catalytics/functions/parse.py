@@ -31,10 +31,12 @@ def parse_count(c: str | Column, strip: str | None = fixed.COUNT_STRIP_CHARS) ->
     """``"10,000,000+"`` -> 10000000, ``"64.0"`` -> 64, junk -> null.
 
     ``strip`` is a set of characters removed first (None: nothing removed).
-    Whole numbers are read as such, so those above 2**53 keep every digit.
+    Whole numbers are read as such, so those above 2**53 keep every digit.  Text with a dot
+    is no whole number; trying it as one costs an exception a row.
     """
     cleaned = F.translate(_col(c), strip, "") if strip else _col(c)
-    return F.coalesce(cleaned.try_cast("long"), _double_to_long(cleaned.try_cast("double")))
+    whole = F.when(~cleaned.contains("."), cleaned.try_cast("long"))
+    return F.coalesce(whole, _double_to_long(cleaned.try_cast("double")))
 
 
 def parse_price(c: str | Column, strip: str = fixed.PRICE_STRIP_CHARS) -> Column:

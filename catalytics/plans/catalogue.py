@@ -12,12 +12,16 @@ has duplicates.  The work grows with ``lineitem``.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalytics.sources.io import read_table
 
 S = F.col
+#: Line items of one partition of the join: few enough to sort in memory whatever the input.
+JOIN_ROWS = 250_000
 
 
 def _str(c):
@@ -41,8 +45,12 @@ def raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus"
     )
-    # Equi-join on the order key: a shuffle join sized by AQE (it becomes a
-    # broadcast only when the orders side measures under the threshold).
+    # Equi-join on the order key.  Beyond one partition's rows (counted from the Parquet
+    # footers) both sides are dealt into partitions that grow in number, not in size, so
+    # their sorts don't spill; a small input is left to Spark's own choice.
+    n = ceil(li.count() / JOIN_ROWS)
+    if n > 1:
+        li, orders = li.repartition(n, "l_orderkey"), orders.repartition(n, "o_orderkey").hint("merge")
     j = li.join(orders, S("l_orderkey") == S("o_orderkey"))
     ln = S("l_linenumber")
     size = (
