@@ -34,6 +34,7 @@ from catalytics.operators.split import label_split, split_by_key, split_random
 from catalytics.operators.topk import preview
 from catalytics.plans import jobs
 from catalytics.plans.stages import (
+    raw_source,
     staged_cleaned_catalogue,
     staged_ml_sets,
     staged_raw_catalogue,
@@ -131,7 +132,7 @@ QUERIES = {
 def q_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + sink: the derived catalogue written as CSV text, read back all-string."""
     path = scratch_path(spark, "raw-csv")
-    write_csv(staged_raw_catalogue(spark, sf_dir), path)
+    write_csv(raw_source(spark, sf_dir), path)
     return read_raw_csv(spark, path, fixed.RAW_COLUMNS)
 
 

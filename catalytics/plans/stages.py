@@ -50,6 +50,14 @@ def staged_raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stage(spark, _STAGED[key])
 
 
+def raw_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw catalogue for a job that reads it once and writes it elsewhere: the staged
+    table if this session has one, else the derivation itself, without a table in between."""
+    if _key(spark, sf_dir, "raw") in _STAGED:
+        return staged_raw_catalogue(spark, sf_dir)
+    return raw_catalogue(spark, sf_dir)
+
+
 def staged_cleaned_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = _key(spark, sf_dir, "cleaned")
     if key not in _STAGED:
