@@ -21,10 +21,11 @@ from catalytics.operators.reports import StageLog
 from catalytics.operators.split import split_by_locator, split_sizes
 from catalytics.plans import jobs
 from catalytics.plans.bindings import ORDERS_AS_OF
-from catalytics.plans.stages import staged_cleaned_catalogue, staged_ml_sets, staged_raw_catalogue
+from catalytics.plans.stages import raw_source, staged_cleaned_catalogue, staged_ml_sets
 from catalytics.sources.checked import account, read_checked_csv
 from catalytics.sources.inference import infer_types, read_typed_csv
 from catalytics.sources.io import (
+    FILE_ROWS,
     cut_lineage,
     load_model,
     read_raw_csv,
@@ -167,7 +168,7 @@ def q_split_stable_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_infer_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue's text read back without knowing any type."""
     path = scratch_path(spark, "untyped-csv")
-    write_csv(staged_raw_catalogue(spark, sf_dir), path)
+    write_csv(raw_source(spark, sf_dir), path)
     return infer_types(read_raw_csv(spark, path, fixed.RAW_COLUMNS))
 
 
@@ -177,7 +178,7 @@ _TYPED = ["App Id", "Rating", "Rating Count", "Maximum Installs", "Free", "In Ap
 def q_typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of unknown types read as the types that were found."""
     path = scratch_path(spark, "untyped-csv")
-    write_csv(staged_raw_catalogue(spark, sf_dir), path)
+    write_csv(raw_source(spark, sf_dir), path)
     typed, _ = read_typed_csv(spark, path)
     return typed.select("App Name", *[f"`{c}`" for c in _TYPED])
 
@@ -186,14 +187,14 @@ def q_checked_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue's text with records that lack a field, have one too many, or hold
     quotes, commas and line ends; each outcome with its number of records and a sum (characters
     of the names read, fields of the records refused)."""
-    raw = staged_raw_catalogue(spark, sf_dir)
+    raw = raw_source(spark, sf_dir)
     kind = F.col("App Id").cast("long") % 10
     name = F.when(kind == 3, F.concat("App Name", F.lit('\n"a", b'))).otherwise(F.col("App Name"))
     quoted = {c: F.concat(F.lit('"'), F.replace(F.coalesce(name if c == "App Name" else F.col(f"`{c}`"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in fixed.RAW_COLUMNS}
     whole = F.concat_ws(",", *quoted.values())
     line = F.when(kind == 1, F.concat_ws(",", *list(quoted.values())[:-1])).when(kind == 2, F.concat_ws(",", whole, F.lit("more"))).otherwise(whole)
     path = scratch_path(spark, "damaged-text")
-    raw.select(line.alias("value")).write.mode("overwrite").text(path)
+    raw.select(line.alias("value")).write.mode("overwrite").options(compression="gzip", maxRecordsPerFile=FILE_ROWS).text(path)
     rows, refused = read_checked_csv(spark, path, fixed.RAW_COLUMNS, header=False)
     sums = rows.agg(F.sum(F.length("App Name")).alias("total")).select(F.lit("read").alias("outcome"), "total")
     sums = sums.unionByName(refused.groupBy(F.col("reason").alias("outcome")).agg(F.sum("n_fields").alias("total")))
@@ -205,7 +206,7 @@ def q_checked_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _logged(spark: SparkSession, sf_dir: str) -> StageLog:
     log = StageLog(spark)
-    raw = log.write("raw", staged_raw_catalogue(spark, sf_dir))
+    raw = log.write("raw", raw_source(spark, sf_dir))
     log.write("cleaned", jobs.clean_catalogue(raw))
     return log
 

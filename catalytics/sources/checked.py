@@ -38,8 +38,9 @@ def read_checked_csv(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, quarantine) of delimited text; quarantine: (raw_record, n_fields, reason).
 
-    The parse is written once under ``spark.checkpoint.dir``, a folder for rows and one for
-    refused records, so both come from the same pass over all columns.
+    The parse is written once under ``spark.checkpoint.dir``, each record with its mark, so
+    both come from the same pass over all columns.  One table for both: a folder for each
+    would have every row sorted by the mark before it is written.
     """
     schema = T.StructType([*raw_schema(columns), T.StructField(RAW, T.StringType(), True)])
     parsed = (
@@ -48,8 +49,8 @@ def read_checked_csv(
         .csv(path)
     )
     base = scratch_path(spark, "checked-csv")
-    parsed.withColumn("refused", F.col(RAW).isNotNull()).write.mode("overwrite").partitionBy("refused").parquet(base)
-    # partition folders are read under the schema as written: an empty side is an empty frame
+    parsed.withColumn("refused", F.col(RAW).isNotNull()).write.mode("overwrite").parquet(base)
+    # read under the schema as written: an empty side is an empty frame
     stored = spark.read.schema(T.StructType([*schema, T.StructField("refused", T.BooleanType(), True)])).parquet(base)
     rows = stored.filter(~F.col("refused")).select(*[F.col(f"`{c}`") for c in columns])
     n = field_count(F.col(RAW))
