@@ -2,9 +2,9 @@
 
 ``spark.read`` with ``inferSchema`` reads the text once more, gives one answer a column and
 says nothing about why.  Here each value of an all-string scan is put in a class
-(boolean, long, double, date, timestamp or text), and one aggregation counts classes per
-column: partial counts per task, a few rows per column in the end, whatever the size of the input.  The
-type of a column is the least one of the lattice
+(boolean, long, double, date, timestamp or text).  Rows are counted by the classes of a block
+of columns at once: different combinations are few, and only they are taken apart into
+counts per column and class.  The type of a column is the least one of the lattice
 
     boolean    long < double    date < timestamp    all < text
 
@@ -28,6 +28,9 @@ DOUBLE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?$"
 
+#: Columns whose classes are counted together.
+BLOCK = 8
+
 SPARK_TYPES = {
     "boolean": T.BooleanType(),
     "long": T.LongType(),
@@ -40,15 +43,24 @@ SPARK_TYPES = {
 
 def value_class(value: Column) -> Column:
     """The class of one value, blanks around it left out; null for null and blank values."""
+    return F.get(F.array(F.lit(None).cast("string"), *map(F.lit, CLASSES)), class_number(value))
+
+
+def class_number(value: Column) -> Column:
+    """The class of one value as its place in ``CLASSES``, from 1; 0 for null and blank values."""
     v = F.trim(value)
+    first, n = F.ascii(v), {c: F.lit(i) for i, c in enumerate(CLASSES, start=1)}
+    # most text is told by its first character or length, without a pattern
     return (
-        F.when(value.isNull() | (v == ""), F.lit(None))
-        .when(v.rlike(BOOLEAN), "boolean")
-        .when(v.rlike(LONG), "long")
-        .when(v.rlike(DOUBLE), "double")
-        .when(v.rlike(DATE) & v.try_cast("date").isNotNull(), "date")
-        .when(v.rlike(TIMESTAMP) & v.try_cast("timestamp").isNotNull(), "timestamp")
-        .otherwise("text")
+        F.when(value.isNull() | (v == ""), F.lit(0))
+        .when(first.isin(*map(ord, "tTfF")), F.when(v.rlike(BOOLEAN), n["boolean"]).otherwise(n["text"]))
+        .when(~first.isin(*map(ord, "+-.0123456789")), n["text"])
+        .when(v.rlike(LONG), n["long"])
+        .when(v.rlike(DOUBLE), n["double"])
+        # 10 or 19 characters, and perhaps a line end
+        .when(F.length(v).between(10, 12) & v.rlike(DATE) & v.try_cast("date").isNotNull(), n["date"])
+        .when((F.length(v) >= 19) & v.rlike(TIMESTAMP) & v.try_cast("timestamp").isNotNull(), n["timestamp"])
+        .otherwise(n["text"])
     )
 
 
@@ -68,12 +80,19 @@ def _joined(counts: dict[str, Column]) -> Column:
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(position, column, type, mixed, n_missing, n_boolean ... n_text), one row per column.
 
-    A column without any value is text.  Each value is classed once; tasks send a row per
-    column and class, so all columns are counted in one aggregation.
+    A column without any value is text.  Each value is classed once; a row goes into one count
+    a block, so all columns are counted in one aggregation.
     """
     columns = list(columns or df.columns)
-    values = F.array(*[F.struct(F.lit(i).alias("position"), value_class(F.col(f"`{c}`").cast("string")).alias("kind")) for i, c in enumerate(columns)])
-    counted = df.select(F.explode(values).alias("v")).groupBy("v.position", "v.kind").agg(F.count(F.lit(1)).alias("n"))
+    # one expression for all values of a block; written out once a column it is too large to be compiled
+    blocks = [
+        F.struct(F.lit(i).alias("start"), F.transform(F.array(*[F.col(f"`{c}`").cast("string") for c in columns[i : i + BLOCK]]), class_number).alias("classes"))
+        for i in range(0, len(columns), BLOCK)
+    ]
+    rows = df.select(F.explode(F.array(*blocks)).alias("b")).groupBy("b.start", "b.classes").agg(F.count(F.lit(1)).alias("n"))
+    single = rows.select("start", F.posexplode("classes").alias("at", "number"), "n")
+    kind = F.get(F.array(F.lit(None).cast("string"), *map(F.lit, CLASSES)), F.col("number"))
+    counted = single.groupBy((F.col("start") + F.col("at")).alias("position"), kind.alias("kind")).agg(F.sum("n").alias("n"))
     every = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("position"), F.lit(None).cast("string").alias("kind"), F.lit(0).cast("bigint").alias("n"))
     wide = counted.unionByName(every).groupBy("position").agg(
         F.sum(F.when(F.col("kind").isNull(), F.col("n")).otherwise(0)).alias("n_missing"),
