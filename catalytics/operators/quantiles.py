@@ -32,6 +32,9 @@ Exact
     partitioned into ordered slices written once under
     ``spark.checkpoint.dir``, slice totals turned into offsets, and only the
     slice holding the target rank sorted.
+
+``quantile_values`` first takes the columns with few different values: all of them are
+counted, and the running counts give the answer by the same rank rule.
 """
 
 from __future__ import annotations
@@ -286,6 +289,33 @@ def _range_slice_quantiles(df, columns, probs, slices=None):
     return out, ranged
 
 
+#: Columns of at most about this many different values have all of them counted: their
+#: counts are sorted by one task a column.
+COUNTED_VALUES = 100_000
+
+
+def _counted_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> tuple[dict, list[str]]:
+    """({(column, p): value} of the columns with few different values, the other columns).
+
+    Distinct values are estimated first (one aggregation of bounded memory).  Each value is
+    then counted, combined on the map side, so a task sends no more rows than it has
+    different values, where sketches grow with the number of tasks.
+    """
+    typed = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    distinct = typed.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    few = [c for i, c in enumerate(columns) if distinct[f"d{i}"] <= COUNTED_VALUES]
+    if not few:
+        return {}, list(columns)
+    counts = long_values(df, few).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("name")
+    upto = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumns({"cum": F.sum("n").over(upto), "total": F.sum("n").over(whole)})
+    ranked = ranked.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    target = F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("total")))
+    picked = ranked.where((F.col("cum") >= target) & (F.col("cum") - F.col("n") < target)).select("name", "p", "value")
+    return {(r["name"], r["p"]): r["value"] for r in picked.collect()}, [c for c in columns if c not in few]
+
+
 def column_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -304,9 +334,11 @@ def quantile_values(
     """Driver-side dict {column: [q per prob]} — a bounded result (one value per
     column and probability); columns with no values get None (an all-null
     column has no quantile)."""
+    got = {}
     if relative_error <= 0:
-        qdf, staged = _exact_quantiles(df, columns, probs)
-        rows = qdf.collect()
+        got, many = _counted_quantiles(df, columns, probs)
+        qdf, staged = _exact_quantiles(df, many, probs) if many else (None, [])
+        rows = qdf.collect() if many else []
         # the result is on the driver now: fallback slice tables are not needed
         for frame in staged:
             path = staged_path(frame)
@@ -314,7 +346,7 @@ def quantile_values(
                 drop_stage(df.sparkSession, path)
     else:
         rows = approx_quantiles(df, columns, probs, relative_error).collect()
-    got = {(r["name"], r["p"]): r["value"] for r in rows}
+    got |= {(r["name"], r["p"]): r["value"] for r in rows}
     return {c: [got.get((c, float(p))) for p in probs] for c in columns}
 
 

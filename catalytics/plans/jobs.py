@@ -22,6 +22,7 @@ from catalytics.operators.missing import column_medians, fill_constants, fill_me
 from catalytics.operators.reports import StageLog, duplicate_key_count, outlier_report, stage_report
 from catalytics.operators.rules import catalogue_rules, enforce_rules, require_present, rule_report
 from catalytics.operators.split import label_split
+from catalytics.session import COMPILED, settings
 from catalytics.sources.io import cut_lineage, save_model
 
 
@@ -68,7 +69,8 @@ def clean_catalogue(raw: DataFrame, stage: bool = True) -> DataFrame:
     """
     valid = validated_catalogue(raw)
     if stage:
-        valid = cut_lineage(valid, "validated")
+        with settings(raw.sparkSession, COMPILED):
+            valid = cut_lineage(valid, "validated")
     filled = fill_median(valid, ["Size_KB"])
     filled = fill_constants(filled, fixed.TEXT_FILLS)
     filled = replace_sentinel(filled, "Currency")
@@ -161,7 +163,8 @@ def prepare_ml(
     if key not in ML_BASE_COLUMNS:
         labelled = labelled.drop(key)
     if materialize_split:
-        labelled = cut_lineage(labelled, "ml-base")
+        with settings(featured.sparkSession, COMPILED):
+            labelled = cut_lineage(labelled, "ml-base")
     train, test = (labelled.where(F.col("_side") == side).drop("_side") for side in ("train", "test"))
     numeric = fixed.ML_NUMERIC
     if exact_median:

@@ -3,8 +3,9 @@
 The source pipeline reads a raw text file once and hands a cleaned Parquet
 table to every later step.  The bindings do the same: the raw-text catalogue
 derived from the driver tables is written once per session and table folder
-(the analogue of the raw CSV file), and so is the cleaned table.  Both live
-under the session's shared ``spark.checkpoint.dir`` so they survive executor
+(the analogue of the raw CSV file) where a query reads it by itself, and so are the
+validated rows, of which the cleaned table is a projection (fills by constants and the
+median).  Both live under the session's shared ``spark.checkpoint.dir`` so they survive executor
 loss, and re-reading them keeps column pruning and pushdown.
 """
 
@@ -16,9 +17,10 @@ from catalytics import fixed
 from catalytics.plans import jobs
 from catalytics.plans.catalogue import raw_catalogue
 from catalytics.operators.features import catalogue_features
+from catalytics.session import COMPILED, settings
 from catalytics.sources.io import read_stage, release_scratch, scratch_path, write_stage
 
-_STAGED: dict[tuple[str, str, str], str] = {}
+_STAGED: dict[tuple[str, str, str], str | DataFrame] = {}
 
 
 SOURCES = ("lineitem", "orders")
@@ -61,9 +63,8 @@ def raw_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_cleaned_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = _key(spark, sf_dir, "cleaned")
     if key not in _STAGED:
-        cleaned = jobs.clean_catalogue(staged_raw_catalogue(spark, sf_dir))
-        _STAGED[key] = write_stage(cleaned, scratch_path(spark, "cleaned-catalogue"))
-    return read_stage(spark, _STAGED[key])
+        _STAGED[key] = jobs.clean_catalogue(raw_source(spark, sf_dir))
+    return _STAGED[key]
 
 
 def staged_ml_sets(
@@ -78,8 +79,9 @@ def staged_ml_sets(
         featured = catalogue_features(jobs.reduce_columns(staged_cleaned_catalogue(spark, sf_dir), drop))
         train, test, _ = jobs.prepare_ml(featured, split_key=SPLIT_KEY, exact_median=True)
         base = scratch_path(spark, "ml-sets")
-        write_stage(train, f"{base}/train")
-        write_stage(test, f"{base}/test")
+        with settings(spark, COMPILED):
+            write_stage(train, f"{base}/train")
+            write_stage(test, f"{base}/test")
         _STAGED[key] = base
     base = _STAGED[key]
     return read_stage(spark, f"{base}/train"), read_stage(spark, f"{base}/test")

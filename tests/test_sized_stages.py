@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalytics.functions.parse import parse_count
-from catalytics.plans import catalogue, stages, stored
+from catalytics.operators import quantiles
+from catalytics.plans import catalogue, jobs, stages, stored
 from catalytics.plans.bindings import q_csv_scan
 from catalytics.sources import io
 from catalytics.sources.checked import read_checked_csv
@@ -96,3 +97,37 @@ def test_text_with_a_dot_is_not_tried_as_a_whole_number(spark, ansi):
     df = spark.createDataFrame([(v,) for v in want], "v string").select("v", parse_count("v", None).alias("n"))
     assert {r.v: r.n for r in df.collect()} == want
     assert "contains(" in df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_cleaned_rows_are_written_once_without_a_raw_stage(spark, tables):
+    cleaned = stages.staged_cleaned_catalogue(spark, tables)
+    assert stages._key(spark, tables, "raw") not in stages._STAGED
+    folders = {f.split("/catalytics-")[1].split("-")[0] for f in cleaned.inputFiles()}
+    assert folders == {"validated"}
+    assert stages.staged_cleaned_catalogue(spark, tables).inputFiles() == cleaned.inputFiles()
+    again = jobs.clean_catalogue(stages.staged_raw_catalogue(spark, tables))
+    assert sorted(map(str, cleaned.collect())) == sorted(map(str, again.collect())) and cleaned.count() > 0
+
+
+def test_rules_compare_text_made_below_the_join(spark, tables):
+    plan = jobs.validated_catalogue(catalogue.raw_catalogue(spark, tables))._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert "gettimestamp" in join and "format_number" not in join and "date_format" not in join
+
+
+def test_wide_projections_run_in_methods_the_jvm_compiles(spark, raw, monkeypatch):
+    limits, write = [], jobs.cut_lineage
+    monkeypatch.setattr(jobs, "cut_lineage", lambda df, name: limits.append(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) or write(df, name))
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    jobs.clean_catalogue(raw)
+    assert limits == ["8000"] and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
+
+
+def test_medians_of_few_values_are_counted_without_sketches(spark, monkeypatch):
+    rows = [(float(i % 5), float(i), None) for i in range(100)] + [(float("nan"), None, None), (-1.0, 2.5, None)]
+    df = spark.createDataFrame(rows, "few double, many double, none double")
+    wanted, asked, exact = {"few": [-1.0, 2.0], "many": [0.0, 49.0], "none": [None, None]}, [], quantiles._exact_quantiles
+    monkeypatch.setattr(quantiles, "_exact_quantiles", lambda df, columns, probs: asked.append(columns) or exact(df, columns, probs))
+    assert quantiles.quantile_values(df, list(wanted), [0.0, 0.5]) == wanted and asked == []
+    monkeypatch.setattr(quantiles, "COUNTED_VALUES", 20)
+    assert quantiles.quantile_values(df, list(wanted), [0.0, 0.5]) == wanted and asked == [["many"]]
