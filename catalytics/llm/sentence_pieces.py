@@ -29,6 +29,7 @@ from __future__ import annotations
 import json
 import re
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,10 @@ MARK = "▁"
 NEVER = 2**31 - 1
 #: Characters of a long word that go through the join as one row.
 SEGMENT = 128
+#: Words whose edges one task gathers: few enough to stay in memory whatever the input.
+WORDS = 16_000
+#: Places of words (about 11 a word) that a task groups in memory before it sorts them.
+PLACES = 400_000
 
 
 @dataclass(frozen=True)
@@ -203,12 +208,14 @@ def _fold(ends: Column, v: Vocabulary, edge_type: str) -> Column:
 def encoded_words(words: DataFrame, v: Vocabulary) -> DataFrame:
     """(word, ids) for a column ``word`` of different words."""
     words = cut_lineage(words.select("word").withColumn("word_id", F.monotonically_increasing_id()), "words")
-    # dealt by word once: both groupings and the fold then stay where the word is
-    ends = lattice(words.repartition(parts(words.sparkSession), "word_id"), v)
+    # dealt by word once, in partitions that grow in number, not in size: both groupings, the
+    # fold and the join then stay where the word is, and the edges aren't spilled
+    dealt = words.repartition(max(parts(words.sparkSession), ceil(words.count() / WORDS)), "word_id")
+    ends = lattice(dealt, v)
     grouped = ends.groupBy("word_id").agg(F.sort_array(F.collect_list(F.struct("end", "edges"))).alias("ends"))
     edge = ends.schema["edges"].dataType.elementType.simpleString()
     folded = grouped.select("word_id", F.col("ends.edges").alias("ends")).select("word_id", _fold(F.col("ends"), v, edge).alias("ids"))
-    return folded.join(words, "word_id").select("word", "ids")
+    return folded.join(dealt, "word_id").select("word", "ids")
 
 
 def encode(docs: DataFrame, v: Vocabulary) -> DataFrame:
@@ -216,7 +223,7 @@ def encode(docs: DataFrame, v: Vocabulary) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), F.monotonically_increasing_id().alias("row"))
     places = rows.select("row", F.posexplode(words_of(F.col("text"))).alias("place", "word"))
     # a word's few edges are gathered in memory, without a sort of all of them
-    with settings(docs.sparkSession, {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000"}):
+    with settings(docs.sparkSession, {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": str(PLACES)}):
         known = cut_lineage(encoded_words(places.select("word").distinct(), v), "encoded-words")
     found = places.join(known, "word").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("parts"))
     out = rows.join(found.select("row", F.flatten("parts.ids").alias("ids")), "row", "left")

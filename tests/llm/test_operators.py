@@ -69,6 +69,17 @@ def test_rules_and_propagation(spark):
 
 
 # 2
+def test_words_are_dealt_into_partitions_of_bounded_size(spark, monkeypatch):
+    v = sentence_pieces.load(tokenizer_file("piece_bpe_32k.model"))
+    words = spark.createDataFrame([(f"▁{w}{i}",) for i in range(20) for w in ("the", "thndou")], "word string")
+    whole = sorted(map(tuple, sentence_pieces.encoded_words(words, v).collect()))
+    monkeypatch.setattr(sentence_pieces, "WORDS", 3)
+    counts, lattice = [], sentence_pieces.lattice
+    monkeypatch.setattr(sentence_pieces, "lattice", lambda dealt, v: counts.append(dealt.rdd.getNumPartitions()) or lattice(dealt, v))
+    assert sorted(map(tuple, sentence_pieces.encoded_words(words, v).collect())) == whole and len(whole) == 40
+    assert counts == [14]
+
+
 def test_pieces_equal_the_library(spark, docs, some):
     import sentencepiece
 
