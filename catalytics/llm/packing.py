@@ -29,7 +29,7 @@ from catalytics.llm.common import small_batches
 
 MAX_LEN = 4096
 END_ID = 2
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 
 class WordIds:

@@ -5,7 +5,8 @@ import tracemalloc
 
 import pyarrow as pa
 
-from catalytics.llm import common, jaccard_join
+from catalytics.llm import common, jaccard_join, packing
+from catalytics.llm.queries import tokenizer_file
 
 RNG = random.Random(3)
 TEXTS = ["".join(RNG.choices(" \t\n\x0b\x0c\rabcABÉé\x85_1", k=RNG.choice([0, 1, 2, 3, 10, 60]))) for _ in range(400)]
@@ -53,3 +54,12 @@ def test_shingle_sets():
     assert len(set(seen.values())) == len(seen)
     assert len(set().union(*[x.tolist() for x in got])) == len(set().union(*seen))
     assert jaccard_join.shingle_sets(pa.array([], pa.string())) == []
+
+
+# 3
+def test_remembered_chunks_are_bounded():
+    words = packing.WordIds(tokenizer_file("word_bpe_49k.json"))
+    for k in range(3):
+        words.encode([" ".join(f"{i}{'abc'[k]}" for i in range(130_000))])
+        assert len(words.chunks) <= 261_000
+    assert words.encode(["1a 2b"])[0].tolist() == words.tokenizer.encode("1a 2b", add_special_tokens=False).ids
