@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalytics.llm.common import Hashes, cut_lineage, mix, pack, parts, small_batches, text_or_empty, unpack
+from catalytics.llm.common import cut_lineage, mix, pack, parts, small_batches, text_or_empty, unpack, word_hashes
 
 FLUSH = 1_000_000
 #: Hash ranges for each shuffle partition.
@@ -66,15 +66,15 @@ def chunks(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(data, names=["doc_ids", "lengths", "words", "places"])
 
     def run(batches):
-        hashes, end = Hashes(), np.array([END], np.uint64)
+        end = np.array([END], np.uint64)
         ids, sizes, symbols, size = [], [], [], 0
         for batch in small_batches(batches):
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = hashes.of(text.encode().lower().split())
+            words, counts = word_hashes(batch.column(1))
+            for doc, mine in zip(batch.column(0).to_pylist(), np.split(words, np.cumsum(counts)[:-1]), strict=True):
                 ids.append(doc)
-                sizes.append(len(words) + 1)
-                symbols += [words, end]
-                size += len(words) + 1
+                sizes.append(len(mine) + 1)
+                symbols += [mine, end]
+                size += len(mine) + 1
                 if size >= FLUSH:
                     yield row(ids, sizes, symbols)
                     ids, sizes, symbols, size = [], [], [], 0
@@ -85,13 +85,25 @@ def chunks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, CHUNK).withColumn("chunk", F.monotonically_increasing_id())
 
 
+def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of ``keys``, and the keys in it.  Their high bits are sorted with their
+    places in the low ones; should keys that differ agree in those bits, by whole keys."""
+    bits = np.uint64(len(keys).bit_length())
+    places = np.sort((keys >> bits << bits) | np.arange(len(keys), dtype=np.uint64))
+    order = (places & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    ordered = keys[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        order = np.argsort(keys)
+        ordered = keys[order]
+    return order, ordered
+
+
 class _Keys:
     """Distinct keys at some places of a chunk, with sums of their values."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray, where: np.ndarray):
         self.where = where
-        self.order = np.argsort(keys)
-        ordered = keys[self.order]
+        self.order, ordered = _sorted(keys)
         self.first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(keys) else np.zeros(0, np.int64)
         self.keys = ordered[self.first]
         self.sums = np.add.reduceat(values[self.order], self.first) if len(keys) else values
@@ -106,12 +118,27 @@ class _Keys:
         return out
 
 
+class _Words(_Keys):
+    """The same for the words of a whole chunk, whose distinct hashes are known."""
+
+    def __init__(self, words: np.ndarray, places: np.ndarray, values: np.ndarray):
+        self.places = places
+        self.order, self.keys = _sorted(words)
+        self.sums = np.bincount(places, values, len(words)).astype(np.int64)[self.order]
+
+    def spread(self, totals: np.ndarray, size: int) -> np.ndarray:
+        back = np.empty(len(self.order), np.int64)
+        back[self.order] = totals
+        return back[self.places]
+
+
 class _Chunk:
     """A chunk's arrays and what the answers so far say about each symbol."""
 
     def __init__(self, row: dict):
         self.doc_ids, self.lengths = row["doc_ids"], np.asarray(row["lengths"], np.int64)
-        self.w = unpack(row["words"], np.uint64)[unpack(row["places"], np.uint32)]
+        self.words, self.places = unpack(row["words"], np.uint64), unpack(row["places"], np.uint32)
+        self.w = self.words[self.places]
         self.size = len(self.w)
         self.starts = np.r_[0, np.cumsum(self.lengths)[:-1]]
         self.held = np.array([held_out(d) for d in self.doc_ids])
@@ -144,7 +171,8 @@ class _Chunk:
         return _Keys(self.grams(n, where), self.train[where].astype(np.int64), where)
 
     def first_round(self) -> list[_Keys]:
-        return [self.counted(1, self.has[0]), self.counted(2, self.has[1])]
+        words = _Words(mix(np.uint64(1), self.words), self.places, self.train)
+        return [words, self.counted(2, self.has[1])]
 
     def read_counts(self, n_train: int, n_types: int) -> None:
         one, two = (k.spread(self.totals(0, i), self.size) for i, k in enumerate(self.first_round()))

@@ -3,9 +3,10 @@
 import random
 import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 
-from catalytics.llm import common, jaccard_join, packing
+from catalytics.llm import common, jaccard_join, packing, suffix_tree
 from catalytics.llm.queries import tokenizer_file
 
 RNG = random.Random(3)
@@ -63,3 +64,20 @@ def test_remembered_chunks_are_bounded():
         words.encode([" ".join(f"{i}{'abc'[k]}" for i in range(130_000))])
         assert len(words.chunks) <= 261_000
     assert words.encode(["1a 2b"])[0].tolist() == words.tokenizer.encode("1a 2b", add_special_tokens=False).ids
+
+
+# 4
+def test_sums_by_key(monkeypatch):
+    rng = np.random.default_rng(4)
+    random_keys = rng.integers(0, 2**64, 5_000, np.uint64)
+    near = np.uint64(7 << 60) + rng.integers(0, 50, 5_000, np.uint64)  # agree in their high bits
+    for keys in (random_keys, near, np.repeat(random_keys[:50], 100), random_keys[:0]):
+        order, ordered = suffix_tree._sorted(keys)
+        assert (ordered == np.sort(keys)).all() and (keys[order] == ordered).all() and len(set(order.tolist())) == len(keys)
+    # random keys need no argsort; the words of a chunk are summed without sorting every symbol
+    monkeypatch.setattr(np, "argsort", lambda *_: 1 / 0)
+    places, values = rng.integers(0, 5_000, 40_000), rng.integers(0, 2, 40_000)
+    words = suffix_tree._Words(random_keys, places, values)
+    plain = suffix_tree._Keys(random_keys[places], values, np.ones(40_000, bool))
+    total = words.spread(words.sums, 40_000)
+    assert (total == plain.spread(plain.sums, 40_000)).all() and (words.keys == np.sort(random_keys)).all()
