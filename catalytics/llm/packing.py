@@ -7,7 +7,8 @@ crosses documents and no sequence needs padding.
 
 A map over the documents: no shuffle, no state.  Tokenizing is the cost; words
 repeat, and the tokenizer works word by word, so each worker process remembers
-the ids of about ``REMEMBERED`` words.
+the ids of about ``REMEMBERED`` words, or of fewer where a job's other stages
+need the memory: a worker keeps what it remembers when they use it later.
 
 Defined results: a null or empty text is its end id alone, one piece of length
 1; repeated rows are packed once each; an empty table gives no piece.  Only
@@ -44,10 +45,11 @@ class WordIds:
     PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
     WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-zà-öø-ÿß0-9]+")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         levels = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -92,9 +94,9 @@ class WordIds:
         # Only blanks and line ends are cut at: each is white space to the tokenizer,
         # which drops it; what else it holds for white space stays inside a chunk.
         docs = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.chunks) > REMEMBERED:
+        if len(self.chunks) > self.remembered:
             self.chunks = {"": b""}
-        if len(self.words) > REMEMBERED:
+        if len(self.words) > self.remembered:
             self.words = {}
         known = self.chunks
         special = any(x in t for t in texts for x in self.special)
@@ -102,14 +104,15 @@ class WordIds:
         return [np.frombuffer(b"".join(map(known.__getitem__, doc)), "<u4") for doc in docs]
 
 
-_LOADED: dict[str, WordIds] = {}
+_LOADED: dict[tuple[str, int], WordIds] = {}
 
 
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, remembered: int = REMEMBERED) -> WordIds:
     """The tokenizer of this worker process, with what it remembers from earlier tasks."""
-    if path not in _LOADED:
-        _LOADED[path] = WordIds(path)
-    return _LOADED[path]
+    key = path, remembered
+    if key not in _LOADED:
+        _LOADED[key] = WordIds(path, remembered)
+    return _LOADED[key]
 
 
 def piece_lengths(n: int, max_len: int = MAX_LEN) -> list[int]:
@@ -130,7 +133,9 @@ PIECES = pa.schema(
 )
 
 
-def pack(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, with_ids: bool = True) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, with_ids: bool = True, remembered: int = REMEMBERED
+) -> DataFrame:
     """One row per sequence: the piece, its document and its bucket (its length).
 
     ``sequence_id`` follows from the task's number and the row's place in it,
@@ -140,7 +145,7 @@ def pack(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, with_ids:
         raise ValueError("max_len must be a power of two")
 
     def run(batches):
-        words = word_ids(tokenizer_path)
+        words = word_ids(tokenizer_path, remembered)
         for batch in small_batches(batches, 128):
             out: list[list] = [[] for _ in PIECES]
             texts = [t or "" for t in batch.column(1).to_pylist()]

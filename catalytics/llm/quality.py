@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -219,9 +220,11 @@ def judge(docs: DataFrame, text: str = "text", min_quality: float = 0.5, columns
     counted = written_in_small_batches(docs.select(*kept, _counted(text_or_empty(text)).alias(name)), "counted")
     model, codes = _fitted(counted, name)
     place = free_name(docs, "pattern")
-    table = [(code, float(p)) for code, p in zip(codes, model.classes(codes)[:, 0], strict=True)] if codes else []
-    chances = docs.sparkSession.createDataFrame(table, f"`{place}` int, `{place}_chance` double")
-    # at most 3 ** len(RULES) short rows
+    chance = model.classes(codes)[:, 0] if codes else []
+    table = pa.table({place: pa.array(codes, pa.int32()), f"{place}_chance": pa.array(chance, pa.float64())})
+    # at most 3 ** len(RULES) short rows; as an Arrow table they are part of the plan, where a list
+    # of rows would start Python workers of another kind on the executors
+    chances = docs.sparkSession.createDataFrame(table)
     judged = counted.join(F.broadcast(chances), F.col(f"{name}.code") == F.col(place), "left")
     fields = [F.col(f"{name}.{c.split()[0]}") for c in JUDGED.split(", ")[:6]]
     posterior = F.col(f"{place}_chance")

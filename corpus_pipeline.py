@@ -14,6 +14,11 @@ from catalytics.llm.common import cut_lineage, read_table
 from catalytics.llm.queries import tokenizer_file
 
 
+#: Words that a Python worker remembers in the last stage: few, as it holds them beside what
+#: all other stages need of an executor's memory.
+REMEMBERED = 50_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: documents whose quality is doubtful go."""
     return quality.keep_good(docs)
@@ -36,7 +41,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: power-of-two sequences with their token ids."""
-    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
+    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), remembered=REMEMBERED)
 
 
 STAGES = [

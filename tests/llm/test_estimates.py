@@ -252,3 +252,9 @@ def test_odd_rows_and_ties(spark):
     assert [r.kept for r in tied.filter("doc_id = 1").select(f"{name}.kept").collect()] == [True, True]  # a tie is kept
     empty, name = quality.judge(frame.limit(0))
     assert empty.count() == 0 and empty.columns[:-1] == frame.columns
+
+
+def test_fitted_chances_start_no_python_workers(spark):
+    judged, _ = quality.judge(spark.createDataFrame([(1, "some words here " * 40), (2, None)], "doc_id long, text string"))
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan

@@ -6,6 +6,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
+import corpus_pipeline
 from catalytics.llm import common, jaccard_join, packing, suffix_tree
 from catalytics.llm.queries import tokenizer_file
 
@@ -66,6 +67,17 @@ def test_remembered_chunks_are_bounded():
     assert words.encode(["1a 2b"])[0].tolist() == words.tokenizer.encode("1a 2b", add_special_tokens=False).ids
 
 
+# 3
+def test_a_job_may_remember_less():
+    assert corpus_pipeline.REMEMBERED < packing.REMEMBERED
+    path, texts = tokenizer_file("word_bpe_49k.json"), [" ".join(f"{i}{'abc'[k % 3]} Ab{i % 7}" for i in range(1_000)) for k in range(6)]
+    few, many = packing.word_ids(path, 500), packing.word_ids(path)
+    for text in texts:
+        assert few.encode([text])[0].tolist() == many.encode([text])[0].tolist()
+        assert len(few.chunks) <= 500 + 1_008 and len(few.words) <= 500 + 1_008
+    assert len(many.chunks) >= 3_000 and few is packing.word_ids(path, 500)
+
+
 # 4
 def test_sums_by_key(monkeypatch):
     rng = np.random.default_rng(4)
