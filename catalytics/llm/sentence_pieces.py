@@ -6,44 +6,54 @@ path may do changes: a piece may follow another one only if merging the two text
 by side would leave the pair apart.  For every prefix exactly one last piece satisfies
 this, so the Viterbi fold carries it instead of a best score.
 
-1. Words.  A text is cut where no piece crosses (before a run of blanks); different
-   words are encoded once.
-2. Lattice.  Bounded substrings of each word are exploded and equi-joined to the piece
-   table (fixed size, broadcast); each keeps its merge rank.  Characters that are no
-   piece get their bytes.
-3. Fold.  Edges are grouped by word and end; a higher-order aggregate walks the ends and
-   picks the edge whose pair with the prefix's last piece stays apart: no piece that
-   crosses the border, made of a right part of the one and a left part of the other,
-   may merge before those parts are taken by their own pieces.
-4. Texts.  Word occurrences are joined to the encoded words and put in order.
+A map over the texts: no shuffle, no state; a task does all four steps for a few
+megabytes of text at a time, on arrays (``piece_lattice``).
+
+1. Words.  A text is cut where no piece crosses (before a run of blanks); the different
+   words of these texts are encoded once, and remembered for the task's next texts.
+2. Lattice.  Bounded substrings of each word are equi-joined to the piece table, one
+   character longer at a time, so a substring that begins no piece is not made longer;
+   each keeps its piece.  Characters that are no piece get their bytes.
+3. Fold.  All words' ends are walked together, and of the edges at an end the one is
+   picked whose pair with the prefix's last piece stays apart: no piece that crosses the
+   border, made of a right part of the one and a left part of the other, may merge before
+   those parts are taken by their own pieces.
+4. Texts.  Each word occurrence takes its word's ids, in order.
+
+``encoded_words`` does steps 2 and 3 for a table of words, dealt in bounded partitions.
 
 Decoding looks ids up, joins their bytes and takes blanks for the word mark.
 
 Defined results: a null text counts as empty, which has no ids; a text that holds the
-word mark itself decodes to blanks there, as in the model; repeated rows are encoded
-each; an empty table gives an empty result.  Only id and text are read.
+word mark itself decodes to blanks there, as in the model; bytes that are no UTF-8 are
+encoded as replacement characters; repeated rows are encoded each; an empty table gives
+an empty result.  Only id and text are read.
 """
 
 from __future__ import annotations
 
-import json
 import re
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalytics.llm.common import cut_lineage, parts, settings, text_or_empty
+from catalytics.llm.common import cut_lineage, parts, text_or_empty
+from catalytics.llm.piece_lattice import Fold, Pieces, Words, blocks, joined, pieces_of, text_bytes
 
 MARK = "▁"
+SURROGATE = re.compile(rb"\xed[\xa0-\xbf][\x80-\xbf]")
 NEVER = 2**31 - 1
-#: Characters of a long word that go through the join as one row.
-SEGMENT = 128
-#: Words whose edges one task gathers: few enough to stay in memory whatever the input.
+#: Words whose lattices one task makes.
 WORDS = 16_000
-#: Places of words (about 11 a word) that a task groups in memory before it sorts them.
-PLACES = 400_000
+#: Bytes of text whose words are told apart together.
+TEXT = 1 << 22
+#: Columns of blocks: words; by a piece's length, whole numbers.
+LEVELS = pa.list_(pa.string()), pa.list_(pa.list_(pa.int32()))
 
 
 @dataclass(frozen=True)
@@ -105,129 +115,87 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(pieces, first, hexes, max(map(len, rank)))
 
 
-def words_of(text: Column) -> Column:
-    """A text's words, each with the blanks before it as marks; no piece crosses them."""
-    marked = F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(MARK)))
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.regexp_extract_all(marked, F.lit(f"{MARK}*[^{MARK}]+|{MARK}+$"), F.lit(0)))
+def _pieces(v: Vocabulary) -> Pieces:
+    return pieces_of(v.pieces, len(v.hex_of), v.longest, v.first_byte)
 
 
-def _piece_table(spark: SparkSession, v: Vocabulary) -> DataFrame:
-    return spark.createDataFrame([p[:3] for p in v.pieces], "piece string, id int, rank int")
+def by_bytes(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in stretches with at most TEXT bytes of text in a column, or one row."""
+    _, cuts = text_bytes(batch.column(column))
+    low = 0
+    while low < batch.num_rows:
+        high = max(low + 1, int(np.searchsorted(cuts, cuts[low] + TEXT, "right")) - 1)
+        yield batch.slice(low, high - low)
+        low = high
 
 
-def _parts(v: Vocabulary, side: int) -> Column:
-    """By id, the ranks that take a piece's right (3) or left (4) parts; a constant of the plan."""
-    table: list[list[int]] = [[] for _ in v.hex_of]
-    for piece in v.pieces:
-        table[piece[1]] = piece[side]
-    return F.from_json(F.lit(json.dumps(table, separators=(",", ":"))), "array<array<int>>")
+def readable(texts: pa.Array) -> pa.Array:
+    """Bytes that are no UTF-8 become replacement characters."""
+    try:
+        texts.validate(full=True)
+        return texts
+    except pa.ArrowInvalid:
+        # as the JVM reads them: one for a surrogate's three bytes
+        found = [SURROGATE.sub("\ufffd".encode(), t) for t in texts.cast(pa.binary()).to_pylist()]
+        return pa.array([t.decode("utf-8", "replace") for t in found], pa.large_string())
+
+
+def with_ids(columns: list[pa.Array], names: list[str], ids: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Rows with the ids of each, of which there are ``n``."""
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(ids))
+    return pa.RecordBatch.from_arrays([*columns, lists], [*names, "ids"])
 
 
 def lattice(words: DataFrame, v: Vocabulary) -> DataFrame:
-    """(word_id, end, edges): the pieces that end at each place of a word."""
-    n = F.length("word")
-    back = v.longest - 1
-    # a long word goes in segments that overlap by what a piece can reach back
-    rows = words.select("word_id", "word", n.alias("n"), F.explode(F.sequence(F.lit(0), F.floor((n - 1) / SEGMENT).cast("int"))).alias("seg"))
-    base = F.greatest(F.lit(0), F.col("seg") * SEGMENT - back)
-    rows = rows.select(
-        "word_id",
-        base.alias("base"),
-        (F.col("seg") * SEGMENT).alias("low"),
-        F.least(F.col("n"), (F.col("seg") + 1) * SEGMENT).alias("high"),
-        F.substring("word", base + 1, F.lit(SEGMENT + back)).alias("part"),
-    )
-    rows = rows.select("word_id", "base", "part", F.explode(F.sequence(F.col("low") + 1, F.col("high"))).alias("end"))
-    reach = F.least(F.lit(v.longest), F.col("end") - F.col("base"))
-    rows = rows.select("word_id", "end", "base", "part", F.explode(F.sequence(F.lit(1), reach)).alias("size"))
-    rows = rows.select("word_id", "end", "size", F.substring("part", F.col("end") - F.col("base") - F.col("size") + 1, F.col("size")).alias("piece"))
-    # the piece table has a fixed size: that of the model
-    found = rows.join(F.broadcast(_piece_table(words.sparkSession, v)), "piece", "left").filter("id is not null or size = 1")
-    code = F.hex(F.encode("piece", "utf-8"))
-    as_bytes = F.transform(
-        F.sequence(F.lit(1), F.length(code), F.lit(2)),
-        lambda i: (F.conv(F.substring(code, i, F.lit(2)), 16, 10).cast("int") + v.first_byte).cast("int"),
-    )
-    edge = F.struct(
-        "size",
-        "end",
-        F.coalesce("rank", F.lit(NEVER)).alias("rank"),
-        F.coalesce("id", F.lit(-1)).alias("id"),
-        F.when(F.col("id").isNull(), as_bytes).alias("bytes"),
-    )
-    return found.groupBy("word_id", "end").agg(F.collect_list(edge).alias("edges"))
-
-
-def _fold(ends: Column, v: Vocabulary, edge_type: str) -> Column:
-    """Ids of a word from ``ends``: the edges of every place, in order."""
-
-    right, left = _parts(v, 3), _parts(v, 4)
-
-    def apart(last: Column, edge: Column, border: Column, here: Column) -> Column:
-        """Whether ``last`` (ends at the border) and ``edge`` (ends here) stay two pieces."""
-        near = F.flatten(F.slice(ends, border + 1, here - border))
-        merge = lambda x: (
-            (x["end"] - x["size"] < border)
-            & (x["end"] - x["size"] >= border - last["size"])
-            & (x["rank"] < F.coalesce(F.get(F.get(right, last["id"]), border - (x["end"] - x["size"]) - 1), F.lit(-1)))
-            & (x["rank"] <= F.coalesce(F.get(F.get(left, edge["id"]), x["end"] - border - 1), F.lit(-1)))
-        )
-        return ~F.exists(near, merge)
-
-    def step(state: Column, edges: Column) -> Column:
-        here = state["here"] + 1
-        follows = lambda e: (e["size"] == here) | apart(F.try_element_at(state["recent"], -e["size"]), e, here - e["size"], here)
-        # exactly one edge fits; a character that is no piece is the only edge at its end
-        chosen = F.get(F.filter(edges, follows), F.lit(0))
-        recent = F.concat(F.slice(state["recent"], F.greatest(F.lit(1), F.size(state["recent"]) - v.longest + 2), F.lit(v.longest)), F.array(chosen))
-        back = F.concat(state["back"], F.array(F.struct(chosen["size"].alias("size"), chosen["id"].alias("id"), chosen["bytes"].alias("bytes"))))
-        return F.struct(here.alias("here"), recent.alias("recent"), back.alias("back"))
-
-    none = F.struct(
-        F.lit(0).alias("here"),
-        F.array().cast(f"array<{edge_type}>").alias("recent"),
-        F.array().cast("array<struct<size:int,id:int,bytes:array<int>>>").alias("back"),
-    )
-
-    def trace(state: Column) -> Column:
-        """Back from the end: places of the chosen pieces, then their ids in order."""
-        back = state["back"]
-        start = F.struct(F.size(back).alias("at"), F.array().cast("array<array<int>>").alias("ids"))
-
-        def behind(s: Column, place: Column) -> Column:
-            e = F.try_element_at(back, place)
-            taken = F.struct((s["at"] - e["size"]).alias("at"), F.concat(s["ids"], F.array(F.coalesce(e["bytes"], F.array(e["id"])))).alias("ids"))
-            return F.when(place == s["at"], taken).otherwise(s)
-
-        places = F.reverse(F.sequence(F.lit(1), F.size(back)))
-        return F.flatten(F.reverse(F.aggregate(places, start, behind)["ids"]))
-
-    return F.aggregate(ends, none, step, trace)
+    """(words, ends, ids) for each block of words: the pieces that end at each of their places."""
+    pieces = _pieces(v)
+
+    def run(batches):
+        for batch in batches:
+            some = batch.column(0).cast(pa.large_string())
+            for part, block in blocks(some):
+                block = joined(block, pieces)
+                levels = ([a.astype(np.int32) for a in x] for x in (block.ends, block.ids))
+                columns = [pa.array([some[part].cast(pa.string())], LEVELS[0]), *(pa.array([x], LEVELS[1]) for x in levels)]
+                yield pa.RecordBatch.from_arrays(columns, ["words", "ends", "ids"])
+
+    return words.select("word").filter("word is not null").mapInArrow(run, "words array<string>, ends array<array<int>>, ids array<array<int>>")
+
+
+def _fold(lattices: DataFrame, v: Vocabulary) -> DataFrame:
+    """(word, ids) from the rows of ``lattice``."""
+    pieces = _pieces(v)
+
+    def run(batches):
+        fold = Fold(pieces)
+        for batch in batches:
+            for words, ends, ids in zip(*batch.columns, strict=True):
+                ends, ids = ([level.values.to_numpy() for level in x] for x in (ends, ids))
+                for _, block in blocks(words.values.cast(pa.large_string())):
+                    yield with_ids([words.values], ["word"], *fold.words(replace(block, ends=ends, ids=ids)))
+
+    return lattices.mapInArrow(run, "word string, ids array<int>")
 
 
 def encoded_words(words: DataFrame, v: Vocabulary) -> DataFrame:
     """(word, ids) for a column ``word`` of different words."""
-    words = cut_lineage(words.select("word").withColumn("word_id", F.monotonically_increasing_id()), "words")
-    # dealt by word once, in partitions that grow in number, not in size: both groupings, the
-    # fold and the join then stay where the word is, and the edges aren't spilled
-    dealt = words.repartition(max(parts(words.sparkSession), ceil(words.count() / WORDS)), "word_id")
-    ends = lattice(dealt, v)
-    grouped = ends.groupBy("word_id").agg(F.sort_array(F.collect_list(F.struct("end", "edges"))).alias("ends"))
-    edge = ends.schema["edges"].dataType.elementType.simpleString()
-    folded = grouped.select("word_id", F.col("ends.edges").alias("ends")).select("word_id", _fold(F.col("ends"), v, edge).alias("ids"))
-    return folded.join(dealt, "word_id").select("word", "ids")
+    words = cut_lineage(words.select("word"), "words")
+    dealt = words.repartition(max(parts(words.sparkSession), ceil(words.count() / WORDS)), "word")
+    return _fold(lattice(dealt, v), v)
 
 
 def encode(docs: DataFrame, v: Vocabulary) -> DataFrame:
-    """doc_id, ids (and text) for every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), F.monotonically_increasing_id().alias("row"))
-    places = rows.select("row", F.posexplode(words_of(F.col("text"))).alias("place", "word"))
-    # a word's few edges are gathered in memory, without a sort of all of them
-    with settings(docs.sparkSession, {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": str(PLACES)}):
-        known = cut_lineage(encoded_words(places.select("word").distinct(), v), "encoded-words")
-    found = places.join(known, "word").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("parts"))
-    out = rows.join(found.select("row", F.flatten("parts.ids").alias("ids")), "row", "left")
-    return out.select("doc_id", "text", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    """doc_id, text, ids for every row."""
+    pieces = _pieces(v)
+
+    def run(batches):
+        words = Words(pieces)
+        for batch in batches:
+            for some in by_bytes(batch, 1):
+                yield with_ids(some.columns, ["doc_id", "text"], *words.texts(readable(some.column(1)), MARK))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return rows.mapInArrow(run, "doc_id long, text string, ids array<int>")
 
 
 def decode(ids: Column, v: Vocabulary) -> Column:

@@ -5,9 +5,11 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from catalytics.llm import common, jaccard_join, packing, suffix_tree
+from catalytics.llm import common, jaccard_join, packing, piece_lattice, sentence_pieces, suffix_tree
 from catalytics.llm.queries import tokenizer_file
 
 RNG = random.Random(3)
@@ -93,3 +95,69 @@ def test_sums_by_key(monkeypatch):
     plain = suffix_tree._Keys(random_keys[places], values, np.ones(40_000, bool))
     total = words.spread(words.sums, 40_000)
     assert (total == plain.spread(plain.sums, 40_000)).all() and (words.keys == np.sort(random_keys)).all()
+
+
+# 2
+@pytest.fixture(scope="module")
+def model():
+    import sentencepiece
+
+    path = tokenizer_file("piece_bpe_32k.model")
+    v = sentencepiece.SentencePieceProcessor(model_file=path), sentence_pieces.load(path)
+    return *v, piece_lattice.pieces_of(v[1].pieces, len(v[1].hex_of), v[1].longest, v[1].first_byte)
+
+
+def ids_of(words, texts):
+    ids, n = words.texts(texts, sentence_pieces.MARK)
+    return [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+
+
+WHOLE_TEXTS = ["", " ", "  two  blanks ", "▁▁ a ▁b", "日本 😀\x00 é", "a\nb\tc  ", "aab" * 200, "x" * 3000, " " * 300 + "=" * 300]
+WORDY = random.Random(5)
+WHOLE_TEXTS += ["".join(WORDY.choices("  theandouringly.,AÉß日😀=▁", k=WORDY.choice([3, 40, 900]))) for _ in range(150)]
+
+
+@pytest.mark.parametrize("few, walked, block", [(24, 1 << 12, 1 << 18), (1, 1 << 12, 1 << 18), (10**9, 40, 1 << 18), (10**9, 7, 64), (3, 20, 100)])
+def test_folds_equal_the_library(model, monkeypatch, few, walked, block):
+    """All lanes at once, word by word, and long words in stretches."""
+    for name, value in (("FEW", few), ("WALKED", walked), ("BLOCK", block)):
+        monkeypatch.setattr(piece_lattice, name, value)
+    library, _, pieces = model
+    want = [library.encode(t) for t in WHOLE_TEXTS]
+    assert ids_of(piece_lattice.Words(pieces), pa.array(WHOLE_TEXTS)) == want
+    sliced = pa.array(["other", *WHOLE_TEXTS, "texts"], pa.large_string()).slice(1, len(WHOLE_TEXTS))
+    assert ids_of(piece_lattice.Words(pieces), sliced) == want
+
+
+def test_words_are_remembered_up_to_a_bound(model):
+    library, _, pieces = model
+    for remembered in (0, 300, 10**6):
+        words, most = piece_lattice.Words(pieces, remembered), 0
+        for at in range(0, len(WHOLE_TEXTS), 10):
+            some = WHOLE_TEXTS[at : at + 10]
+            before = len(words.flat)
+            assert ids_of(words, pa.array(some)) == [library.encode(t) for t in some]
+            most = max(most, before)
+            assert before <= remembered or len(words.flat) <= sum(map(len, map(library.encode, some)))
+            assert len(words.known) == len(set(words.known.to_pylist())) == len(words.counts)
+    assert ids_of(piece_lattice.Words(pieces), pa.array([""])) == [[]] and most > 0
+
+
+def test_texts_are_taken_by_bytes(monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "TEXT", 10)
+    batch = pa.record_batch({"id": list(range(6)), "text": ["é" * 4, "a", "", "x" * 50, "b" * 10, "c"]})
+    assert [b.column(0).to_pylist() for b in sentence_pieces.by_bytes(batch, 1)] == [[0, 1, 2], [3], [4], [5]]
+
+
+def test_encoding_moves_no_rows(spark, model):
+    """No word occurrence is shuffled or written: the texts stay where they are."""
+    library, v, _ = model
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(WHOLE_TEXTS[:40])] + [(None, None), (3, None)], "doc_id long, text string")
+    encoded = sentence_pieces.encode(docs.repartition(3), v)
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan.split("MapInArrow")[0] for x in ("Exchange", "Join", "Aggregate")) and plan.count("Exchange") == 1
+    got = encoded.withColumn("back", sentence_pieces.decode(F.col("ids"), v)).collect()
+    assert len(got) == 42 and all(r.ids == library.encode(r.text) for r in got)
+    assert [r.back for r in got if "▁" not in r.text] == [r.text for r in got if "▁" not in r.text]
+    odd = spark.sql("SELECT 1L AS doc_id, cast(X'41EDA0804220FF42' AS string) AS text")
+    assert sentence_pieces.encode(odd, v).first().ids == library.encode("A\ufffdB \ufffdB")
